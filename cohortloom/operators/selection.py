@@ -39,8 +39,10 @@ def override(
     group whose report was chosen in another folder stay. A repeated pick repeats its row.
     """
     group, block = [subject, folder, number], [subject, report, folder]
-    crowded = group_counts(base, group, folder).where(F.col("count") >= 2)
-    rows = join_ns(base, crowded, group, "semi")
+    # The choice needs a few columns only; whole rows are fetched at the end.
+    slim = base.select(*[quoted(c) for c in dict.fromkeys([*block, number, row_id, metric, *tiebreak])])
+    crowded = group_counts(slim, group).where(F.col("count") >= 2)
+    rows = join_ns(slim, crowded, group, "semi")
     listed = manual.select(quoted(subject), quoted(manual_id).alias(row_id))
     picked = join_ns(rows, listed, [subject, row_id])
     unpicked = not_in(rows, report, picked, report)

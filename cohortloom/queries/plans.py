@@ -1 +1,377 @@
+"""End-to-end plans on tables derived from the shared ones."""
 
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from cohortloom import operators as ops, plans, sources
+from cohortloom.queries.aggregations import PIVOTED
+from cohortloom.queries.joins import override_sql
+from cohortloom.queries.registry import Tables, query
+from cohortloom.queries.standins import (
+    ACCESSION, SECOND_ACCESSION, accession, accession_sql, headers, second_accession,
+)
+from cohortloom.session import scratch_path, settle
+
+
+def text(c: str) -> Column:
+    return F.col(c).cast("string")
+
+
+# --- reports --------------------------------------------------------------------------------------------------
+
+_LINKED = [
+    "unique_study_id", "report_num_temp", "SearchAccession", "VNAAccession", "EDWAccession", "StudyDate",
+    "SearchAccession_temp", "accession", "any trauma", " hemorrhage ", "accession_temp",
+]
+
+
+@query(f"""
+WITH images AS (SELECT {ACCESSION} AS sa, {SECOND_ACCESSION} AS va, 'X1CT' || o_orderkey AS ea,
+                       CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS d FROM orders),
+reports AS (SELECT DISTINCT 'X1CT' || l_orderkey AS accession, CAST(l_linestatus = 'F' AS INTEGER) AS trauma, l_returnflag AS hem
+            FROM lineitem WHERE l_quantity >= 40),
+ids AS (SELECT o_custkey AS unique_study_id, {ACCESSION} AS sa, nullif({SECOND_ACCESSION}, 'x') AS va, 'X1CT' || o_orderkey AS ea
+        FROM orders WHERE o_orderstatus <> 'F')
+SELECT i.unique_study_id, regexp_replace(m.ea, '.*CT', 'CT') AS report_num_temp, m.sa AS "SearchAccession", m.va AS "VNAAccession",
+       m.ea AS "EDWAccession", m.d AS "StudyDate", {accession_sql("m.sa", "plain")} AS "SearchAccession_temp", r.accession,
+       r.trauma AS "any trauma", r.hem AS " hemorrhage ", {accession_sql("r.accession", "plain")} AS accession_temp
+FROM images m JOIN reports r ON m.ea = r.accession JOIN ids i ON i.sa = m.sa AND i.va = m.va AND i.ea = m.ea
+""")
+def pipe_link_reports(t: Tables) -> DataFrame:
+    keys = {
+        "SearchAccession": accession(),
+        "VNAAccession": second_accession(),
+        "EDWAccession": F.concat(F.lit("X1CT"), text("o_orderkey")),
+    }
+    named = [c.alias(n) for n, c in keys.items()]
+    images = t.orders.select(
+        *named,
+        F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("StudyDate"),
+        text("o_custkey").alias("Name"),
+        F.lit(None).cast("date").alias("DOB"),
+    )
+    reports = t.lineitem.where(F.col("l_quantity") >= 40).select(
+        F.concat(F.lit("X1CT"), text("l_orderkey")).alias("accession"),
+        (F.col("l_linestatus") == "F").cast("int").alias("any trauma"),
+        F.col("l_returnflag").alias(" hemorrhage "),
+    )
+    ids = t.orders.where(F.col("o_orderstatus") != "F").select(F.col("o_custkey").alias("unique_study_id"), *named)
+    return plans.link_reports(images, reports.distinct(), ids, _LINKED)
+
+
+@query(f"""
+WITH w AS (SELECT o_custkey AS unique_study_id, {ACCESSION} AS report_num_temp, {SECOND_ACCESSION} AS "VNAAccession" FROM orders),
+k AS (SELECT *, {accession_sql("report_num_temp", "dated")} AS k1, {accession_sql('"VNAAccession"', "fallback")} AS k2 FROM w),
+b AS (SELECT {ACCESSION} AS accession, 'o ' || o_orderkey AS folder, '/first/images/' AS prefix FROM orders WHERE o_orderstatus = 'P'
+      UNION ALL SELECT '*1CT20' || lpad(CAST(c_custkey AS VARCHAR), 6, '0'), 'c ' || c_custkey, '/second/images/' FROM customer WHERE c_acctbal > 4000),
+m AS (SELECT accession, folder, replace(prefix || folder, ' ', '') AS file_path, {accession_sql("accession", "manifest")} AS mk FROM b),
+found AS (SELECT DISTINCT k.*, m.accession, m.folder, m.file_path FROM k JOIN m ON k.k1 = m.mk
+          UNION SELECT k.*, m.accession, m.folder, m.file_path FROM k LEFT JOIN m ON k.k2 = m.mk WHERE k.k1 NOT IN (SELECT mk FROM m))
+SELECT unique_study_id, report_num_temp, "VNAAccession", k1 AS accession_temp, k2 AS "VNAAccession_temp", accession, folder, file_path,
+       (SELECT count(DISTINCT report_num_temp) FROM found) AS n_wanted,
+       (SELECT count(DISTINCT report_num_temp) FROM found WHERE file_path IS NOT NULL) AS n_found
+FROM found
+""")
+def pipe_locate_scans(t: Tables) -> DataFrame:
+    wanted = t.orders.select(
+        F.col("o_custkey").alias("unique_study_id"), accession().alias("report_num_temp"), second_accession().alias("VNAAccession")
+    )
+    first = t.orders.where(F.col("o_orderstatus") == "P").select(
+        accession().alias("accession"), F.concat(F.lit("o "), text("o_orderkey")).alias("folder")
+    )
+    second = t.customer.where(F.col("c_acctbal") > 4000).select(
+        F.concat(F.lit("*1CT20"), F.lpad(text("c_custkey"), 6, "0")).alias("accession"),
+        F.concat(F.lit("c "), text("c_custkey")).alias("folder"),
+    )
+    found = settle(plans.locate_scans(wanted, [(first, "/first/images/"), (second, "/second/images/")]))
+    check = ops.completeness(found, "report_num_temp", "file_path")
+    return found.withColumns({n: check.select(n).scalar() for n in ["n_wanted", "n_found"]})
+
+
+# --- series ---------------------------------------------------------------------------------------------------
+
+_BAD = "coronal|sag|chest|abdomen|spine|facial_bones|lung"
+_NUMBER = """TRY_CAST(regexp_extract("{0}", '[0-9.]+', 0) AS DOUBLE)"""
+
+
+@query(f"""
+WITH wide AS ({PIVOTED}),
+axial AS (SELECT * FROM wide WHERE lower("Image Type") LIKE '%axial%'),
+folders AS (SELECT lower(file_path) AS f FROM axial WHERE NOT regexp_matches(lower(file_path), '{_BAD}')),
+kept AS (SELECT *, split_part(split_part(file_path, '/random/', 2), '/CT', 1) AS image_type_temp,
+                {_NUMBER.format("Window Center")} AS first_center_number, {_NUMBER.format("Window Width")} AS first_width_number
+         FROM axial a WHERE EXISTS (SELECT 1 FROM folders WHERE starts_with(lower(a.file_path), f)))
+SELECT * FROM kept WHERE first_center_number <= 100 AND first_width_number <= 400
+""")
+def pipe_select_series(t: Tables) -> DataFrame:
+    tags = ops.tag_long_table(headers(t), "folder", "file", "grp", "elem", "name", "vr", "value")
+    return plans.select_series(tags)
+
+
+# --- predictions ----------------------------------------------------------------------------------------------
+
+_DAY = "user_id || '_' || strftime(ts, '%Y%m%d')"
+
+
+def day(t: Tables) -> DataFrame:
+    return t.events.withColumn("folder", F.concat(text("user_id"), F.lit("_"), F.date_format("ts", "yyyyMMdd")))
+
+
+@query(f"""
+WITH e AS (SELECT *, {_DAY} AS folder FROM events),
+p AS (SELECT 'scan_' || event_id AS id, 'nifti/' || folder || '/' || event_id || '.nii' AS image, 'out/' || event_id || '.nii' AS prediction,
+             event_type AS batch, CAST(floor(value) AS INTEGER) AS slice_num, folder FROM e),
+l AS (SELECT DISTINCT user_id AS unique_study_id, 'R' || folder AS report_num_temp, folder FROM e WHERE value >= 60),
+d AS (SELECT user_id AS unique_study_id, 'R' || folder AS report_num_temp, min(ts) AS t FROM e GROUP BY 1, 2)
+SELECT p.*, l.unique_study_id, l.report_num_temp, d.t AS "StudyDate_Time_format",
+       CAST(dense_rank() OVER (PARTITION BY l.unique_study_id ORDER BY d.t, p.folder) AS INTEGER) AS scan_number
+FROM p JOIN l ON p.folder = l.folder JOIN d ON d.unique_study_id = l.unique_study_id AND d.report_num_temp = l.report_num_temp
+""")
+def pipe_prepare_predictions(t: Tables) -> DataFrame:
+    e, path = day(t), scratch_path(t.spark, "predictions")
+    rows = e.select(
+        F.concat(F.lit("scan_"), text("event_id")).alias("id"),
+        F.concat(F.lit("nifti/"), "folder", F.lit("/"), text("event_id"), F.lit(".nii")).alias("image"),
+        F.concat(F.lit("out/"), text("event_id"), F.lit(".nii")).alias("prediction"),
+        F.floor("value").cast("int").alias("depth"),
+        F.col("event_type").alias("run"),
+    )
+    rows.write.option("header", True).partitionBy("run").csv(path)
+    batches = sources.read_batches(t.spark, f"{path}/run=*", rows.drop("run").schema, "/run=([^/]+)/")
+    predictions = batches.withColumn("shape", F.array(F.lit(512), F.lit(512), "depth")).drop("depth")
+    report = F.concat(F.lit("R"), "folder").alias("report_num_temp")
+    scan_list = e.where(F.col("value") >= 60).select(
+        F.col("user_id").alias("unique_study_id"), report, F.concat(F.lit(" "), "folder", F.lit("\t")).alias("folder")
+    )
+    details = e.groupBy(F.col("user_id").alias("unique_study_id"), report).agg(
+        F.min("ts").cast("string").alias("StudyDate_Time_format")
+    )
+    return plans.prepare_predictions(predictions, scan_list, details)
+
+
+# --- images ---------------------------------------------------------------------------------------------------
+
+_IMAGES = f"""
+SELECT user_id AS uid, event_id AS n, 'scan_' || event_id AS id, ts, {_DAY} AS folder,
+       {_DAY} || CASE WHEN value < 40 THEN 'a' ELSE 'b' END AS report,
+       CASE event_type WHEN 'purchase' THEN 'click' WHEN 'view' THEN 'Bone' ELSE event_type END AS image_name,
+       'nifti/' || {_DAY} || '/random/' || CASE event_type WHEN 'purchase' THEN 'click' WHEN 'view' THEN 'Bone' ELSE event_type END
+         || '/' || event_id || CASE WHEN event_type = 'purchase' THEN '_TILT.nii' ELSE '.nii' END AS image,
+       event_type = 'purchase' AS corrected, CAST(floor(value) AS INTEGER) AS slice_num,
+       coalesce(CASE WHEN event_type = 'error' THEN NULL ELSE -value END, 0) AS qc,
+       value AS iph, CASE WHEN event_type = 'signup' THEN NULL ELSE value / 2 END AS eah, CAST(NULL AS DOUBLE) AS ivh
+FROM events
+"""
+_PICKS = """
+SELECT user_id AS uid, 'scan_' || event_id AS id_to_keep FROM events WHERE value >= 60 AND event_type IN ('signup', 'purchase')
+"""
+
+
+def images(t: Tables) -> DataFrame:
+    kind, value = F.col("event_type"), F.col("value")
+    name = F.when(kind == "purchase", "click").when(kind == "view", "Bone").otherwise(kind)
+    ending = F.when(kind == "purchase", "_TILT.nii").otherwise(".nii")
+    rows = day(t).select(
+        F.col("user_id").alias("unique_study_id"),
+        F.concat(F.lit("scan_"), text("event_id")).alias("id"),
+        F.col("ts").alias("StudyDate_Time_format"),
+        "folder",
+        F.concat("folder", F.when(value < 40, "a").otherwise("b")).alias("report_num_temp"),
+        F.concat(F.lit("nifti/"), "folder", F.lit("/random/"), name, F.lit("/"), text("event_id"), ending).alias("image"),
+        F.floor("value").cast("int").alias("slice_num"),
+        F.when(kind != "error", -value).alias("quality_control_metric"),
+        value.alias("iph_predicted_volume_ml"),
+        F.when(kind != "signup", value / 2).alias("eah_predicted_volume_ml"),
+        F.lit(None).cast("double").alias("ivh_predicted_volume_ml"),
+    )
+    return ops.dense_rank_per_subject(rows, "unique_study_id", ["folder"])
+
+
+def image_picks(t: Tables) -> DataFrame:
+    hits = (F.col("value") >= 60) & F.col("event_type").isin("signup", "purchase")
+    return t.events.where(hits).select(
+        F.col("user_id").alias("unique_study_id"), F.concat(F.lit("scan_"), text("event_id")).alias("id_to_keep")
+    )
+
+
+_CHOSEN = [
+    "unique_study_id", "report_num_temp", "folder", "id", "scan_number", "image_name", "slice_num", "quality_control_metric",
+    "total_volume_scan", "total_volume_first_scan", "change_total_volume_scan", "iph_volume_first", "eah_volume_first",
+    "change_iph_volume_first_scan", "change_eah_volume_first_scan",
+]
+
+
+@query(f"""
+WITH i AS (SELECT *, CAST(dense_rank() OVER (PARTITION BY uid ORDER BY folder) AS INTEGER) AS scan_number FROM ({_IMAGES})),
+usable AS (SELECT * FROM i WHERE id NOT IN ('scan_7', 'scan_8') AND image_name <> 'Bone'
+             AND ((slice_num >= 30 AND slice_num < 100) OR id IN ('scan_10', 'scan_11'))),
+best AS (SELECT * FROM usable QUALIFY row_number() OVER (PARTITION BY uid, image_name, scan_number, corrected ORDER BY qc, id) = 1),
+preferred AS (SELECT * EXCLUDE (has) FROM (
+  SELECT *, bool_or(corrected) OVER (PARTITION BY uid, report, scan_number, folder, image_name) AS has FROM best)
+  WHERE corrected OR NOT has),
+{override_sql("SELECT * FROM preferred", _PICKS)},
+one AS (SELECT uid, folder, {", ".join(f"arg_min({c}, (scan_number, id)) FILTER ({c} IS NOT NULL) AS {c}"
+        for c in ["report", "id", "ts", "scan_number", "image_name", "slice_num", "qc", "iph", "eah", "ivh"])}
+        FROM chosen GROUP BY uid, folder),
+kept AS (SELECT * FROM one QUALIFY count(report) OVER (PARTITION BY uid) >= 2),
+total AS (SELECT *, coalesce(iph, 0) + coalesce(eah, 0) + coalesce(ivh, 0) AS total FROM kept),
+firsts AS (SELECT *, {", ".join(f"first_value({c} IGNORE NULLS) OVER (PARTITION BY uid ORDER BY ts, id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS {c}_first"
+        for c in ["total", "iph", "eah"])} FROM total)
+SELECT uid AS unique_study_id, report AS report_num_temp, folder, id, scan_number, image_name, slice_num, qc AS quality_control_metric,
+       total AS total_volume_scan, total_first AS total_volume_first_scan, total - total_first AS change_total_volume_scan,
+       iph_first AS iph_volume_first, eah_first AS eah_volume_first, iph - iph_first AS change_iph_volume_first_scan,
+       eah - eah_first AS change_eah_volume_first_scan
+FROM firsts
+""")
+def pipe_choose_images(t: Tables) -> DataFrame:
+    rows = plans.choose_images(images(t), image_picks(t), ["scan_7", "scan_8"], ["scan_10", "scan_11"])
+    return plans.volume_changes(rows).select(*_CHOSEN)
+
+
+# --- cohort ---------------------------------------------------------------------------------------------------
+
+_HISTORY = """
+SELECT user_id AS uid, 'scan_' || event_id AS id, 'R' || event_id AS report, ts, value AS iph,
+       CASE WHEN event_type = 'signup' THEN NULL ELSE value / 2 END AS eah, value / 4 AS ivh,
+       CASE WHEN event_type = 'error' THEN NULL ELSE -value END AS qc,
+       CAST(dense_rank() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS scan_number
+FROM events
+"""
+_SHEET = "SELECT doc_id AS uid, quality AS exclude, nullif(toxic, 0) AS censored FROM labels"
+_EXCLUDED = "SELECT user_id AS uid, 'scan_' || event_id AS id FROM events WHERE event_type = 'error' AND value >= 20"
+_WINDOW = f"""
+h AS ({_HISTORY}),
+f AS (SELECT *, min(ts) OVER (PARTITION BY uid) AS first_ts FROM h),
+w AS (SELECT * EXCLUDE (first_ts) FROM f WHERE round_even((epoch_us(ts) - epoch_us(first_ts)) / 3600000000.0, 0) <= 72)
+"""
+
+
+def history(t: Tables) -> DataFrame:
+    kind, value = F.col("event_type"), F.col("value")
+    rows = t.events.select(
+        F.col("user_id").alias("unique_study_id"),
+        F.concat(F.lit("scan_"), text("event_id")).alias("id"),
+        F.concat(F.lit("R"), text("event_id")).alias("report_num_temp"),
+        F.col("ts").alias("StudyDate_Time_format"),
+        value.alias("iph_predicted_volume_ml"),
+        F.when(kind != "signup", value / 2).alias("eah_predicted_volume_ml"),
+        (value / 4).alias("ivh_predicted_volume_ml"),
+        F.when(kind != "error", -value).alias("quality_control_metric"),
+    )
+    return ops.dense_rank_per_subject(rows, "unique_study_id", ["StudyDate_Time_format", "id"])
+
+
+def sheet(t: Tables) -> DataFrame:
+    return t.labels.select(
+        F.col("doc_id").alias("unique_study_id"),
+        F.col("quality").alias("exclude"),
+        F.nullif("toxic", F.lit(0)).alias("second_scan_post_surgery_trauma"),
+    )
+
+
+def excluded(t: Tables) -> DataFrame:
+    hits = (F.col("event_type") == "error") & (F.col("value") >= 20)
+    return t.events.where(hits).select(
+        F.col("user_id").alias("unique_study_id"), F.concat(F.lit("scan_"), text("event_id")).alias("id_to_remove")
+    )
+
+
+_BASE = "first_value({0} IGNORE NULLS) OVER (PARTITION BY uid ORDER BY scan_number, id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+_OUTCOMES = ", ".join(
+    f"CASE WHEN censored = 0 AND (max_iph >= {c} OR max_eah >= {c}) THEN 1 ELSE 0 END AS outcome_{c}ml" for c in (60, 80, 100)
+)
+_FIRSTS = ["id", "scan_number", "exclude", "censored", "iph", "eah", "change_iph", "change_eah", "max_iph", "max_eah"]
+_FIRSTS += [f"outcome_{c}ml" for c in (60, 80, 100)]
+_NAMES = {
+    "uid": "unique_study_id", "censored": "second_scan_post_surgery_trauma", "iph": "iph_predicted_volume_ml",
+    "eah": "eah_predicted_volume_ml", "change_iph": "change_iph_volume_first_scan",
+    "change_eah": "change_eah_volume_first_scan", "max_iph": "max_change_iph_volume_first_scan",
+    "max_eah": "max_change_eah_volume_first_scan",
+}
+
+
+@query(f"""
+WITH {_WINDOW},
+c AS (SELECT w.*, s.exclude, coalesce(s.censored, 0) AS censored FROM w JOIN ({_SHEET}) s ON w.uid = s.uid
+      WHERE (s.exclude = 0 OR s.censored = 1) AND w.id NOT IN (SELECT id FROM ({_EXCLUDED}))),
+b AS (SELECT *, iph - {_BASE.format("iph")} AS change_iph, eah - {_BASE.format("eah")} AS change_eah FROM c),
+m AS (SELECT *, max(change_iph) OVER (PARTITION BY uid) AS max_iph, max(change_eah) OVER (PARTITION BY uid) AS max_eah FROM b),
+o AS (SELECT *, {_OUTCOMES} FROM m),
+first_rows AS (SELECT uid, {", ".join(f"arg_min({c}, (ts, id)) FILTER ({c} IS NOT NULL) AS {c}" for c in _FIRSTS)} FROM o GROUP BY uid),
+r AS (SELECT *, row_number() OVER (ORDER BY md5('1300:' || uid)) AS rn, count(*) OVER () AS n FROM first_rows)
+SELECT {", ".join(f"{c} AS {_NAMES.get(c, c)}" for c in ["uid", *_FIRSTS])}, CASE WHEN rn <= ceil(n * 0.3) THEN 'test' ELSE 'train' END AS split
+FROM r
+""")
+def pipe_cohort_outcomes(t: Tables) -> DataFrame:
+    cohort = settle(plans.cohort_scans(history(t), sheet(t), excluded(t)))
+    first = settle(plans.first_scans(plans.model_table(cohort, [60, 80, 100])))
+    marked = ops.split_exact(first, "unique_study_id", 0.3, 1300)
+    return marked.select(*[_NAMES.get(c, c) for c in ["uid", *_FIRSTS]], "split")
+
+
+@query(f"""
+WITH {_WINDOW},
+q AS (SELECT w.*, CAST(s.exclude = 1 AS INTEGER) AS patient_excluded,
+             CAST(s.exclude = 1 OR w.id IN (SELECT id FROM ({_EXCLUDED})) AS INTEGER) AS exclude_id
+      FROM w JOIN ({_SHEET}) s ON w.uid = s.uid),
+firsts AS (SELECT report FROM q QUALIFY row_number() OVER (PARTITION BY uid ORDER BY scan_number, id) = 1),
+b AS (SELECT q.*, q.iph - g.iph AS d_iph, q.eah - g.eah AS d_eah FROM q
+      JOIN (SELECT DISTINCT uid, {_BASE.format("iph")} AS iph, {_BASE.format("eah")} AS eah FROM h) g ON q.uid = g.uid),
+long AS (SELECT 'volume' AS kind, uid, id, exclude_id, patient_excluded, 'iph' AS v, iph AS value FROM b
+         UNION ALL SELECT 'volume', uid, id, exclude_id, patient_excluded, 'eah', eah FROM b
+         UNION ALL SELECT 'change', uid, id, exclude_id, patient_excluded, 'iph', d_iph FROM b WHERE report NOT IN (SELECT report FROM firsts)
+         UNION ALL SELECT 'change', uid, id, exclude_id, patient_excluded, 'eah', d_eah FROM b WHERE report NOT IN (SELECT report FROM firsts))
+SELECT kind, uid AS unique_study_id, id, exclude_id, patient_excluded, value,
+       CASE WHEN kind = 'volume' THEN v || '_predicted_volume_ml' ELSE 'change_' || v || '_volume_first_scan' END AS variable,
+       upper(v) || CASE WHEN exclude_id = 1 THEN '-Exclude' ELSE '' END AS scan_status
+FROM long
+""")
+def pipe_quality_tables(t: Tables) -> DataFrame:
+    scans = settle(plans.volume_changes(history(t)))
+    scans = ops.within_hours(scans, "unique_study_id", "StudyDate_Time_format", 72)
+    ids = ["unique_study_id", "id", "exclude_id", "patient_excluded"]
+    volumes, changes = plans.quality_tables(scans, sheet(t), excluded(t), ids, ids)
+    return volumes.withColumn("kind", F.lit("volume")).unionByName(
+        changes.drop("value_abs").withColumn("kind", F.lit("change"))
+    )
+
+
+@query(f"""
+WITH h AS ({_HISTORY}),
+b AS (SELECT *, iph - {_BASE.format("iph")} AS d_iph, eah - {_BASE.format("eah")} AS d_eah FROM h),
+r AS (SELECT b.*, s.exclude, CASE WHEN s.exclude = 0 THEN 999 ELSE s.censored END AS flag
+      FROM b LEFT JOIN ({_SHEET}) s ON b.uid = s.uid
+      WHERE coalesce(s.exclude, 0) <> 1 AND b.id IN (SELECT 'scan_' || event_id FROM events WHERE event_type <> 'view')
+        AND b.id NOT IN (SELECT id FROM ({_EXCLUDED})))
+SELECT 'included' AS list, uid AS unique_study_id, id FROM r
+UNION ALL SELECT 'cases', uid, id FROM r WHERE flag IN (1, 999)
+UNION ALL SELECT 'five_ml', uid, id FROM r WHERE iph >= 5 OR (eah >= 5 AND flag IN (1, 999))
+UNION ALL SELECT 'five_ml_change', uid, id FROM r WHERE (iph >= 5 OR (eah >= 5 AND flag IN (1, 999))) AND (d_iph >= 8 OR d_eah >= 9)
+UNION ALL SELECT 'case_five_ml', uid, id FROM r WHERE flag IN (1, 999) AND (iph >= 5 OR eah >= 5)
+UNION ALL SELECT 'case_five_ml_change', uid, id FROM r WHERE flag IN (1, 999) AND (iph >= 5 OR eah >= 5) AND (d_iph >= 8 OR d_eah >= 9)
+UNION ALL SELECT 'unreviewed', uid, id FROM r WHERE exclude IS NULL
+UNION ALL (SELECT 'sample', uid, id FROM r WHERE iph >= 5 OR (eah >= 5 AND flag IN (1, 999)) ORDER BY md5('1148:' || id), id LIMIT 20)
+UNION ALL SELECT 'iph_high', uid, id FROM r WHERE d_iph >= 10
+UNION ALL SELECT 'eah_high', uid, id FROM r WHERE d_eah >= 10
+UNION ALL SELECT 'iph_vol_high', uid, id FROM r WHERE iph >= 10
+UNION ALL SELECT 'eah_vol_high', uid, id FROM r WHERE eah >= 10
+UNION ALL SELECT 'iph_large_dec', uid, id FROM r WHERE d_iph <= -10
+UNION ALL SELECT 'eah_large_dec', uid, id FROM r WHERE d_eah <= -10
+UNION ALL SELECT 'no_hemorrhage', uid, NULL FROM r GROUP BY uid
+  HAVING coalesce(max(iph), 0) + coalesce(max(eah), 0) + coalesce(max(ivh), 0) = 0
+""")
+def pipe_inclusion_lists(t: Tables) -> DataFrame:
+    scans = plans.volume_changes(history(t))
+    flag = F.when(F.col("exclude") == 0, 999).otherwise(F.col("second_scan_post_surgery_trauma"))
+    review = sheet(t).select("unique_study_id", "exclude", flag.alias("potential_hematoma_expansion_case"))
+    reports = t.events.where(F.col("event_type") != "view").select(
+        F.col("user_id").alias("unique_study_id"), F.concat(F.lit("R"), text("event_id")).alias("report_num_temp")
+    )
+    lists = plans.inclusion_lists(scans, review, reports, excluded(t))
+    out = []
+    for name, rows in lists.items():
+        label = F.col("tail") if name == "tails" else F.lit(name)
+        row_id = F.lit(None).cast("string") if name == "no_hemorrhage" else F.col("id")
+        out.append(rows.select(label.alias("list"), "unique_study_id", row_id.alias("id")))
+    return ops.union_all(*out)
