@@ -58,6 +58,6 @@ def completeness(df: DataFrame, key: str, value: str) -> DataFrame:
 
     The gate looks at the value, not at the key: after an outer join every key is there, found or not.
     """
-    per_key = keyed(df, [key]).groupBy(quoted(key)).agg(F.count(quoted(value)).alias("n"))
-    out = per_key.agg(F.count(F.lit(1)).alias("n_wanted"), F.count_if(F.col("n") > 0).alias("n_found"))
+    per_key = keyed(df, [key]).groupBy(quoted(key)).agg(F.count(quoted(value)).alias("__n"))
+    out = per_key.agg(F.count(F.lit(1)).alias("n_wanted"), F.count_if(F.col("__n") > 0).alias("n_found"))
     return out.withColumn("complete", F.col("n_wanted") == F.col("n_found"))

@@ -92,7 +92,7 @@ def waterfall(a: DataFrame, b: DataFrame, keys: Sequence[tuple[str, str]]) -> Da
 
     Result rows are distinct. Rows of ``a`` that no key matches come out once, with null columns of ``b``.
     """
-    rest, found = a.distinct(), []
+    rest, found = a, []
     for left, right in keys[:-1]:
         found.append(join_on(rest, b, [(left, right)]))
         rest = join_on(rest, b, [(left, right)], "anti")
@@ -108,12 +108,12 @@ def prefix_semi(a: DataFrame, path: str, prefixes: DataFrame, prefix: str, any_c
     with a meaning in regular expressions have none here.
     """
     fold = F.lower if any_case else (lambda c: c)
-    listed = prefixes.select(fold(quoted(prefix)).alias("cut")).where(F.col("cut").isNotNull()).distinct()
-    lengths = listed.agg(F.collect_set(F.length("cut")).alias("lengths")).scalar()
+    listed = prefixes.select(fold(quoted(prefix)).alias("__cut")).where(F.col("__cut").isNotNull()).distinct()
+    lengths = listed.agg(F.collect_set(F.length("__cut")).alias("lengths")).scalar()
     paths = a.select(path).where(quoted(path).isNotNull()).distinct()
-    cuts = paths.withColumn("n", F.explode(lengths)).where(F.length(fold(quoted(path))) >= F.col("n"))
-    cuts = cuts.select(path, fold(quoted(path)).substr(F.lit(1), F.col("n")).alias("cut"))
-    hits = join_ns(cuts, listed, ["cut"], "semi").select(path)
+    cuts = paths.withColumn("__n", F.explode(lengths)).where(F.length(fold(quoted(path))) >= F.col("__n"))
+    cuts = cuts.select(path, fold(quoted(path)).substr(F.lit(1), F.col("__n")).alias("__cut"))
+    hits = join_ns(cuts, listed, ["__cut"], "semi").select(path)
     return join_ns(a, hits, [path], "semi")
 
 

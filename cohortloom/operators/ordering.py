@@ -15,38 +15,56 @@ from cohortloom.session import settle
 _BUCKET_DIGITS = 4
 
 
+def _ranged(df: DataFrame, order: Sequence[Column], ranges: int | None) -> DataFrame:
+    """Rows cut into ordered ranges, with ``__part`` and the place ``__place`` (from 0) of the row in it.
+
+    The result is written down, so that later passes and any retry see the same cut. No task holds more than
+    one range. Range numbers and places come from the row ids Spark counts up in each sorted partition.
+    """
+    by = ascending(*order)
+    cut = df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)
+    numbered = cut.sortWithinPartitions(*by).withColumn("__id", F.monotonically_increasing_id())
+    split = {"__part": F.shiftright("__id", 33), "__place": F.col("__id").bitwiseAND((1 << 33) - 1)}
+    return settle(numbered.withColumns(split).drop("__id"))
+
+
+def global_row_id(df: DataFrame, order: Sequence[str], name: str = "row_id", ranges: int | None = None) -> DataFrame:
+    """Number the rows 1..n in the given order, which must tell rows apart. ``ranges`` is the number of sorted
+    ranges, the shuffle partitions if not given."""
+    ranged = _ranged(df, [quoted(o) for o in order], ranges)
+    # One row per range, so one task may add them up, and the sums may be broadcast.
+    sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
+    out = ranged.join(F.broadcast(starts), "__part")
+    return out.select(*[quoted(c) for c in df.columns], (F.col("__start") + F.col("__place") + 1).alias(name))
+
+
 def running_total(
-    df: DataFrame, order: Sequence[str], weight: Column, name: str, within: Sequence[str] = ()
+    df: DataFrame, order: Sequence[str], weight: Column, name: str, within: Sequence[str], ranges: int | None = None
 ) -> DataFrame:
-    """Add the running sum of ``weight`` in the order of ``within`` and ``order``, restarting for each ``within``.
+    """Add the running sum of ``weight`` in the order of ``order``, restarting for each ``within``.
 
-    ``within`` and ``order`` together must tell rows apart. Rows are cut into ordered ranges; each range is summed
-    alone and then raised by the total of the earlier ranges. The ranges are written down first, so that both
-    passes and any retry see the same cut. No task sees more than one range, however large a group is.
+    ``within`` and ``order`` together must tell rows apart. Each sorted range is summed alone and then raised by
+    the total of the same group in earlier ranges, so a group may have any number of rows.
     """
-    part, within = "__part", list(within)
-    ranged = df.withColumn("__weight", weight.cast("long"))
-    ranged = ranged.repartitionByRange(*ascending(*map(quoted, within), *map(quoted, order)))
-    ranged = settle(ranged.withColumn(part, F.spark_partition_id()))
-
-    inside = Window.partitionBy(part, *map(quoted, within)).orderBy(*ascending(*map(quoted, order)))
+    group = [quoted(c) for c in within]
+    rows = df.withColumn("__weight", weight.cast("long"))
+    ranged = _ranged(rows, [*group, *map(quoted, order)], ranges)
+    inside = Window.partitionBy("__part", *group).orderBy("__place")
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = ranged.withColumn("__here", F.sum("__weight").over(inside))
 
-    # One row per range and group: at most the number of ranges for any group.
-    totals = ranged.groupBy(part, *map(quoted, within)).agg(F.sum("__weight").alias("__sum"))
-    before = Window.partitionBy(*map(quoted, within)).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(part, *map(quoted, within), F.sum("__sum").over(before).alias("__before"))
-    out = join_ns(summed, offsets, [part, *within])
+    totals = ranged.groupBy("__part", *group).agg(F.sum("__weight").alias("__sum"))
+    before = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select("__part", *group, F.sum("__sum").over(before).alias("__before"))
+    # Only the first group of a range can reach back into earlier ranges, so there is one row per range at most.
+    carried = carried.where(F.col("__before").isNotNull())
+    out = join_ns(summed, F.broadcast(carried), ["__part", *within], "left")
     total = F.col("__here") + F.coalesce(F.col("__before"), F.lit(0))
     return out.withColumn(name, total).select(*[quoted(c) for c in df.columns], name)
 
 
-def global_row_id(df: DataFrame, order: Sequence[str], name: str = "row_id") -> DataFrame:
-    """Number the rows 1..n in the given order, which must tell rows apart."""
-    return running_total(df, order, F.lit(1), name)
-
-
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows of the largest group. Reads the key columns only."""
     return df.groupBy(*map(quoted, keys)).count().agg(F.max("count")).first()[0] or 0
@@ -89,29 +107,30 @@ def five_number_summary(
     sketch in place of that.
     """
     names, shares = ["min", "q1", "median", "q3", "max"], [0.0, 0.25, 0.5, 0.75, 1.0]
-    rows = keyed(df, [*by, value]).select(*map(quoted, by), quoted(value).cast("double").alias("x"))
+    rows = keyed(df, [*by, value]).select(*map(quoted, by), quoted(value).cast("double").alias("__x"))
     if approx:
-        sketch = rows.groupBy(*map(quoted, by)).agg(F.percentile_approx("x", shares, 10_000).alias("q"))
-        return sketch.select(*map(quoted, by), *[F.get("q", F.lit(i)).alias(n) for i, n in enumerate(names)])
+        sketch = rows.groupBy(*map(quoted, by)).agg(F.percentile_approx("__x", shares, 10_000).alias("__q"))
+        return sketch.select(*map(quoted, by), *[F.get("__q", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
-    counts = rows.groupBy(*map(quoted, by), "x").agg(F.count(F.lit(1)).alias("n"))
-    placed = running_total(counts, ["x"], F.col("n"), "upto", within=by)
-    sizes = rows.groupBy(*map(quoted, by)).agg(F.count(F.lit(1)).alias("rows"))
+    counts = rows.groupBy(*map(quoted, by), "__x").agg(F.count(F.lit(1)).alias("__n"))
+    placed = running_total(counts, ["__x"], F.col("__n"), "__upto", within=by)
+    # Written down, so that the join knows its size: the groups are few as a rule.
+    sizes = settle(placed.groupBy(*map(quoted, by)).agg(F.max("__upto").alias("__rows")))
     placed = join_ns(placed, sizes, by)
 
     def at(position: Column) -> Column:
-        covers = (F.col("upto") > position) & (F.col("upto") - F.col("n") <= position)
-        return F.max(F.when(covers, F.col("x")))
+        covers = (F.col("__upto") > position) & (F.col("__upto") - F.col("__n") <= position)
+        return F.max(F.when(covers, F.col("__x")))
 
     aggs = []
     for label, share in zip(names, shares):
-        place = (F.col("rows") - 1) * F.lit(share)
-        aggs += [at(F.floor(place)).alias(f"{label}_lo"), at(F.ceil(place)).alias(f"{label}_hi")]
-    found = placed.groupBy(*map(quoted, by), "rows").agg(*aggs)
+        place = (F.col("__rows") - 1) * F.lit(share)
+        aggs += [at(F.floor(place)).alias(f"__{label}_lo"), at(F.ceil(place)).alias(f"__{label}_hi")]
+    found = placed.groupBy(*map(quoted, by), "__rows").agg(*aggs)
 
     def quantile(label: str, share: float) -> Column:
-        place = (F.col("rows") - 1) * F.lit(share)
-        low, high = F.col(f"{label}_lo"), F.col(f"{label}_hi")
+        place = (F.col("__rows") - 1) * F.lit(share)
+        low, high = F.col(f"__{label}_lo"), F.col(f"__{label}_hi")
         return (low + (high - low) * (place - F.floor(place))).alias(label)
 
     return found.select(*map(quoted, by), *[quantile(n, s) for n, s in zip(names, shares)])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortloom.functions.exprs import hex_code, quoted
 from cohortloom.operators.aggregates import argmin_per_group, group_counts
-from cohortloom.operators.joins import join_ns, join_on, not_in
+from cohortloom.operators.joins import join_ns, not_in
 
 
 def prefer(df: DataFrame, is_variant: Column, keys: Sequence[str]) -> DataFrame:
@@ -74,8 +74,8 @@ def tag_long_table(
     The representative is the file with the smallest name, so that the result does not depend on the order of
     a directory listing.
     """
-    chosen = df.groupBy(quoted(entity).alias("e")).agg(F.min(quoted(file)).alias("f"))
-    rows = join_on(df, chosen, [(entity, "e"), (file, "f")], "semi")
+    chosen = df.groupBy(quoted(entity)).agg(F.min(quoted(file)).alias(file))
+    rows = join_ns(df, chosen, [entity, file], "semi")
     return rows.where(F.coalesce(quoted(name) != skip, F.lit(True))).select(
         quoted(entity).cast("string").alias("file_path"),
         hex_code(quoted(group)).alias("Group"),

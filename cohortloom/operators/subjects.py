@@ -1,7 +1,9 @@
 """Values of a subject's whole history on each of its rows: one grouped pass, then a lookup join.
 
 A window over the subject would put all rows of one subject in one task. Here the history is reduced before its
-shuffle and the rows are joined to the one-row-per-subject result.
+shuffle, written down, and joined to the rows. As the written table has a known size, Spark broadcasts it if it is
+below ``spark.sql.autoBroadcastJoinThreshold``, and then the rows are not shuffled at all; otherwise it is a sort-merge
+join in which the adaptive skew join may split a large subject.
 """
 
 from __future__ import annotations
@@ -13,12 +15,13 @@ from pyspark.sql import DataFrame, functions as F
 from cohortloom.functions.exprs import elapsed_hours, outcome_flag, quoted
 from cohortloom.operators.aggregates import argmin_per_group, first_non_null, group_counts, keyed
 from cohortloom.operators.joins import join_ns, not_in
+from cohortloom.session import settle
 
 
 def group_max_on_rows(df: DataFrame, keys: Sequence[str], col: str, name: str) -> DataFrame:
     """Largest value of the group on every row; null where a key is null."""
     tops = keyed(df, keys).groupBy(*keys).agg(F.max(quoted(col)).alias(name))
-    return join_ns(df, tops, keys, "left")
+    return join_ns(df, settle(tops), keys, "left")
 
 
 def first_on_rows(df: DataFrame, subject: str, order: Sequence[str], cols: dict[str, str]) -> DataFrame:
@@ -26,7 +29,7 @@ def first_on_rows(df: DataFrame, subject: str, order: Sequence[str], cols: dict[
     firsts = keyed(df, [subject]).groupBy(subject).agg(
         *[first_non_null(c, order).alias(name) for c, name in cols.items()]
     )
-    return join_ns(df, firsts, [subject], "left")
+    return join_ns(df, settle(firsts), [subject], "left")
 
 
 def within_hours(
@@ -35,7 +38,7 @@ def within_hours(
     """Rows at most ``hours`` after the subject's first row. Hours are rounded half to even first, so a window
     of 72 hours admits 72.5 hours."""
     firsts = keyed(df, [subject]).groupBy(subject).agg(F.min(quoted(ts)).alias("first_scan_time"))
-    rows = join_ns(df, firsts, [subject]).withColumn(elapsed, elapsed_hours("first_scan_time", quoted(ts)))
+    rows = join_ns(df, settle(firsts), [subject]).withColumn(elapsed, elapsed_hours("first_scan_time", quoted(ts)))
     return rows.where(F.col(elapsed) <= hours)
 
 
@@ -61,7 +64,7 @@ def baseline_change(
         history = history.withColumns(
             {greatest.format(c): quoted(greatest.format(c)) - quoted(first.format(c)) for c in cols}
         )
-    rows = join_ns(df, history, [subject], "left")
+    rows = join_ns(df, settle(history), [subject], "left")
     return rows.withColumns({change.format(c): quoted(c) - quoted(first.format(c)) for c in cols})
 
 
@@ -84,7 +87,7 @@ def outcomes(
 ) -> DataFrame:
     """Outcome flags of the subject on each of its rows: greatest change reaches the cut, and not censored."""
     tops = keyed(df, [subject]).groupBy(subject).agg(*[F.max(quoted(c)).alias("max_" + c) for c in changes])
-    rows = join_ns(df, tops, [subject], "left")
+    rows = join_ns(df, settle(tops), [subject], "left")
     tops_cols = [quoted("max_" + c) for c in changes]
     return rows.withColumns({name.format(cut): outcome_flag(tops_cols, cut, quoted(censored)) for cut in cuts})
 
@@ -92,10 +95,10 @@ def outcomes(
 def min_rows_per_subject(df: DataFrame, subject: str, n: int, counted: str | None = None) -> DataFrame:
     """Drop subjects with fewer than n rows; rows with null subject stay, as no count refers to them."""
     few = group_counts(df, [subject], counted).where(F.col("count") < n)
-    return join_ns(df, few, [subject], "anti")
+    return join_ns(df, settle(few.select(subject)), [subject], "anti")
 
 
 def followup_rows(df: DataFrame, subject: str, number: str, report: str, tiebreak: Sequence[str]) -> DataFrame:
     """Rows whose report is not the report of any subject's first row."""
     first = argmin_per_group(df, [subject], number, tiebreak)
-    return not_in(df, report, first, report)
+    return not_in(df, report, settle(first.select(quoted(report))), report)

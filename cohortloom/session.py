@@ -39,11 +39,12 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="cohortloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="cohortloom-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
