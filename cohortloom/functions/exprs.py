@@ -18,9 +18,14 @@ def as_col(c: Col) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ticked(name: str) -> str:
+    """A column name in SQL text; safe for names with spaces, dots and hyphens."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
-    """A column by its exact name; safe for names with spaces, dots and hyphens."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """A column by its exact name."""
+    return F.col(ticked(name))
 
 
 def family_names(template: str, regions: Sequence[str], classes: Sequence[str] = ("",)) -> list[str]:
@@ -104,8 +109,14 @@ def parse_timestamp(c: Col) -> Column:
 
 
 def elapsed_hours(start: Col, end: Col) -> Column:
-    """Hours from start to end, rounded half to even: 71.5 and 72.5 hours both give 72."""
-    return F.bround(F.timestamp_diff("MICROSECOND", as_col(start), as_col(end)) / F.lit(3.6e9))
+    """Hours from start to end, rounded half to even: 71.5 and 72.5 hours both give 72.
+
+    Taken from the interval between the two, which does not depend on the time zone of the session.
+    """
+    gap = as_col(end) - as_col(start)
+    day, hour, minute, second = (F.extract(F.lit(p), gap) for p in ("DAY", "HOUR", "MINUTE", "SECOND"))
+    seconds = day.cast("long") * 86_400 + hour * 3_600 + minute * 60 + second
+    return F.bround(seconds.cast("double") / 3_600)
 
 
 # --- numbers and flags --------------------------------------------------------------------------------------

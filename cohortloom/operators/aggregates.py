@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortloom.functions.exprs import as_col, order_key, quoted, row_sum
+from cohortloom.functions.exprs import as_col, order_key, quoted, row_sum, strip_whitespace, ticked
 from cohortloom.functions.predicates import all_of
 
 
@@ -15,9 +15,10 @@ def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(all_of([quoted(k).isNotNull() for k in keys]))
 
 
-def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row with the number of distinct non-null values of each column."""
-    return df.agg(*[F.count_distinct(quoted(c)).alias(c) for c in cols])
+def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
+    """One row with the number of distinct non-null values of each column; ``approx`` uses a sketch instead."""
+    count = F.approx_count_distinct if approx else F.count_distinct
+    return df.agg(*[count(quoted(c)).alias(c) for c in cols])
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def percent_of_total(df: DataFrame, label: str, count: str = "count", share: str
 
     The total is a one-row subquery on the grouped table, not a window over it.
     """
-    counts = value_counts(df.select(F.trim(F.lower(quoted(label))).alias(label)), [label], count)
+    counts = value_counts(df.select(strip_whitespace(F.lower(quoted(label))).alias(label)), [label], count)
     total = counts.agg(F.sum(count)).scalar()
     return counts.withColumn(share, F.bround(F.col(count) * 100 / total, 1))
 
@@ -70,15 +71,20 @@ def best_of_group(df: DataFrame, keys: Sequence[str], metric: str, tiebreak: Seq
     return rows.groupBy(*[quoted(k).alias(f"k{i}") for i, k in enumerate(keys)]).agg(first).select("row.*")
 
 
-def first_non_null(value: str, order: Sequence[str]) -> Column:
-    """Aggregate: first value that is not null, in the given order."""
-    return F.min_by(quoted(value), F.when(quoted(value).isNotNull(), order_key(*[quoted(o) for o in order])))
+def in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Add the sort key that ``first_non_null`` goes by, once for all aggregates."""
+    return df.withColumn("__order", order_key(*[quoted(o) for o in order]))
+
+
+def first_non_null(value: str) -> Column:
+    """Aggregate over ``in_order`` rows: first value that is not null."""
+    return F.expr(f"min_by({ticked(value)}, __order) FILTER (WHERE {ticked(value)} IS NOT NULL)")
 
 
 def first_non_null_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Per key and column the first non-null value in order. One result row may mix source rows."""
-    values = [c for c in df.columns if c not in keys]
-    return keyed(df, keys).groupBy(*keys).agg(*[first_non_null(c, order).alias(c) for c in values])
+    firsts = [first_non_null(c).alias(c) for c in df.columns if c not in keys]
+    return in_order(keyed(df, keys), order).groupBy(*keys).agg(*firsts)
 
 
 def pivot_unique(df: DataFrame, row: str, column: str, value: str, names: Sequence[str]) -> DataFrame:

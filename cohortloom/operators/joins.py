@@ -37,21 +37,21 @@ def join_ns(
 
     Other columns in both tables get the suffixes. ``how``: inner, left, right, semi, anti.
     """
-    keys = list(keys)
-    right = b.select([quoted(k).alias(_RIGHT + k) for k in keys] + [quoted(c) for c in b.columns if c not in keys])
-    condition = _same([(k, _RIGHT + k) for k in keys])
+    right = b.withColumnsRenamed({k: _RIGHT + k for k in keys})
+    right_keys = [_RIGHT + k for k in keys]
+    condition = _same(list(zip(keys, right_keys)))
     if how in ("semi", "anti"):
-        return a.join(right.select([quoted(_RIGHT + k) for k in keys]), condition, f"left_{how}")
+        return a.join(right.select(*map(quoted, right_keys)), condition, f"left_{how}")
     if how not in ("inner", "left", "right"):
         raise ValueError(f"how must be inner, left, right, semi or anti, not {how!r}")
     twice = [c for c in shared_columns(a, b) if c not in keys]
-    left = a.withColumnsRenamed({c: c + suffixes[0] for c in twice})
-    right = right.withColumnsRenamed({c: c + suffixes[1] for c in twice})
-    side = _RIGHT if how == "right" else ""
-    values = [c for c in left.columns if c not in keys] + [c for c in right.columns if not c.startswith(_RIGHT)]
-    return left.join(right, condition, how).select(
-        [quoted(side + k).alias(k) for k in keys] + [quoted(c) for c in values]
-    )
+    if twice:
+        a = a.withColumnsRenamed({c: c + suffixes[0] for c in twice})
+        right = right.withColumnsRenamed({c: c + suffixes[1] for c in twice})
+    joined = a.join(right, condition, how)
+    if how == "right":
+        joined = joined.withColumns({k: quoted(r) for k, r in zip(keys, right_keys)})
+    return joined.drop(*right_keys)
 
 
 def join_on(a: DataFrame, b: DataFrame, pairs: Sequence[tuple[str, str]], how: str = "inner") -> DataFrame:

@@ -36,8 +36,8 @@ def global_row_id(df: DataFrame, order: Sequence[str], name: str = "row_id", ran
     sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
-    out = ranged.join(F.broadcast(starts), "__part")
-    return out.select(*[quoted(c) for c in df.columns], (F.col("__start") + F.col("__place") + 1).alias(name))
+    out = ranged.join(F.broadcast(starts), "__part").withColumn(name, F.col("__start") + F.col("__place") + 1)
+    return out.drop("__part", "__place", "__start")
 
 
 def running_total(
@@ -62,7 +62,7 @@ def running_total(
     carried = carried.where(F.col("__before").isNotNull())
     out = join_ns(summed, F.broadcast(carried), ["__part", *within], "left")
     total = F.col("__here") + F.coalesce(F.col("__before"), F.lit(0))
-    return out.withColumn(name, total).select(*[quoted(c) for c in df.columns], name)
+    return out.withColumn(name, total).drop("__part", "__place", "__weight", "__here", "__before")
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -93,8 +93,13 @@ def dense_rank_per_subject(
 
 
 def sort_multi(df: DataFrame, *by: tuple[str, bool]) -> DataFrame:
-    """Sort by (column, ascending) pairs, null last both ways."""
-    return df.orderBy(*[as_col(c).asc_nulls_last() if up else as_col(c).desc_nulls_last() for c, up in by])
+    """Sort by (column, ascending) pairs, null last both ways.
+
+    Rows equal in these come in the order of a hash of the row. So the result is repeatable, and a value that many
+    rows share is cut into several ranges.
+    """
+    keys = [as_col(c).asc_nulls_last() if up else as_col(c).desc_nulls_last() for c, up in by]
+    return df.orderBy(*keys, F.xxhash64(*map(quoted, df.columns)))
 
 
 def five_number_summary(

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortloom.functions.exprs import hex_code, quoted
+from cohortloom.functions.exprs import ascending, hex_code, quoted
 from cohortloom.operators.aggregates import argmin_per_group, group_counts
 from cohortloom.operators.joins import join_ns, not_in
+from cohortloom.session import settle
 
 
 def prefer(df: DataFrame, is_variant: Column, keys: Sequence[str]) -> DataFrame:
@@ -44,10 +45,11 @@ def override(
     crowded = group_counts(slim, group).where(F.col("count") >= 2)
     rows = join_ns(slim, crowded, group, "semi")
     listed = manual.select(quoted(subject), quoted(manual_id).alias(row_id))
-    picked = join_ns(rows, listed, [subject, row_id])
+    # Picks and choice are written down: each is used twice, and Spark can broadcast them if they are small.
+    picked = settle(join_ns(rows, listed, [subject, row_id]))
     unpicked = not_in(rows, report, picked, report)
     chosen = argmin_per_group(unpicked, [subject, report], metric, tiebreak).unionByName(picked)
-    chosen = chosen.select(*map(quoted, block), quoted(row_id))
+    chosen = settle(chosen.select(*map(quoted, block), quoted(row_id)))
     kept = join_ns(base, chosen, block, "anti")
     return kept.unionByName(join_ns(base, chosen, [*block, row_id], "right"))
 
@@ -72,10 +74,11 @@ def tag_long_table(
     """Header attributes of one representative file per entity, the pixel attribute left out.
 
     The representative is the file with the smallest name, so that the result does not depend on the order of
-    a directory listing.
+    a directory listing. Spark keeps the first rank of each entity in every input part before it shuffles, so an
+    entity may have any number of files.
     """
-    chosen = df.groupBy(quoted(entity)).agg(F.min(quoted(file)).alias(file))
-    rows = join_ns(df, chosen, [entity, file], "semi")
+    first = F.rank().over(Window.partitionBy(quoted(entity)).orderBy(*ascending(quoted(file))))
+    rows = df.withColumn("__rank", first).where(F.col("__rank") == 1)
     return rows.where(F.coalesce(quoted(name) != skip, F.lit(True))).select(
         quoted(entity).cast("string").alias("file_path"),
         hex_code(quoted(group)).alias("Group"),

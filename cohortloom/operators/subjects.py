@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from cohortloom.functions.exprs import elapsed_hours, outcome_flag, quoted
-from cohortloom.operators.aggregates import argmin_per_group, first_non_null, group_counts, keyed
+from cohortloom.operators.aggregates import argmin_per_group, first_non_null, group_counts, in_order, keyed
 from cohortloom.operators.joins import join_ns, not_in
 from cohortloom.session import settle
 
@@ -26,9 +26,8 @@ def group_max_on_rows(df: DataFrame, keys: Sequence[str], col: str, name: str) -
 
 def first_on_rows(df: DataFrame, subject: str, order: Sequence[str], cols: dict[str, str]) -> DataFrame:
     """First non-null value in order of each column on every row of the subject, as {column: new name}."""
-    firsts = keyed(df, [subject]).groupBy(subject).agg(
-        *[first_non_null(c, order).alias(name) for c, name in cols.items()]
-    )
+    rows = in_order(keyed(df, [subject]), order)
+    firsts = rows.groupBy(subject).agg(*[first_non_null(c).alias(name) for c, name in cols.items()])
     return join_ns(df, settle(firsts), [subject], "left")
 
 
@@ -56,10 +55,10 @@ def baseline_change(
     With ``greatest`` the subject's greatest change is added too. It is taken as greatest value minus first
     value, which is the same number, so that all of it comes from one grouped pass and one join.
     """
-    aggs = [first_non_null(c, order).alias(first.format(c)) for c in cols]
+    aggs = [first_non_null(c).alias(first.format(c)) for c in cols]
     if greatest:
         aggs += [F.max(quoted(c)).alias(greatest.format(c)) for c in cols]
-    history = keyed(df, [subject]).groupBy(subject).agg(*aggs)
+    history = in_order(keyed(df, [subject]), order).groupBy(subject).agg(*aggs)
     if greatest:
         history = history.withColumns(
             {greatest.format(c): quoted(greatest.format(c)) - quoted(first.format(c)) for c in cols}
@@ -100,5 +99,6 @@ def min_rows_per_subject(df: DataFrame, subject: str, n: int, counted: str | Non
 
 def followup_rows(df: DataFrame, subject: str, number: str, report: str, tiebreak: Sequence[str]) -> DataFrame:
     """Rows whose report is not the report of any subject's first row."""
-    first = argmin_per_group(df, [subject], number, tiebreak)
+    slim = df.select(*[quoted(c) for c in dict.fromkeys([subject, number, report, *tiebreak])])
+    first = argmin_per_group(slim, [subject], number, tiebreak)
     return not_in(df, report, settle(first.select(quoted(report))), report)

@@ -15,7 +15,10 @@ VOLUMES = ["iph", "eah", "ivh"]
 
 
 def usable_images(predictions: DataFrame, drop_ids: Sequence, keep_ids: Sequence) -> DataFrame:
-    """Distinct rows without unusable images. ``keep_ids`` escape the slice limits, ``drop_ids`` are removed."""
+    """Rows without unusable images. ``keep_ids`` escape the slice limits, ``drop_ids`` are removed.
+
+    Repeated rows stay: they are in one group, of which one row is taken next.
+    """
     rows = predictions.where(fn.not_listed("id", drop_ids)).where(fn.contains_none("image", fixed.UNUSABLE_IMAGE_WORDS))
     rows = rows.where(fn.range_or_listed("slice_num", fixed.MIN_SLICES, fixed.MAX_SLICES, "id", keep_ids))
     return rows.withColumns(
@@ -24,15 +27,15 @@ def usable_images(predictions: DataFrame, drop_ids: Sequence, keep_ids: Sequence
             "image_name": fn.split_part("image", ("/random/", 1), ("/", 0)),
             "corrected": fn.contains_any("image", fixed.CORRECTED_IMAGE_WORDS),
         }
-    ).distinct()
+    )
 
 
 def choose_images(predictions: DataFrame, picks: DataFrame, drop_ids: Sequence, keep_ids: Sequence) -> DataFrame:
     """One row per subject and folder, for subjects with at least two. ``picks`` has unique_study_id, id_to_keep."""
     rows = usable_images(predictions, drop_ids, keep_ids)
     one_each = [SUBJECT, "image_name", "scan_number", "corrected"]
-    rows = ops.best_of_group(rows, one_each, "quality_control_metric", ["id"])
-    # Written down as the choice below goes over it several times.
+    # Written down where the next step goes over it several times.
+    rows = settle(ops.best_of_group(rows, one_each, "quality_control_metric", ["id"]))
     rows = settle(ops.prefer(rows, fn.as_col("corrected"), SERIES_KEYS).drop("corrected"))
     rows = ops.override(
         rows, picks, "id_to_keep", SUBJECT, REPORT, "folder", "scan_number", "id", "quality_control_metric", ["id"]

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from cohortloom import functions as fn, operators as ops
+from cohortloom.session import settle
 
 SUBJECT = "unique_study_id"
 
@@ -42,7 +43,7 @@ def quality_tables(
 ) -> tuple[DataFrame, DataFrame]:
     """(volumes of all scans, changes of follow-up scans), long. Follow-up scans are those whose report is not
     the report of any subject's first scan."""
-    rows = marked_scans(scans, sheet, excluded)
+    rows = settle(marked_scans(scans, sheet, excluded))
     volumes = ["iph_predicted_volume_ml", "eah_predicted_volume_ml"]
     changes = ["change_iph_volume_first_scan", "change_eah_volume_first_scan"]
     later = ops.followup_rows(rows, SUBJECT, "scan_number", "report_num_temp", ["id"])

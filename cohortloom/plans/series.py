@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cohortloom import fixed_values as fixed, functions as fn, operators as ops
+from cohortloom.session import settle
 
 # The attributes used.
 TAGS = ["Image Type", "Accession Number", "Window Center", "Window Width"]
@@ -16,7 +17,8 @@ def select_series(tags: DataFrame) -> DataFrame:
     A folder with an unwanted word is dropped, unless its path extends a kept one.
     """
     wide = ops.pivot_unique(tags, "file_path", "Description", "value", TAGS)
-    axial = wide.where(fn.contains_any(fn.quoted("Image Type"), ["AXIAL"]))
+    # Written down: the folder list and the rows looked up in it both come from here.
+    axial = settle(wide.where(fn.contains_any(fn.quoted("Image Type"), ["AXIAL"])))
     folders = axial.select(fn.split_part("file_path", ("CT.", 0)).alias("folder"))
     brain = folders.where(fn.contains_none("folder", fixed.NOT_BRAIN_WORDS))
     kept = ops.prefix_semi(axial, "file_path", brain, "folder")

@@ -23,7 +23,10 @@ def local_session(name: str = "cohortloom", cores: int | str = "*", **extra: str
     settings = SETTINGS | {
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
+        # Looking up the calling line for every column expression costs more than small queries do.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     for key, value in (settings | extra).items():
         builder = builder.config(key, value)

@@ -357,3 +357,8 @@ def test_tag_table_takes_smallest_file_and_drops_pixels(spark):
     assert rows(ops.tag_long_table(df, "e", "f", "g", "h", "n", "vr", "v")) == [
         ("d", "0008", "0008", "Image Type", "CS", "early"), (None, "0008", "0050", None, "SH", "n"),
     ]
+
+
+def test_approximate_counts(spark):
+    df = spark.range(100).selectExpr("id % 10 AS k")
+    assert rows(ops.distinct_counts(df, ["k"], approx=True)) == [(10,)]
