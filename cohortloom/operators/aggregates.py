@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortloom.functions.exprs import as_col, order_key, quoted, row_sum, strip_whitespace, ticked
+from cohortloom.functions.exprs import as_col, ascending, order_key, quoted, row_sum, strip_whitespace, ticked
 from cohortloom.functions.predicates import all_of
 
 
@@ -53,22 +53,25 @@ def group_max(df: DataFrame, keys: Sequence[str], cols: Sequence[str], prefix: s
     return tops.withColumn("total", row_sum(*[quoted(prefix + c) for c in cols]))
 
 
+def _lowest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """First row per key in order. Spark keeps the first row of each key in every input part before it shuffles,
+    so a key may have any number of rows."""
+    window = Window.partitionBy(*map(quoted, keys)).orderBy(*ascending(*map(quoted, order)))
+    return df.withColumn("__rank", F.row_number().over(window)).where(F.col("__rank") == 1).drop("__rank")
+
+
 def argmin_per_group(df: DataFrame, keys: Sequence[str], metric: str, tiebreak: Sequence[str]) -> DataFrame:
     """The whole row with the lowest metric per key.
 
     Rows with null metric or null key take no part. Ties go to the lowest tie-break, which should name enough
     columns to tell rows apart.
     """
-    rows = keyed(df, [*keys, metric])
-    first = F.min_by(F.struct("*"), order_key(metric, *tiebreak)).alias("row")
-    return rows.groupBy(*[quoted(k).alias(f"k{i}") for i, k in enumerate(keys)]).agg(first).select("row.*")
+    return _lowest(keyed(df, [*keys, metric]), keys, [metric, *tiebreak])
 
 
 def best_of_group(df: DataFrame, keys: Sequence[str], metric: str, tiebreak: Sequence[str]) -> DataFrame:
     """One row per key: groups of one as they are, larger ones reduced to the lowest metric, null metric last."""
-    first = F.min_by(F.struct("*"), order_key(metric, *tiebreak)).alias("row")
-    rows = keyed(df, keys)
-    return rows.groupBy(*[quoted(k).alias(f"k{i}") for i, k in enumerate(keys)]).agg(first).select("row.*")
+    return _lowest(keyed(df, keys), keys, [metric, *tiebreak])
 
 
 def in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:

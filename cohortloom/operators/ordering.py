@@ -159,20 +159,26 @@ def split_exact(df: DataFrame, key: str, test_share: float, seed: int, name: str
     shuffled. Other rows than a NumPy generator would pick.
     """
     h = seeded_hash(key, seed)
-    hashed = df.select(h.alias("h")).withColumn("bucket", F.substring("h", 1, _BUCKET_DIGITS))
-    counts = hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    limit = _hash_at(df.select(h.alias("h")), test_share)
+    return df.withColumn(name, F.when(F.coalesce(h <= limit, F.lit(False)), "test").otherwise("train"))
+
+
+def _hash_at(hashes: DataFrame, share: float) -> Column:
+    """The hash up to which exactly ``ceil(share * rows)`` hashes lie; null if that is none."""
+    bucket = F.substring("h", 1, _BUCKET_DIGITS)
     # At most 65,536 rows, so one task may add them up.
-    sums = counts.withColumn("upto", F.sum("n").over(Window.orderBy("bucket")))
-    total = counts.agg(F.sum("n")).scalar()
-    wanted = F.ceil(total * F.lit(test_share)).cast("long")
-    cut = sums.where((F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted))
-    bucket = cut.select("bucket").scalar()
-    rank = wanted - cut.select(F.col("upto") - F.col("n")).scalar()
-    ordered = hashed.where(F.col("bucket") == bucket).select(
-        "h", F.row_number().over(Window.partitionBy("bucket").orderBy("h")).alias("rank")
+    counts = settle(hashes.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")))
+    sums = counts.withColumns(
+        {"upto": F.sum("n").over(Window.orderBy("bucket")), "total": F.sum("n").over(Window.partitionBy())}
     )
-    limit = ordered.where(F.col("rank") == rank).select("h").scalar()
-    return df.withColumn(name, F.when(F.coalesce(h <= limit, F.lit(False)), "test").otherwise("train"))
+    wanted = F.ceil(F.col("total") * F.lit(share))
+    cut = sums.where((F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted))
+    found = cut.select("bucket", (wanted - (F.col("upto") - F.col("n"))).cast("int").alias("rank")).first()
+    if found is None:
+        return F.lit(None).cast("string")
+    window = Window.partitionBy(bucket).orderBy("h")
+    ordered = hashes.where(bucket == found["bucket"]).withColumn("rank", F.row_number().over(window))
+    return F.lit(ordered.where(F.col("rank") == found["rank"]).first()["h"])
 
 
 def batch_number(row_id: Column, n: int) -> Column:

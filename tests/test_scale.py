@@ -93,17 +93,22 @@ def test_large_history_is_not_broadcast(hot, conf):
 
 def test_groups_are_reduced_before_the_shuffle(hot):
     for df in [
-        ops.argmin_per_group(hot, ["uid"], "vol", ["id"]),
         ops.first_non_null_per_group(hot, ["uid"], ["ts", "id"]),
         ops.group_max(hot, ["uid"], ["vol"]),
         ops.group_counts(hot, ["uid"]),
     ]:
         text = first_plan(df)
         assert "partial_" in text and "Window" not in text
+    for df in [
+        ops.argmin_per_group(hot, ["uid"], "vol", ["id"]),
+        ops.best_of_group(hot, ["uid"], "vol", ["id"]),
+        ops.tag_long_table(hot, "uid", "folder", "id", "id", "series", "series", "vol"),
+    ]:
+        assert re.search(r"Exchange hashpartitioning.*\n.*WindowGroupLimit .* 1, Partial", first_plan(df))
 
 
-# Queries with a window over everything: it runs over one row per hash bucket or per range, never over the table.
-BOUNDED_WINDOWS = {"exact_split", "pipe_cohort_outcomes", "global_row_id", "write_fixed_batches"}
+# Queries with a window over everything: it runs over one row per range, never over the table.
+BOUNDED_WINDOWS = {"global_row_id", "write_fixed_batches"}
 
 
 def windows_in_one_task(text):
