@@ -238,7 +238,7 @@ SELECT user_id AS uid, 'scan_' || event_id AS id, 'R' || event_id AS report, ts,
        CAST(dense_rank() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS scan_number
 FROM events
 """
-_SHEET = "SELECT doc_id AS uid, quality AS exclude, nullif(toxic, 0) AS censored FROM labels"
+_SHEET = "SELECT doc_id AS uid, 1 - quality AS exclude, nullif(toxic, 0) AS censored FROM labels"
 _EXCLUDED = "SELECT user_id AS uid, 'scan_' || event_id AS id FROM events WHERE event_type = 'error' AND value >= 20"
 _WINDOW = f"""
 h AS ({_HISTORY}),
@@ -265,7 +265,7 @@ def history(t: Tables) -> DataFrame:
 def sheet(t: Tables) -> DataFrame:
     return t.labels.select(
         F.col("doc_id").alias("unique_study_id"),
-        F.col("quality").alias("exclude"),
+        (1 - F.col("quality")).alias("exclude"),
         F.nullif("toxic", F.lit(0)).alias("second_scan_post_surgery_trauma"),
     )
 
