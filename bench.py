@@ -48,7 +48,7 @@ def main() -> None:
         "unit": "sec",
         "queries": {n: round(s, 3) for n, s in warm.items()},
         "cold": {n: round(s, 3) for n, s in cold.items()},
-        "sf": folder.rstrip("/").rsplit("sf", 1)[-1],
+        "sf": float(folder.rstrip("/").rsplit("sf", 1)[-1]),
     }
     spark.stop()
     print(json.dumps(result))

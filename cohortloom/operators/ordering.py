@@ -143,7 +143,8 @@ def five_number_summary(
 
 def seeded_hash(key: str, seed: int) -> Column:
     """Repeatable random order of a key: the same on any cluster and with any partitioning."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), quoted(key).cast("string")).cast("binary"))
+    text = F.coalesce(quoted(key).cast("string"), F.lit(""))
+    return F.md5(F.concat(F.lit(f"{seed}:"), text).cast("binary"))
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:

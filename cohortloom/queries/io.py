@@ -107,11 +107,10 @@ def gated_write(t: Tables) -> DataFrame:
     for batch, rows in [("all", orders), ("shipped", orders.where("n IS NOT NULL"))]:
         path = scratch_path(t.spark, "gated")
         try:
-            sources.write_if(rows, "o_orderkey", "n", path)
+            check = sources.write_if(rows, "o_orderkey", "n", path)
             written = t.spark.read.schema(rows.schema).parquet(path).agg(F.count(F.lit(1))).scalar()
         except sources.IncompleteError:
-            written = F.lit(0).cast("long")
-        check = sources.completeness(rows, "o_orderkey", "n")
+            check, written = ops.completeness(rows, "o_orderkey", "n"), F.lit(0).cast("long")
         out.append(check.select(F.lit(batch).alias("batch"), "*", written.alias("rows_written")))
     return out[0].unionByName(out[1])
 

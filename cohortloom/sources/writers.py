@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortloom.operators.checks import completeness
 from cohortloom.operators.ordering import batch_number, global_row_id
+from cohortloom.session import settle
 
 
 class IncompleteError(Exception):
@@ -35,12 +36,16 @@ def write_batches(df: DataFrame, order: Sequence[str], n: int, path: str) -> Non
 
 
 def write_if(df: DataFrame, key: str, value: str, path: str) -> DataFrame:
-    """Write only if every key has a value; otherwise raise and write nothing. Returns the check row."""
-    check = completeness(df, key, value)
+    """Write only if every key has a value; otherwise raise and write nothing to ``path``. Returns the check row.
+
+    The rows are settled first, so that check and write see the same ones and the plan behind them runs once.
+    """
+    rows = settle(df)
+    check = completeness(rows, key, value)
     found = check.first()
     if not found["complete"]:
         raise IncompleteError(f"{found['n_found']} of {found['n_wanted']} keys have a value")
-    write_table(df, path)
+    write_table(rows, path)
     return check
 
 

@@ -56,6 +56,10 @@ HOT_CASES = {
     "min_rows_per_subject": lambda df: ops.min_rows_per_subject(df, "uid", 30),
     "join_ns left": lambda df: ops.join_ns(df, df.groupBy("uid").count(), ["uid"], "left"),
     "outer_with_origin": lambda df: ops.outer_with_origin(df, df.groupBy("uid").count(), ["uid"]),
+    "waterfall": lambda df: ops.waterfall(
+        df.select("uid", "id"), df.select(F.col("uid").alias("k"), F.lit("/p").alias("path")).distinct(), [("uid", "k"), ("id", "k")]
+    ),
+    "not_in": lambda df: ops.not_in(df, "uid", df.where("vol > 300 and uid <> 7"), "uid"),
     "prefer": lambda df: ops.prefer(df, F.col("vol") > 200, ["uid"]),
 }
 
