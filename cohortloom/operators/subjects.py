@@ -3,7 +3,7 @@
 A window over the subject would put all rows of one subject in one task. Here the history is reduced before its
 shuffle, written down, and joined to the rows. As the written table has a known size, Spark broadcasts it if it is
 below ``spark.sql.autoBroadcastJoinThreshold``, and then the rows are not shuffled at all; otherwise it is a sort-merge
-join in which the adaptive skew join may split a large subject.
+join in which the adaptive skew join may split a large subject. Columns of the result replace older ones of that name.
 """
 
 from __future__ import annotations
@@ -21,14 +21,14 @@ from cohortloom.session import settle
 def group_max_on_rows(df: DataFrame, keys: Sequence[str], col: str, name: str) -> DataFrame:
     """Largest value of the group on every row; null where a key is null."""
     tops = keyed(df, keys).groupBy(*keys).agg(F.max(quoted(col)).alias(name))
-    return join_ns(df, settle(tops), keys, "left")
+    return join_ns(df.drop(name), settle(tops), keys, "left")
 
 
 def first_on_rows(df: DataFrame, subject: str, order: Sequence[str], cols: dict[str, str]) -> DataFrame:
     """First non-null value in order of each column on every row of the subject, as {column: new name}."""
     rows = in_order(keyed(df, [subject]), order)
     firsts = rows.groupBy(subject).agg(*[first_non_null(c).alias(name) for c, name in cols.items()])
-    return join_ns(df, settle(firsts), [subject], "left")
+    return join_ns(df.drop(*cols.values()), settle(firsts), [subject], "left")
 
 
 def within_hours(
@@ -37,7 +37,7 @@ def within_hours(
     """Rows at most ``hours`` after the subject's first row. Hours are rounded half to even first, so a window
     of 72 hours admits 72.5 hours."""
     firsts = keyed(df, [subject]).groupBy(subject).agg(F.min(quoted(ts)).alias("first_scan_time"))
-    rows = join_ns(df, settle(firsts), [subject]).withColumn(elapsed, elapsed_hours("first_scan_time", quoted(ts)))
+    rows = join_ns(df.drop("first_scan_time"), settle(firsts), [subject]).withColumn(elapsed, elapsed_hours("first_scan_time", quoted(ts)))
     return rows.where(F.col(elapsed) <= hours)
 
 
@@ -63,7 +63,7 @@ def baseline_change(
         history = history.withColumns(
             {greatest.format(c): quoted(greatest.format(c)) - quoted(first.format(c)) for c in cols}
         )
-    rows = join_ns(df, settle(history), [subject], "left")
+    rows = join_ns(df.drop(*[c for c in history.columns if c != subject]), settle(history), [subject], "left")
     return rows.withColumns({change.format(c): quoted(c) - quoted(first.format(c)) for c in cols})
 
 
@@ -86,7 +86,7 @@ def outcomes(
 ) -> DataFrame:
     """Outcome flags of the subject on each of its rows: greatest change reaches the cut, and not censored."""
     tops = keyed(df, [subject]).groupBy(subject).agg(*[F.max(quoted(c)).alias("max_" + c) for c in changes])
-    rows = join_ns(df, settle(tops), [subject], "left")
+    rows = join_ns(df.drop(*["max_" + c for c in changes]), settle(tops), [subject], "left")
     tops_cols = [quoted("max_" + c) for c in changes]
     return rows.withColumns({name.format(cut): outcome_flag(tops_cols, cut, quoted(censored)) for cut in cuts})
 

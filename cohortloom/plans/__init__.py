@@ -1,7 +1,9 @@
 """End-to-end plans: tables in, curated tables out."""
 
-from cohortloom.plans.choose_images import choose_images, volume_changes
-from cohortloom.plans.cohort import cohort_scans, first_scans, model_table, split_sets, subjects_by_first_scan
+from cohortloom.plans.choose_images import CLEAN_COLUMNS, choose_images, volume_changes
+from cohortloom.plans.cohort import (
+    FEATURES, LABELS, MODEL_COLUMNS, cohort_scans, first_scans, model_table, split_sets, subjects_by_first_scan,
+)
 from cohortloom.plans.inclusion import inclusion_lists
 from cohortloom.plans.linkage import link_reports, locate_scans
 from cohortloom.plans.predictions import prepare_predictions
@@ -9,6 +11,7 @@ from cohortloom.plans.quality import quality_tables
 from cohortloom.plans.series import select_series
 
 __all__ = [
+    "CLEAN_COLUMNS", "FEATURES", "LABELS", "MODEL_COLUMNS",
     "choose_images", "cohort_scans", "first_scans", "inclusion_lists", "link_reports", "locate_scans", "model_table",
     "prepare_predictions", "quality_tables", "select_series", "split_sets", "subjects_by_first_scan", "volume_changes",
 ]

@@ -13,6 +13,19 @@ SUBJECT, REPORT = "unique_study_id", "report_num_temp"
 SERIES_KEYS = [SUBJECT, REPORT, "scan_number", "folder", "image_name"]
 VOLUMES = ["iph", "eah", "ivh"]
 
+# Columns of the cleaned table, in order.
+CLEAN_COLUMNS = [
+    "unique_study_id", "report_num_temp", "flag_post_trauma_hem", "id", "scan_number", "StudyDate_Time_format",
+    "iph_predicted_volume_ml", "eah_predicted_volume_ml", "oedema_predicted_volume_ml", "ivh_predicted_volume_ml",
+    "quality_control_metric", "folder", "image_name", "slice_num",
+    "total_volume_scan", "total_volume_first_scan", "change_total_volume_scan",
+    "iph_volume_first", "eah_volume_first", "ivh_volume_first",
+    "change_iph_volume_first_scan", "change_eah_volume_first_scan", "change_ivh_volume_first_scan",
+    *fn.family_names(fixed.CLASS_REGION, fixed.REGIONS, fixed.CLASSES),
+    *fn.family_names(fixed.REGION_VOLUME, ["Brain", *fixed.REGIONS]),
+    "image", "prediction", "atlas_in_native_space", "brain_mask_native_space",
+]
+
 
 def usable_images(predictions: DataFrame, drop_ids: Sequence, keep_ids: Sequence) -> DataFrame:
     """Rows without unusable images. ``keep_ids`` escape the slice limits, ``drop_ids`` are removed.
@@ -47,9 +60,9 @@ def choose_images(predictions: DataFrame, picks: DataFrame, drop_ids: Sequence,
 def volume_changes(rows: DataFrame) -> DataFrame:
     """Total volume and change from the subject's first scan in time, in total and per compartment."""
     total, names = "total_volume_scan", {c: f"{c}_predicted_volume_ml" for c in VOLUMES}
-    rows = rows.withColumn(total, fn.row_sum(*names.values()))
-    rows = ops.baseline_change(rows, SUBJECT, ["StudyDate_Time_format", "id"], [total, *names.values()])
     renamed = {f"{total}_first": "total_volume_first_scan"}
     renamed |= {f"{n}_first": f"{c}_volume_first" for c, n in names.items()}
     renamed |= {f"change_{n}": f"change_{c}_volume_first_scan" for c, n in names.items()}
+    rows = rows.drop(*renamed.values()).withColumn(total, fn.row_sum(*names.values()))
+    rows = ops.baseline_change(rows, SUBJECT, ["StudyDate_Time_format", "id"], [total, *names.values()])
     return rows.withColumnsRenamed(renamed)

@@ -11,6 +11,17 @@ from cohortloom import fixed_values as fixed, functions as fn, operators as ops
 SUBJECT, TIME, CENSORED = "unique_study_id", "StudyDate_Time_format", "second_scan_post_surgery_trauma"
 VOLUMES = {c: f"{c}_predicted_volume_ml" for c in ["iph", "eah", "ivh"]}
 
+# Columns of the model table, in order.
+MODEL_COLUMNS = [
+    "unique_study_id", "report_num_temp", "scan_number", "StudyDate_Time_format", "quality_control_metric", "injury",
+    "second_scan_post_surgery_trauma", "surgery", "surgery_type", "first_scan_after_surgery", "artifact",
+    "outcome_6ml", "outcome_8ml", "outcome_10ml", "notes",
+    "iph_predicted_volume_ml", "eah_predicted_volume_ml", "ivh_predicted_volume_ml", "oedema_predicted_volume_ml",
+    "change_iph_volume_first_scan", "change_eah_volume_first_scan", "change_ivh_volume_first_scan",
+    "max_change_iph_volume_first_scan", "max_change_eah_volume_first_scan", "max_change_ivh_volume_first_scan",
+    *fn.family_names(fixed.CLASS_REGION, fixed.REGIONS, fixed.MODEL_CLASSES),
+]
+
 # Columns of the feature and the label table.
 FEATURES = [
     SUBJECT, "surgery", "surgery_type", CENSORED, "iph_predicted_volume_ml", "eah_predicted_volume_ml",
@@ -50,12 +61,13 @@ def model_table(cohort: DataFrame, cuts: Sequence[float] = fixed.OUTCOME_CUTS) -
 
     The outcome belongs to the subject and stands on each of its rows; a censored subject has outcome 0.
     """
-    rows = ops.baseline_change(
-        cohort, SUBJECT, ["scan_number", "id"], list(VOLUMES.values()), greatest="max_change_{}"
-    )
     renamed = {f"{v}_first": f"{c}_volume_first" for c, v in VOLUMES.items()}
     renamed |= {f"change_{v}": f"change_{c}_volume_first_scan" for c, v in VOLUMES.items()}
     renamed |= {f"max_change_{v}": f"max_change_{c}_volume_first_scan" for c, v in VOLUMES.items()}
+    # Older changes are dropped: they were measured from a first scan that may be excluded by now.
+    rows = ops.baseline_change(
+        cohort.drop(*renamed.values()), SUBJECT, ["scan_number", "id"], list(VOLUMES.values()), greatest="max_change_{}"
+    )
     rows = rows.withColumnsRenamed(renamed).withColumn(CENSORED, fn.fill_null(CENSORED, 0))
     tops = ["max_change_iph_volume_first_scan", "max_change_eah_volume_first_scan"]
     return rows.withColumns({f"outcome_{cut}ml": fn.outcome_flag(tops, cut, CENSORED) for cut in cuts})
@@ -63,7 +75,7 @@ def model_table(cohort: DataFrame, cuts: Sequence[float] = fixed.OUTCOME_CUTS) -
 
 def first_scans(model: DataFrame) -> DataFrame:
     """One row per subject, in order of time, without notes. Each column is its first value that is not null."""
-    return ops.first_non_null_per_group(model, [SUBJECT], [TIME, "id"]).drop("notes")
+    return ops.first_non_null_per_group(model, [SUBJECT], [TIME, "scan_number", "report_num_temp"]).drop("notes")
 
 
 def split_sets(

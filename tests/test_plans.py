@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohortloom import plans
 from cohortloom.operators import split_exact
@@ -163,3 +164,36 @@ def test_prepare_predictions(spark):
     assert rows(out, "id", "image", "scan_number", "slice_num") == [
         ("scan_1", "n/f/a.nii", 2, 30), ("scan_2", "n/g/b.nii", 1, None), ("scan_3", "n/f/c.nii", 2, 31),
     ]
+
+
+def test_full_width_from_predictions_to_model_table(spark):
+    """The wide tables go through choice, changes, cohort and labels with all their columns."""
+    from cohortloom.sources import schemas
+
+    def record(schema, **given):
+        return tuple(given.get(f.name, 0.5 if f.dataType.simpleString() == "double" else None) for f in schema)
+
+    def prediction(n, volume):
+        image = f"nifti/f{n}/random/head/{n}.nii"
+        return record(schemas.PREDICTIONS, id=f"scan_{n}", image=image, prediction="p", iph_predicted_volume_ml=volume) + ([1, 1, 40],)
+
+    wide = StructType(schemas.PREDICTIONS.fields + [schemas.VOLUMES["shape"]])
+    predictions = spark.createDataFrame([prediction(1, 3.0), prediction(2, 11.0)], wide)
+    scan_list = spark.createDataFrame([("u", f"r{n}", f"f{n}") for n in (1, 2)], "unique_study_id string, report_num_temp string, folder string")
+    details = spark.createDataFrame(
+        [record(schemas.SCANS_TO_INCLUDE, unique_study_id="u", report_num_temp=f"r{n}", StudyDate_Time_format=f"2024-01-0{n} 00:00:00") for n in (1, 2)],
+        schemas.SCANS_TO_INCLUDE,
+    )
+    picks = spark.createDataFrame([], schemas.IMAGE_CHOICE)
+    excluded = spark.createDataFrame([], schemas.SCANS_TO_EXCLUDE)
+    chart = spark.createDataFrame([record(schemas.CHART_REVIEW, unique_study_id="u", exclude=0)], schemas.CHART_REVIEW)
+
+    prepared = plans.prepare_predictions(predictions, scan_list, details)
+    clean = plans.volume_changes(plans.choose_images(prepared, picks, [], [])).select(*plans.CLEAN_COLUMNS)
+    assert len(clean.columns) == 183 and clean.count() == 2
+    model = plans.model_table(plans.cohort_scans(clean, chart, excluded)).select(*plans.MODEL_COLUMNS)
+    assert len(model.columns) == 25 + 93
+    assert rows(model, "scan_number", "outcome_6ml", "outcome_8ml", "outcome_10ml") == [(1, 1, 1, 0), (2, 1, 1, 0)]
+    first = plans.first_scans(model)
+    assert first.count() == 1 and len(first.columns) == 117
+    assert plans.split_sets(first)["X_test"].columns == plans.FEATURES
