@@ -8,9 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortloom.llm.byte_bpe import ids_crc32, with_token_counts
+from cohortloom.llm.mixing import mix, sized
+from cohortloom.llm.quality import fit_quality, with_quality
 from cohortloom.llm.simhash import simhash_groups
 from cohortloom.llm.token_files import read_token_files, token_starts, write_token_files
-from cohortloom.session import scratch_path
+from cohortloom.llm.url_filter import judge_urls
+from cohortloom.llm.words import doc_remainder
+from cohortloom.session import scratch_path, settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +29,46 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    rules = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+    rules = spark.createDataFrame(rules, "host string, path string, verdict string")
+    return judge_urls(table(spark, folder, "pages").select("page_id", "url"), rules).drop("url")
+
+
+ORACLES["op1_url_filters"] = r"""
+    WITH parts AS (
+        SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+        FROM pages
+    ), split AS (
+        SELECT page_id,
+            translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+        FROM parts
+    ), ruled AS (
+        SELECT *, CASE
+            WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+            WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+            WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+            WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/'
+        END AS rule
+        FROM split
+    )
+    SELECT page_id, host, path, rule,
+        CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+    FROM ruled
+"""
+
+
+@query
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Learns from the rows that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").where(doc_remainder(F.col("doc_id"), 3) != 1)
+    scored = with_quality(docs, fit_quality(docs, labels))
+    return scored.select("doc_id", (doc_remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
 @query
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Encode, write in document order, read back and digest."""
@@ -36,6 +80,54 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return digests.join(token_starts(files), ["part", "place"]).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@query
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = settle(sized(table(spark, folder, "documents")).select("doc_id", "source", "size"))
+    return mix(docs, weights=(5, 2, 1), max_epochs=3).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op7_mixing"] = r"""
+    WITH sized AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+            ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '')), 1, 4))::INT AS bucket
+        FROM documents
+    ), sources AS (
+        SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+    ), weighed AS (
+        SELECT *, ([5, 2, 1])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::BIGINT AS weight
+        FROM sources
+    ), sorted AS (
+        SELECT *, sum(3 * source_size) OVER o - 3 * source_size AS clamped, sum(weight) OVER () - sum(weight) OVER o + weight AS parts,
+            sum(source_size) OVER () AS words
+        FROM weighed
+        WINDOW o AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)
+    ), level AS (
+        SELECT words - clamped AS words, parts FROM sorted
+        WHERE 3 * source_size * parts >= (words - clamped) * weight
+        ORDER BY clamped LIMIT 1
+    ), targets AS (
+        SELECT source, source_size, CASE
+            WHEN 3 * source_size * (SELECT parts FROM level) < (SELECT words FROM level) * weight THEN (3 * source_size)::DOUBLE
+            ELSE ((SELECT words FROM level) * weight)::BIGINT::DOUBLE / (SELECT parts FROM level)::DOUBLE END AS target
+        FROM weighed
+    ), planned AS (
+        SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs FROM targets
+    ), buckets AS (
+        SELECT source, bucket, sum(size)::BIGINT AS words,
+            (sum(sum(size)) OVER (PARTITION BY source ORDER BY bucket) - sum(size))::BIGINT AS before
+        FROM sized GROUP BY source, bucket
+    ), cuts AS (
+        SELECT b.source, b.bucket AS cut, (p.target - p.epochs * p.source_size - b.before) / b.words AS part
+        FROM buckets b JOIN planned p ON b.source IS NOT DISTINCT FROM p.source
+        WHERE b.before <= p.target - p.epochs * p.source_size AND p.target - p.epochs * p.source_size < b.before + b.words
+    )
+    SELECT s.doc_id, s.size, p.source_size, p.target, (p.epochs * s.size + CASE
+            WHEN s.bucket < c.cut THEN s.size WHEN s.bucket = c.cut THEN floor(c.part * s.size + 0.5) ELSE 0 END)::BIGINT AS taken
+    FROM sized s JOIN planned p ON s.source IS NOT DISTINCT FROM p.source
+    LEFT JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source
+"""
+
+
 @query
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
