@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from cohortloom.session import settle
 
 
-def smallest_reachable(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``node, component`` for the nodes that have links: the smallest ``label`` among all nodes links lead to.
+def component_roots(links: DataFrame) -> DataFrame:
+    """``node, root`` for the nodes that have links: nodes that links lead to from one another share a root, one of
+    them. ``links``: longs ``a, b``, in either direction, repeats allowed.
 
-    ``nodes``: ``node`` (long, unique), ``label``. ``links``: ``a, b``, in either direction, repeats allowed. Each
-    round every node joins its smallest neighbour, the links are rewritten to what their ends joined, and links
+    Each round every node joins its smallest neighbour, the links are rewritten to what their ends joined, and links
     within one group go. A node that is not the smallest around disappears, so the links at least halve on chains
     and vanish at once on stars. All steps are joins of written tables; nothing is collected but one count a round.
     """
@@ -32,6 +32,4 @@ def smallest_reachable(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
         roots = settle(moved(roots, "root"))
         open_links = settle(moved(moved(open_links, "a"), "b").where("a != b").distinct())
-    named = roots.join(nodes, "node")
-    least = settle(named.groupBy("root").agg(F.min("label").alias("component")))
-    return roots.join(least, "root").select("node", "component")
+    return roots

@@ -114,13 +114,18 @@ def sized(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("size", word_count(quoted(text)))
 
 
-def mixed_copies(mixed: DataFrame, text: str = "text") -> DataFrame:
+def mixed_copies(mixed: DataFrame, text: str = "text", length: str | None = None) -> DataFrame:
     """Rows of the mix: a document once for each whole time its ``size`` goes into ``taken``, and once with its first
-    words, joined by single spaces, for what is left. Documents of which nothing is taken are not in the mix."""
-    times = F.col("taken") / F.greatest("size", F.lit(1))
-    whole = F.floor(times).cast("int")
+    words, joined by single spaces, for what is left. Documents of which nothing is taken are not in the mix.
+    ``length``: a column with the number of signs of the text, brought up to date where the text is cut."""
+    whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
     left = (F.col("taken") - whole * F.col("size")).cast("int")
-    parts = F.concat(F.array_repeat(F.lit(None).cast("int"), whole), F.when(left > 0, F.array(left)).otherwise(F.array().cast("array<int>")))
+    none = F.array().cast("array<int>")
+    parts = F.concat(F.array_repeat(F.lit(None).cast("int"), whole), F.when(left > 0, F.array(left)).otherwise(none))
     rows = mixed.withColumn("__part", F.explode(parts))
-    first = F.array_join(F.slice(F.regexp_extract_all(quoted(text), F.lit(WORD), F.lit(0)), F.lit(1), F.col("__part")), " ")
-    return rows.withColumn(text, F.when(F.col("__part").isNull(), quoted(text)).otherwise(first)).drop("__part")
+    words = F.regexp_extract_all(quoted(text), F.lit(WORD), F.lit(0))
+    first = F.array_join(F.slice(words, F.lit(1), F.col("__part")), " ")
+    rows = rows.withColumn(text, F.when(F.col("__part").isNull(), quoted(text)).otherwise(first))
+    if length:
+        rows = rows.withColumn(length, F.when(F.col("__part").isNull(), quoted(length)).otherwise(F.length(quoted(text))))
+    return rows.drop("__part")

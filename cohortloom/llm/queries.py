@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortloom.llm.byte_bpe import ids_crc32, with_token_counts
 from cohortloom.llm.mixing import mix, sized
+from cohortloom.llm.pieces import decode_ids, with_pieces
 from cohortloom.llm.quality import fit_quality, with_quality
 from cohortloom.llm.simhash import simhash_groups
 from cohortloom.llm.token_files import read_token_files, token_starts, write_token_files
@@ -135,6 +136,25 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query
+def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """The three best segmentations of each text; the best is decoded again."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = with_pieces(docs, model, n=3)
+    # Only one thing is lost: the sign that stands for a space comes back as a space.
+    plain = F.translate(F.coalesce("text", F.lit("")), "\u2581", " ")
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        ids_crc32(F.col("ids")).alias("ids_crc32"),
+        "score",
+        F.get("others.score", F.lit(0)).alias("second_score"),
+        F.get("others.score", F.lit(1)).alias("third_score"),
+        (decode_ids(model, F.col("ids")) == plain).alias("round_trip"),
+    )
+
+
 @query
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(table(spark, folder, "documents"), shingle=3, max_bits=3)

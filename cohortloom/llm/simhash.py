@@ -13,7 +13,7 @@ from pyspark.sql.functions import arrow_udf
 
 from cohortloom.functions.exprs import quoted
 from cohortloom.llm.blocks import blocked_groups, each_group, star_edges
-from cohortloom.llm.components import smallest_reachable
+from cohortloom.llm.components import component_roots
 from cohortloom.llm.words import words
 from cohortloom.operators.joins import join_ns
 from cohortloom.session import settle
@@ -111,6 +111,18 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _groups(rows: DataFrame, max_bits: int) -> DataFrame:
+    """``fp, root, label``: each fingerprint of ``doc_id, fp`` rows with a fingerprint that names its group, and the
+    smallest id of the group."""
+    prints = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("label")))
+    links = settle(fingerprint_links(prints, max_bits).distinct())
+    roots = component_roots(links).withColumnRenamed("node", "fp")
+    grouped = join_ns(prints, roots, ["fp"], "left").withColumn("root", F.coalesce("root", "fp"))
+    grouped = settle(grouped)
+    least = grouped.groupBy("root").agg(F.min("label").alias("least"))
+    return settle(join_ns(grouped, least, ["root"]).select("fp", "root", F.col("least").alias("label")))
+
+
 def simhash_groups(
     docs: DataFrame, shingle: int = 3, max_bits: int = 3, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -119,15 +131,33 @@ def simhash_groups(
     ``fingerprint``: 16 lower-case hex digits. ``component_id``: the smallest id that links lead to, itself included;
     two documents link if their fingerprints differ in at most ``max_bits`` bits. Null and empty texts have
     fingerprint zero and link like any other. Repeated rows are each returned. A null id is never the smallest; a
-    group of null ids only has a null component. Other columns of the table are not used.
+    group of null ids only has a null component. An empty table gives no rows. Other columns are not used.
 
     Documents with one fingerprint count once in the search, so exact copies cost one row however many there are.
     """
     rows = settle(docs.select(quoted(doc_id).alias("doc_id"), simhash(quoted(text), shingle).alias("fp")))
-    prints = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("label")))
-    links = settle(fingerprint_links(prints, max_bits).distinct())
-    linked = smallest_reachable(prints.select(F.col("fp").alias("node"), "label"), links)
-    groups = join_ns(prints, linked.withColumnRenamed("node", "fp").withColumnRenamed("component", "reached"), ["fp"], "left")
-    groups = settle(groups.select("fp", F.coalesce("reached", "label").alias("component_id")))
-    out = join_ns(rows, groups, ["fp"])
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    out = join_ns(rows, _groups(rows, max_bits), ["fp"])
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("label").alias("component_id"))
+
+
+def keep_one_of_each(
+    docs: DataFrame, shingle: int = 3, max_bits: int = 3, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One whole row of each group of near copies, that with the smallest id (null last, then the smallest
+    fingerprint as a signed number). Of repeated rows with that id and fingerprint any one stays.
+
+    Ids are chosen on (id, fingerprint) rows. Rows whose id occurs once are fetched by it; only rows with repeated or
+    null ids are fingerprinted again to tell them apart.
+    """
+    rows = settle(docs.select(quoted(doc_id).alias("doc_id"), simhash(quoted(text), shingle).alias("fp")))
+    placed = join_ns(rows, _groups(rows, max_bits), ["fp"])
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp")).alias("first")
+    chosen = placed.groupBy("root").agg(first).select("first.doc_id", "first.fp")
+    often = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    chosen = settle(join_ns(chosen, often, ["doc_id"]).withColumn("alone", (F.col("n") == 1) & F.col("doc_id").isNotNull()))
+    named = docs.withColumn("__id", quoted(doc_id))
+    once = chosen.where("alone").select(F.col("doc_id").alias("__id"))
+    again = chosen.where("NOT alone").select(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp"))
+    some = join_ns(named, again.select("__id").distinct(), ["__id"], "semi").withColumn("__fp", simhash(quoted(text), shingle))
+    some = join_ns(some, again, ["__id", "__fp"], "semi").dropDuplicates(["__id", "__fp"])
+    return named.join(once, "__id", "semi").unionByName(some.drop("__fp")).select(*map(quoted, docs.columns))
