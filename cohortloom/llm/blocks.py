@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, functions as F
 from cohortloom.session import settle
 
 
-def blocked_groups(rows: DataFrame, keys: Sequence[str], item: str, block: int) -> DataFrame:
+def blocked_groups(
+    rows: DataFrame, keys: Sequence[str], item: str, block: int, attach: DataFrame | None = None
+) -> DataFrame:
     """Rows of groups with at least two members, dealt out as pairs of blocks and sorted by ``keys, left, right``.
 
     A group of n rows is cut into ceil(n / block) blocks by a hash of ``item``; each pair of blocks is one unit of
     work, where ``side`` tells the left block's rows (0) from the right block's (1). A pair of a block with itself has
     side 0 only. Every two rows of a group meet in exactly one unit. ``keys`` hold no nulls; ``item`` tells rows apart.
+    ``attach``: columns for each ``item``, joined once only rows with company are left.
     """
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     blocks = settle(sizes.select(*keys, F.ceil(F.col("n") / block).cast("int").alias("blocks")))
@@ -30,6 +33,8 @@ def blocked_groups(rows: DataFrame, keys: Sequence[str], item: str, block: int)
             "side": (F.col("own") > F.col("other")).cast("int"),
         }
     ).drop("own", "other", "blocks")
+    if attach is not None:
+        units = units.join(attach, item)
     unit = [*keys, "left", "right"]
     return units.repartition(*unit).sortWithinPartitions(*unit)
 

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortloom.llm.byte_bpe import ids_crc32, with_token_counts
+from cohortloom.llm.embeddings import near_copies
 from cohortloom.llm.mixing import mix, sized
 from cohortloom.llm.pieces import decode_ids, with_pieces
 from cohortloom.llm.quality import fit_quality, with_quality
@@ -70,6 +71,11 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (doc_remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
 
 
+@query
+def op3_embedding_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return near_copies(table(spark, folder, "embeddings"), threshold=0.98)
+
+
 @query
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Encode, write in document order, read back and digest."""
