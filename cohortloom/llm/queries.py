@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cohortloom.llm.brown import score_texts
 from cohortloom.llm.byte_bpe import ids_crc32, with_token_counts
 from cohortloom.llm.embeddings import near_copies
 from cohortloom.llm.mixing import mix, sized
@@ -87,6 +88,15 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return digests.join(token_starts(files), ["part", "place"]).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@query
+def op5_class_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Learns from the rows that are not held out."""
+    docs = table(spark, folder, "documents")
+    scored = score_texts(docs, doc_remainder(F.col("doc_id"), 7) != 2)
+    held_out = (doc_remainder(F.col("doc_id"), 7) == 2).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = settle(sized(table(spark, folder, "documents")).select("doc_id", "source", "size"))
