@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cohortloom.llm.brown import score_texts
 from cohortloom.llm.byte_bpe import ids_crc32, with_token_counts
 from cohortloom.llm.embeddings import near_copies
+from cohortloom.llm.imatch import fingerprint_edits
 from cohortloom.llm.mixing import mix, sized
 from cohortloom.llm.pieces import decode_ids, with_pieces
 from cohortloom.llm.quality import fit_quality, with_quality
@@ -97,6 +98,11 @@ def op5_class_lm(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@query
+def op6_imatch(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_edits(table(spark, folder, "documents"))
+
+
 @query
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = settle(sized(table(spark, folder, "documents")).select("doc_id", "source", "size"))
