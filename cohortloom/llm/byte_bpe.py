@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,21 +18,21 @@ from pyspark.sql.functions import arrow_udf
 
 from cohortloom.functions.exprs import quoted
 
-# Bytes of new text handed to the library at a time, and bytes of pieces remembered before the memory is emptied.
-CALL_BYTES, MEMORY_BYTES = 1 << 20, 48 << 20
+# Signs of new text handed to the library at a time, and pieces remembered before the memory is emptied.
+CALL_BYTES, MEMORY_PIECES = 1 << 20, 1_000_000
 _RUN = re.compile(r"\s\s")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
 
 class _Index(dict):
-    """Places of strings in a shared list, in the order of their first use."""
+    """Numbers of strings, drawn from a shared list of new ones, in the order of their first use."""
 
-    def __init__(self, strings: list[str], before: str):
-        self.strings, self.before = strings, before
+    def __init__(self, coder: PieceCoder, before: str):
+        self.coder, self.before = coder, before
 
     def __missing__(self, key: str) -> int:
-        self[key] = n = len(self.strings)
-        self.strings.append(self.before + key)
+        self[key] = n = len(self.coder.lengths) + len(self.coder.new)
+        self.coder.new.append(self.before + key)
         return n
 
 
@@ -79,52 +80,69 @@ def pieces(text: str) -> list[str]:
 class PieceCoder:
     """Encode texts piece by piece; each different piece goes through the library once, until it is forgotten.
 
-    Memory is bounded by ``MEMORY_BYTES`` of different pieces, ``CALL_BYTES`` of new text and the largest single text.
+    Memory is bounded by ``MEMORY_PIECES`` different pieces, ``CALL_BYTES`` of new text and the largest single text. A
+    worker keeps what it knows from task to task (``_coder``).
     """
 
-    def __init__(self, path: str, keep: Callable[[list[int]], object]):
+    def __init__(self, path: str, with_ids: bool):
         self.ids, self.cuts = _library(path)
-        self.keep = keep
+        self.with_ids = with_ids
         self._clear()
 
     def _clear(self) -> None:
-        self.strings, self.values, self.size = [], [], 0
-        self.first, self.later = _Index(self.strings, ""), _Index(self.strings, " ")
+        self.new: list[str] = []
+        self.lengths = self.starts = np.empty(0, np.int64)
+        self.flat = np.empty(0, np.int32)
+        self.first, self.later = _Index(self, ""), _Index(self, " ")
 
-    def _numbers(self, text: str | None) -> np.ndarray:
+    def _numbers(self, text: str | None) -> list[int]:
         if not text:
-            return np.empty(0, np.int64)
+            return []
         first, *rest = pieces(text) if self.cuts else [text]
-        return np.array([self.first[first], *map(self.later.__getitem__, rest)], np.int64)
+        return [self.first[first], *map(self.later.__getitem__, rest)]
 
     def _learn(self) -> None:
-        batch, size = [], 0
-        for i in range(len(self.values), len(self.strings)):
-            batch.append(self.strings[i])
-            size += len(batch[-1])
-            if size >= CALL_BYTES or i == len(self.strings) - 1:
-                self.values.extend(map(self.keep, self.ids(batch)))
-                self.size += size
+        lengths, flat, batch, size = [self.lengths], [self.flat], [], 0
+        for i, piece in enumerate(self.new):
+            batch.append(piece)
+            size += len(piece)
+            if size >= CALL_BYTES or i == len(self.new) - 1:
+                found = self.ids(batch)
+                lengths.append(np.array([len(ids) for ids in found], np.int64))
+                if self.with_ids:
+                    flat.append(np.fromiter(itertools.chain.from_iterable(found), np.int32))
                 batch, size = [], 0
-
-    def batches(self, texts: pa.Array) -> Iterator[list[np.ndarray]]:
-        """Piece numbers of each text, in batches of about 4 ``CALL_BYTES`` of text; ``values`` then holds all of
-        their pieces."""
-        if self.size > MEMORY_BYTES:
-            self._clear()
-        batch, size = [], 0
-        for text in texts:
+        self.lengths, self.flat, self.new = np.concatenate(lengths), np.concatenate(flat), []
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def batches(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(piece numbers of some texts one after the other, how many of each text), about 4 ``CALL_BYTES`` of text at
+        a time; the lengths and ids of these pieces are known then."""
+        numbers, sizes, signs = [], [], 0
+        for at, text in enumerate(texts):
             text = text.as_py()
-            batch.append(self._numbers(text))
-            size += len(text or "")
-            if size >= 4 * CALL_BYTES:
+            found = self._numbers(text)
+            numbers += found
+            sizes.append(len(found))
+            signs += len(text or "")
+            if signs >= 4 * CALL_BYTES or at == len(texts) - 1:
                 self._learn()
-                yield batch
-                if self.size > MEMORY_BYTES:
+                yield np.array(numbers, np.int64), np.array(sizes, np.int64)
+                numbers, sizes, signs = [], [], 0
+                if len(self.lengths) > MEMORY_PIECES:
                     self._clear()
-                batch, size = [], 0
-        self._learn()
-        yield batch
+
+
+@functools.lru_cache(maxsize=2)
+def _coder(path: str, with_ids: bool) -> PieceCoder:
+    return PieceCoder(path, with_ids)
+
+
+def _totals(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums over runs of values, 0 for empty runs."""
+    sums = np.concatenate([[0], np.cumsum(values)])
+    ends = np.cumsum(sizes)
+    return sums[ends] - sums[ends - sizes]
 
 
 def token_count(path: str, text: Column) -> Column:
@@ -136,35 +154,34 @@ def token_count(path: str, text: Column) -> Column:
 
     @arrow_udf("bigint")
     def count(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = PieceCoder(path, len)
+        coder = _coder(path, False)
         for texts in arrays:
-            out = []
-            for batch in coder.batches(texts):
-                lengths = np.array(coder.values, np.int64)
-                out += [int(lengths[numbers].sum()) for numbers in batch]
-            yield pa.array(out, pa.int64())
+            out = [_totals(coder.lengths[numbers], sizes) for numbers, sizes in coder.batches(texts)]
+            yield pa.array(np.concatenate(out) if out else [], pa.int64())
 
     return count(text)
 
 
 def token_ids(path: str, text: Column, end: int | None = None) -> Column:
     """Token ids of a whole text, with ``end`` after them if given. As ``token_count`` in all else."""
-    last = [] if end is None else [end]
 
     @arrow_udf("array<int>")
     def encode(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = PieceCoder(path, lambda ids: np.array(ids, np.int32))
+        coder = _coder(path, True)
         for texts in arrays:
-            parts, sizes = [], []
-            for batch in coder.batches(texts):
-                for numbers in batch:
-                    found = [coder.values[i] for i in numbers.tolist()]
-                    ids = np.concatenate([*found, np.array(last, np.int32)]) if found or last else np.empty(0, np.int32)
-                    parts.append(ids)
-                    sizes.append(len(ids))
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            ids = np.concatenate(parts) if parts else np.empty(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
+            parts, sizes = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+            for numbers, pieces_of in coder.batches(texts):
+                lengths = coder.lengths[numbers]
+                # Place of each id in the ids known, then the ids of all texts at once.
+                shift = coder.starts[numbers] - (np.cumsum(lengths) - lengths)
+                ids = coder.flat[np.repeat(shift, lengths) + np.arange(lengths.sum())]
+                tokens = _totals(lengths, pieces_of)
+                if end is not None:
+                    ids, tokens = np.insert(ids, np.cumsum(tokens), end), tokens + 1
+                parts.append(ids)
+                sizes.append(tokens)
+            offsets = pa.array(np.cumsum(np.concatenate(sizes)), pa.int32())
+            yield pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts), pa.int32()))
 
     return encode(text)
 
