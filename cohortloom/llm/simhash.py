@@ -156,8 +156,12 @@ def keep_one_of_each(
     often = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     chosen = settle(join_ns(chosen, often, ["doc_id"]).withColumn("alone", (F.col("n") == 1) & F.col("doc_id").isNotNull()))
     named = docs.withColumn("__id", quoted(doc_id))
-    once = chosen.where("alone").select(F.col("doc_id").alias("__id"))
+    # Chosen ids grow with the documents, so they are merged at any size and never broadcast.
+    once = chosen.where("alone").select(F.col("doc_id").alias("__id")).hint("merge")
+    kept = named.join(once, "__id", "semi")
     again = chosen.where("NOT alone").select(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp"))
-    some = join_ns(named, again.select("__id").distinct(), ["__id"], "semi").withColumn("__fp", simhash(quoted(text), shingle))
-    some = join_ns(some, again, ["__id", "__fp"], "semi").dropDuplicates(["__id", "__fp"])
-    return named.join(once, "__id", "semi").unionByName(some.drop("__fp")).select(*map(quoted, docs.columns))
+    if not again.isEmpty():
+        some = join_ns(named, again.select("__id").distinct(), ["__id"], "semi").withColumn("__fp", simhash(quoted(text), shingle))
+        some = join_ns(some, again, ["__id", "__fp"], "semi").dropDuplicates(["__id", "__fp"])
+        kept = kept.unionByName(some.drop("__fp"))
+    return kept.select(*map(quoted, docs.columns))
