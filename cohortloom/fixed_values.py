@@ -37,6 +37,12 @@ MIN_SLICES, MAX_SLICES = 30, 100
 WINDOW_HOURS = 72
 BATCH_ROWS = 1000
 
+# Cuts of the review lists in ml: volume of a case, growth of either class, tails, very large volume.
+CASE_ML, IPH_GROWTH_ML, EAH_GROWTH_ML, TAIL_ML, LARGE_ML = 5, 8, 9, 10, 100
+
+# Labels of the quality tables.
+STATUS_IPH, STATUS_EAH, STATUS_OUT, STATUS_OTHER = "IPH", "EAH", "-Exclude", "Unknown"
+
 # Volume on the first scan for inclusion, outcome cuts, test share, seeds.
 FIRST_SCAN_ML = 2
 OUTCOME_CUTS = [6, 8, 10]

@@ -10,8 +10,8 @@ from pyspark.sql import Column, functions as F
 
 Col = Column | str
 
-# White space as text trimming sees it: the Unicode property plus the four ASCII separators.
-_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
+# White space as text trimming sees it, the signs with the Unicode property and the four ASCII separators.
+_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def as_col(c: Col) -> Column:
@@ -42,7 +42,13 @@ def literal_replace(c: Col, text: str, by: str = "") -> Column:
 
 def strip_whitespace(c: Col) -> Column:
     """Trim all white space at both ends; ``F.trim`` would only take blanks."""
-    return F.regexp_replace(as_col(c), _SPACE, "")
+    return F.btrim(as_col(c), F.lit(_SPACE))
+
+
+def after_first(c: Col, mark: str) -> Column:
+    """The text behind the first ``mark``, or the whole text if it has none."""
+    place = F.instr(as_col(c), mark)
+    return F.when(place > 0, F.substring(as_col(c), place + len(mark), F.length(as_col(c)))).otherwise(as_col(c))
 
 
 def normalize_accession(c: Col, mode: str = "plain") -> Column:
@@ -55,12 +61,13 @@ def normalize_accession(c: Col, mode: str = "plain") -> Column:
     ``fallback`` cuts up to the first ``CT20``, then drops every ``CT`` with a 1 before it, if there is one.
     """
     no_star = literal_replace(c, "*")
-    core = F.regexp_replace(no_star, r"^.*?CT20", "")
+    core = after_first(no_star, "CT20")
     steps = {
         "plain": lambda: literal_replace(no_star, "CT"),
         "dated": lambda: literal_replace(core, "CT"),
-        "manifest": lambda: F.regexp_replace(core, r"^.*?CT", ""),
-        "fallback": lambda: F.regexp_replace(core, r"CT|1CT", ""),
+        "manifest": lambda: after_first(core, "CT"),
+        # The mark keeps the two ends of a cut "1CT" from making a new "CT".
+        "fallback": lambda: literal_replace(literal_replace(literal_replace(core, "1CT", "\0"), "CT"), "\0"),
     }
     if mode not in steps:
         raise ValueError(f"mode must be one of {sorted(steps)}, not {mode!r}")

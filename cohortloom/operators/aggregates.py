@@ -107,11 +107,11 @@ def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
-    """Rows per equal-width bin between lowest and highest value, the last bin closed; nulls take no part.
+    """Rows per equal-width bin between lowest and highest value, the last bin closed; nulls and NaN take no part.
 
     For a constant column the range reaches half a unit to both sides. Empty bins have count 0.
     """
-    known = df.select(quoted(value).cast("double").alias("x")).where(F.col("x").isNotNull())
+    known = df.select(quoted(value).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
     ends = known.agg(F.min("x").alias("low"), F.max("x").alias("high"))
     low, high = ends.select("low").scalar(), ends.select("high").scalar()
     low, high = F.when(low == high, low - 0.5).otherwise(low), F.when(low == high, high + 0.5).otherwise(high)

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortloom.functions.exprs import quoted
+from cohortloom.session import settle
 
 _RIGHT = "__right_"
 
@@ -88,33 +89,44 @@ def outer_with_origin(a: DataFrame, b: DataFrame, keys: Sequence[str], origin: s
 
 
 def waterfall(a: DataFrame, b: DataFrame, keys: Sequence[tuple[str, str]]) -> DataFrame:
-    """Match ``a`` to ``b`` by the first (a key, b key); rows without a match retry with the next pair.
+    """Match ``a`` to ``b`` by the first (a key, b key) that finds anything.
 
-    Result rows are distinct. Rows of ``a`` that no key matches come out once, with null columns of ``b``.
+    A null key matches nothing and leaves the row to its next key. Result rows are distinct. Rows of ``a`` that no
+    key matches come out once, with null columns of ``b``.
+
+    Both tables are read once and written down. Which key is the first that finds something is settled on row numbers
+    and keys; then each row is joined by that key alone.
     """
-    rest, found = a, []
-    for left, right in keys[:-1]:
-        found.append(join_on(rest, b, [(left, right)]))
-        rest = join_on(rest, b, [(left, right)], "anti")
-    found.append(join_on(rest, b, [keys[-1]], "left"))
-    return reduce(DataFrame.unionByName, found).distinct()
+    rows = settle(a.distinct().withColumn("__row", F.monotonically_increasing_id()))
+    listed = settle(b.distinct())
+    tried = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(r).alias("by"), quoted(l).cast("string").alias("key")) for i, (l, r) in enumerate(keys)])
+    offered = F.array(*[F.struct(F.lit(r).alias("by"), quoted(r).cast("string").alias("key")) for r in dict.fromkeys(r for _, r in keys)])
+    wanted = rows.select("__row", F.explode(tried).alias("try")).select("__row", "try.*").where(F.col("key").isNotNull())
+    known = listed.select(F.explode(offered).alias("offer")).select("offer.*").where(F.col("key").isNotNull()).distinct()
+    first = wanted.join(known, ["by", "key"]).groupBy("__row").agg(F.min(F.struct("i", "by", "key")).alias("__hit"))
+    placed = rows.join(first, "__row", "left").withColumns({"__by": F.col("__hit.by"), "__key": F.col("__hit.key")})
+    offers = listed.withColumn("__offer", F.explode(offered))
+    same = (F.col("__by") == F.col("__offer.by")) & (F.col("__key") == F.col("__offer.key"))
+    return placed.join(offers, same, "left").drop("__row", "__hit", "__by", "__key", "__offer")
 
 
 def prefix_semi(a: DataFrame, path: str, prefixes: DataFrame, prefix: str, any_case: bool = True) -> DataFrame:
     """Rows whose path starts with one of the listed prefixes, taken literally.
 
-    Each distinct path is cut to every length that occurs in the list, and the cuts are looked up with an equi
-    join; no pair of path and prefix is formed otherwise. A path that extends a listed one is kept, and signs
-    with a meaning in regular expressions have none here.
+    A path is cut to the lengths that listed prefixes with the same head have, and the cuts are looked up with an equi
+    join; the head is as long as the shortest prefix. No pair of path and prefix is formed otherwise. A path that
+    extends a listed one is kept, and signs with a meaning in regular expressions have none here.
     """
     fold = F.lower if any_case else (lambda c: c)
     listed = prefixes.select(fold(quoted(prefix)).alias("__cut")).where(F.col("__cut").isNotNull()).distinct()
-    lengths = listed.agg(F.collect_set(F.length("__cut")).alias("lengths")).scalar()
+    shortest = listed.agg(F.min(F.length("__cut"))).first()[0] or 0
+    heads = listed.groupBy(F.substring("__cut", 1, shortest).alias("__head")).agg(F.collect_set(F.length("__cut")).alias("__lengths"))
     paths = a.select(path).where(quoted(path).isNotNull()).distinct()
-    cuts = paths.withColumn("__n", F.explode(lengths)).where(F.length(fold(quoted(path))) >= F.col("__n"))
+    met = paths.withColumn("__head", F.substring(fold(quoted(path)), 1, shortest)).join(heads, "__head")
+    cuts = met.withColumn("__n", F.explode("__lengths")).where(F.length(fold(quoted(path))) >= F.col("__n"))
     cuts = cuts.select(path, fold(quoted(path)).substr(F.lit(1), F.col("__n")).alias("__cut"))
     hits = join_ns(cuts, listed, ["__cut"], "semi").select(path)
-    return join_ns(a, hits, [path], "semi")
+    return join_ns(a, hits.distinct(), [path], "semi")
 
 
 def anti_path_list(a: DataFrame, path: str, listed: DataFrame, listed_path: str) -> DataFrame:

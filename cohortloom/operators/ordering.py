@@ -65,28 +65,15 @@ def running_total(
     return out.withColumn(name, total).drop("__part", "__place", "__weight", "__here", "__before")
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group. Reads the key columns only."""
-    return df.groupBy(*map(quoted, keys)).count().agg(F.max("count")).first()[0] or 0
-
-
 def dense_rank_per_subject(
-    df: DataFrame,
-    subject: str,
-    order: Sequence[str],
-    name: str = "scan_number",
-    window_rows: int = 5_000_000,
+    df: DataFrame, subject: str, order: Sequence[str], name: str = "scan_number"
 ) -> DataFrame:
     """Rank per subject by the order columns; equal rows of the order share a number. Null subjects get null.
 
-    Where the largest subject has at most ``window_rows`` rows, one window does it. Beyond that the distinct
-    (subject, order) rows are numbered by ranges and joined back, so a subject may have any number of rows.
+    The distinct (subject, order) rows are numbered by ranges and joined back, so a subject may have any number of
+    rows. A column of that name is replaced.
     """
-    steps = [quoted(o) for o in order]
-    if largest_group(df, [subject]) <= window_rows:
-        window = Window.partitionBy(quoted(subject)).orderBy(*ascending(*steps))
-        rank = F.when(quoted(subject).isNotNull(), F.dense_rank().over(window))
-        return df.withColumn(name, rank.cast("int"))
+    df, steps = df.drop(name), [quoted(o) for o in order]
     distinct = keyed(df, [subject]).select(quoted(subject), *steps).distinct()
     ranks = running_total(distinct, order, F.lit(1), name, within=[subject])
     return join_ns(df, ranks.withColumn(name, F.col(name).cast("int")), [subject, *order], "left")
@@ -105,7 +92,7 @@ def sort_multi(df: DataFrame, *by: tuple[str, bool]) -> DataFrame:
 def five_number_summary(
     df: DataFrame, value: str, by: Sequence[str], approx: bool = False
 ) -> DataFrame:
-    """Minimum, quartiles and maximum per group, quartiles interpolated; nulls take no part.
+    """Minimum, quartiles and maximum per group, quartiles interpolated; nulls and NaN take no part.
 
     Equal values are counted together first, then the counts are summed in order by ranges, and only the rows
     next to a quartile are kept; a group may have any size and any number of equal values. ``approx`` uses a
@@ -113,6 +100,7 @@ def five_number_summary(
     """
     names, shares = ["min", "q1", "median", "q3", "max"], [0.0, 0.25, 0.5, 0.75, 1.0]
     rows = keyed(df, [*by, value]).select(*map(quoted, by), quoted(value).cast("double").alias("__x"))
+    rows = rows.where(~F.isnan("__x"))
     if approx:
         sketch = rows.groupBy(*map(quoted, by)).agg(F.percentile_approx("__x", shares, 10_000).alias("__q"))
         return sketch.select(*map(quoted, by), *[F.get("__q", F.lit(i)).alias(n) for i, n in enumerate(names)])
@@ -155,7 +143,7 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 def split_exact(df: DataFrame, key: str, test_share: float, seed: int, name: str = "split") -> DataFrame:
     """Mark exactly ``ceil(test_share * rows)`` rows as test and the rest as train, by seeded order of the key.
 
-    The key must be unique and not null. Rows are counted per leading digits of the hash; only the bucket that
+    The key must be unique; a key that repeats at the cut cannot be cut exactly and is an error. Rows are counted per leading digits of the hash; only the bucket that
     the cut falls into is put in order, to find the hash at the cut. The table itself is neither sorted nor
     shuffled. Other rows than a NumPy generator would pick.
     """
@@ -179,7 +167,10 @@ def _hash_at(hashes: DataFrame, share: float) -> Column:
         return F.lit(None).cast("string")
     window = Window.partitionBy(bucket).orderBy("h")
     ordered = hashes.where(bucket == found["bucket"]).withColumn("rank", F.row_number().over(window))
-    return F.lit(ordered.where(F.col("rank") == found["rank"]).first()["h"])
+    at_cut = ordered.where(F.col("rank").isin(found["rank"], found["rank"] + 1)).orderBy("rank").collect()  # two rows
+    if len(at_cut) == 2 and at_cut[0]["h"] == at_cut[1]["h"]:
+        raise ValueError("the key repeats where the table is cut, so it cannot be split exactly; use a unique key")
+    return F.lit(at_cut[0]["h"])
 
 
 def batch_number(row_id: Column, n: int) -> Column:

@@ -2,16 +2,19 @@
 
 from cohortloom.plans.choose_images import CLEAN_COLUMNS, choose_images, volume_changes
 from cohortloom.plans.cohort import (
-    FEATURES, LABELS, MODEL_COLUMNS, cohort_scans, first_scans, model_table, split_sets, subjects_by_first_scan,
+    FEATURES, LABELS, MODEL_COLUMNS, censored_review, cohort_scans, first_scans, model_table, small_first_scans, split_sets,
+    subjects_by_first_scan, without_first_scan,
 )
-from cohortloom.plans.inclusion import inclusion_lists
+from cohortloom.plans.inclusion import change_histograms, inclusion_funnel, inclusion_lists
 from cohortloom.plans.linkage import link_reports, locate_scans
 from cohortloom.plans.predictions import prepare_predictions
-from cohortloom.plans.quality import quality_tables
+from cohortloom.plans.quality import excluded_reasons, large_volumes, quality_tables, status_summary
 from cohortloom.plans.series import select_series
+from cohortloom.plans.volumes import prepare_volumes
 
 __all__ = [
-    "CLEAN_COLUMNS", "FEATURES", "LABELS", "MODEL_COLUMNS",
-    "choose_images", "cohort_scans", "first_scans", "inclusion_lists", "link_reports", "locate_scans", "model_table",
-    "prepare_predictions", "quality_tables", "select_series", "split_sets", "subjects_by_first_scan", "volume_changes",
+    "CLEAN_COLUMNS", "FEATURES", "LABELS", "MODEL_COLUMNS", "censored_review", "change_histograms", "choose_images",
+    "cohort_scans", "excluded_reasons", "first_scans", "inclusion_funnel", "inclusion_lists", "large_volumes", "link_reports",
+    "locate_scans", "model_table", "prepare_predictions", "prepare_volumes", "quality_tables", "select_series",
+    "small_first_scans", "split_sets", "status_summary", "subjects_by_first_scan", "volume_changes", "without_first_scan",
 ]

@@ -56,6 +56,24 @@ def cohort_scans(
     return ops.not_in(rows, "id", excluded, "id_to_remove")
 
 
+def without_first_scan(cohort: DataFrame) -> DataFrame:
+    """Subjects of the cohort none of whose scans has number 1."""
+    first = cohort.where(F.col("scan_number") == 1).select(SUBJECT)
+    return ops.set_difference(cohort.select(SUBJECT), first)
+
+
+def small_first_scans(cohort: DataFrame, ml: float = fixed.FIRST_SCAN_ML) -> DataFrame:
+    """First scans that show less than ``ml`` in both main classes; a missing volume shows nothing."""
+    enough = fn.any_at_least({VOLUMES["iph"]: ml, VOLUMES["eah"]: ml})
+    return cohort.where((F.col("scan_number") == 1) & ~F.coalesce(enough, F.lit(False)))
+
+
+def censored_review(sheet: DataFrame, excluded: DataFrame) -> DataFrame:
+    """Excluded scans of the subjects that go on, beside what the sheet says of the subject."""
+    kept = sheet.where(fn.flag_is("exclude", 0) | fn.flag_is(CENSORED, 1))
+    return ops.join_ns(kept, excluded, [SUBJECT])
+
+
 def model_table(cohort: DataFrame, cuts: Sequence[float] = fixed.OUTCOME_CUTS) -> DataFrame:
     """All scans with change from the first scan by scan number, greatest change and outcome flags.
 

@@ -10,42 +10,74 @@ from cohortloom.session import settle
 SUBJECT = "unique_study_id"
 IPH, EAH, IVH = (f"{c}_predicted_volume_ml" for c in ["iph", "eah", "ivh"])
 IPH_CHANGE, EAH_CHANGE = "change_iph_volume_first_scan", "change_eah_volume_first_scan"
+TAIL_COLUMNS = [SUBJECT, "id", "report_num_temp", "folder", IPH, EAH, IPH_CHANGE, EAH_CHANGE]
+
+
+def reviewed_scans(scans: DataFrame, review: DataFrame, reports: DataFrame) -> DataFrame:
+    """Scans with their review, if there is one, and their report."""
+    return ops.natural_join(ops.join_ns(scans, review, [SUBJECT], "left"), reports)
 
 
 def included_scans(scans: DataFrame, review: DataFrame, reports: DataFrame, excluded: DataFrame) -> DataFrame:
     """Scans with their review and report; excluded subjects and scans are out, unreviewed subjects stay."""
-    rows = ops.natural_join(ops.join_ns(scans, review, [SUBJECT], "left"), reports)
+    rows = reviewed_scans(scans, review, reports)
     return ops.not_in(rows.where(fn.flag_is_not("exclude", 1)), "id", excluded, "id_to_remove")
 
 
+def inclusion_funnel(scans: DataFrame, review: DataFrame, reports: DataFrame, excluded: DataFrame) -> DataFrame:
+    """Subjects and scans left after each step towards the cases with growth."""
+    listed = excluded.select(F.col("id_to_remove").alias("id"), F.lit(1).alias("__listed")).distinct()
+    rows = ops.join_ns(reviewed_scans(scans, review, reports), listed, ["id"], "left")
+    steps = [
+        ("reported", F.lit(True)),
+        ("subject kept", fn.flag_is_not("exclude", 1)),
+        ("scan kept", F.col("__listed").isNull()),
+        ("likely case", F.col("potential_hematoma_expansion_case").isin(1, 999)),
+        ("enough volume", fn.any_at_least({IPH: fixed.CASE_ML, EAH: fixed.CASE_ML})),
+        ("grown", fn.any_at_least({IPH_CHANGE: fixed.IPH_GROWTH_ML, EAH_CHANGE: fixed.EAH_GROWTH_ML})),
+    ]
+    return ops.funnel(rows, steps, SUBJECT)
+
+
+def change_histograms(cases: DataFrame, bins: int = 10) -> dict[str, DataFrame]:
+    """Counts per bin of the two changes, over the cases with enough volume."""
+    return {c: ops.histogram(cases, c, bins) for c in (IPH_CHANGE, EAH_CHANGE)}
+
+
 def inclusion_lists(
     scans: DataFrame, review: DataFrame, reports: DataFrame, excluded: DataFrame, plain_or: bool = False
 ) -> dict[str, DataFrame]:
-    """The review lists by name.
+    """The review lists by name, in no order: sort where a list is shown, ``unreviewed`` by falling IVH volume.
 
     ``five_ml`` takes one class from all scans and the other from likely cases only; ``plain_or`` takes both
     from all scans.
     """
-    rows = settle(included_scans(scans, review, reports, excluded))
+    reviewed = settle(reviewed_scans(scans, review, reports))
+    rows = settle(ops.not_in(reviewed.where(fn.flag_is_not("exclude", 1)), "id", excluded, "id_to_remove"))
     likely = F.col("potential_hematoma_expansion_case").isin(1, 999)
-    five_ml = rows.where(fn.masked_or(F.col(IPH) >= 5, F.col(EAH) >= 5, None if plain_or else likely))
-    grown = fn.any_at_least({IPH_CHANGE: 8, EAH_CHANGE: 9})
-    case_five_ml = rows.where(likely).where(fn.any_at_least({IPH: 5, EAH: 5}))
+    five_ml = rows.where(fn.masked_or(F.col(IPH) >= fixed.CASE_ML, F.col(EAH) >= fixed.CASE_ML, None if plain_or else likely))
+    grown = fn.any_at_least({IPH_CHANGE: fixed.IPH_GROWTH_ML, EAH_CHANGE: fixed.EAH_GROWTH_ML})
+    case_five_ml = rows.where(likely).where(fn.any_at_least({IPH: fixed.CASE_ML, EAH: fixed.CASE_ML}))
     tails = [
-        ("iph_high", F.col(IPH_CHANGE) >= 10), ("eah_high", F.col(EAH_CHANGE) >= 10),
-        ("iph_vol_high", F.col(IPH) >= 10), ("eah_vol_high", F.col(EAH) >= 10),
-        ("eah_large_dec", F.col(EAH_CHANGE) <= -10), ("iph_large_dec", F.col(IPH_CHANGE) <= -10),
+        ("iph_grew", F.col(IPH_CHANGE) >= fixed.TAIL_ML), ("eah_grew", F.col(EAH_CHANGE) >= fixed.TAIL_ML),
+        ("iph_large", F.col(IPH) >= fixed.TAIL_ML), ("eah_large", F.col(EAH) >= fixed.TAIL_ML),
+        ("eah_shrank", F.col(EAH_CHANGE) <= -fixed.TAIL_ML), ("iph_shrank", F.col(IPH_CHANGE) <= -fixed.TAIL_ML),
     ]
     top = ops.group_max(rows, [SUBJECT], [IPH, EAH, IVH])
     return {
+        "excluded_subjects": reviewed.where(fn.flag_is("exclude", 1)),
+        "accepted_subjects": reviewed.where(fn.flag_is("exclude", 0)),
         "included": rows,
+        "no_quality_error": rows.where(F.col("quality_control_metric") == 0),
         "cases": rows.where(likely),
         "five_ml": five_ml,
         "five_ml_change": five_ml.where(grown),
         "case_five_ml": case_five_ml,
         "case_five_ml_change": case_five_ml.where(grown),
+        "case_iph_change": case_five_ml.where(F.col(IPH_CHANGE) >= fixed.IPH_GROWTH_ML),
+        "case_eah_change": case_five_ml.where(F.col(EAH_CHANGE) >= fixed.EAH_GROWTH_ML),
         "sample": ops.sample_n(five_ml, "id", 20, fixed.SAMPLE_SEED),
-        "tails": ops.tail_lists(rows, tails, [SUBJECT, "id", IPH, EAH, IPH_CHANGE, EAH_CHANGE]),
-        "unreviewed": ops.sort_multi(rows.where(F.col("exclude").isNull()), (IVH, False)),
+        "tails": ops.tail_lists(rows, tails, [c for c in TAIL_COLUMNS if c in rows.columns]),
+        "unreviewed": rows.where(F.col("exclude").isNull()),
         "no_hemorrhage": top.where(F.col("total") == 0),
     }

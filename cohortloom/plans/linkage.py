@@ -29,13 +29,15 @@ def link_reports(images: DataFrame, reports: DataFrame, ids: DataFrame, cols: Se
         }
     )
     reports = reports.withColumn("accession_temp", fn.normalize_accession("accession", "plain"))
-    linked = ops.join_on(images, reports, [("EDWAccession", "accession")])
+    # A number that is missing on both sides links nothing.
+    linked = ops.join_on(images, reports.where(F.col("accession").isNotNull()), [("EDWAccession", "accession")])
     linked = ops.join_ns(linked, ids.select("unique_study_id", *ID_KEYS), ID_KEYS)
     return linked.select(*[fn.quoted(c) for c in cols])
 
 
 def locate_scans(wanted: DataFrame, manifests: Sequence[tuple[DataFrame, str]]) -> DataFrame:
-    """Folder of each wanted scan, looked up by report number and, for those not found, by archive number.
+    """Folder of each wanted scan, looked up by report number and, for those not found, by archive number. A missing
+    number finds nothing.
 
     ``manifests`` are (table, path prefix) pairs. Scans that neither number finds come out with a null
     ``file_path``, to be caught by the gate on writing.

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from cohortloom import functions as fn, operators as ops
+from cohortloom import fixed_values as fixed, functions as fn, operators as ops
 from cohortloom.session import settle
 
 SUBJECT = "unique_study_id"
@@ -31,10 +31,25 @@ def marked_scans(scans: DataFrame, sheet: DataFrame, excluded: DataFrame) -> Dat
 def with_status(long: DataFrame, iph: str, eah: str) -> DataFrame:
     kind, out = F.col("variable"), F.col("exclude_id")
     rules = [
-        ((out == 1) & (kind == iph), "IPH-Exclude"), ((out == 1) & (kind == eah), "EAH-Exclude"),
-        ((out == 0) & (kind == iph), "IPH"), ((out == 0) & (kind == eah), "EAH"),
+        ((out == 1) & (kind == iph), fixed.STATUS_IPH + fixed.STATUS_OUT), ((out == 1) & (kind == eah), fixed.STATUS_EAH + fixed.STATUS_OUT),
+        ((out == 0) & (kind == iph), fixed.STATUS_IPH), ((out == 0) & (kind == eah), fixed.STATUS_EAH),
     ]
-    return long.withColumn("scan_status", fn.case_label(rules, "Unknown"))
+    return long.withColumn("scan_status", fn.case_label(rules, fixed.STATUS_OTHER))
+
+
+def excluded_reasons(sheet: DataFrame) -> DataFrame:
+    """Reasons for leaving subjects out, cleaned, with their number and share."""
+    return ops.percent_of_total(sheet.where(fn.flag_is("exclude", 1)), "reason_excluded")
+
+
+def large_volumes(volumes: DataFrame, ml: float = fixed.LARGE_ML) -> DataFrame:
+    """Number of very large volumes by class and whether the subject is left out."""
+    return ops.value_counts(volumes.where(F.col("value") > ml), ["variable", "patient_excluded"])
+
+
+def status_summary(long: DataFrame) -> DataFrame:
+    """Five-number summary of the values of each scan status, the numbers behind the box plots."""
+    return ops.five_number_summary(long, "value", ["scan_status"])
 
 
 def quality_tables(

@@ -28,17 +28,36 @@ def scan_delimited(t: Tables) -> DataFrame:
     return sources.read_delimited(t.spark, path, "|", ["patient_id", "accession", "folder"])
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus AS batch FROM orders")
+@query("""
+SELECT o_orderkey, CASE WHEN o_custkey % 5 <> 0 THEN o_custkey END AS o_custkey,
+       CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS o_totalprice, o_orderpriority || chr(10) || 'x' AS note, o_orderstatus AS batch
+FROM orders
+""")
 def scan_batches(t: Tables) -> DataFrame:
+    """Customers as numbers with a decimal point, prices with NaN, notes over two lines."""
     path = scratch_path(t.spark, "batches")
-    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderstatus").alias("run"))
-    rows.write.option("header", True).partitionBy("run").csv(path)
-    return sources.read_batches(t.spark, f"{path}/run=*", rows.drop("run").schema, "/run=([^/]+)/")
+    rows = t.orders.select(
+        "o_orderkey",
+        F.when(F.col("o_custkey") % 5 != 0, F.concat(F.col("o_custkey").cast("string"), F.lit(".0"))).alias("o_custkey"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice")).otherwise(F.lit(float("nan"))).alias("o_totalprice"),
+        F.concat("o_orderpriority", F.lit("\nx")).alias("note"),
+        F.col("o_orderstatus").alias("run"),
+    )
+    rows.write.option("header", True).option("escape", '"').partitionBy("run").csv(path)
+    schema = "o_orderkey bigint, o_custkey bigint, o_totalprice double, note string"
+    return sources.read_batches(t.spark, f"{path}/run=*", schema, "/run=([^/]+)/", line_breaks=True)
 
 
-@query("SELECT doc_id, quality, toxic FROM labels")
+@query("SELECT doc_id, quality, CASE WHEN toxic = 1 THEN 1 END AS toxic, 'seen' || chr(10) || quality AS notes FROM labels")
 def scan_review_sheet(t: Tables) -> DataFrame:
-    return sources.read_review(t.spark, f"{t.folder}/labels.parquet", "doc_id bigint, quality int, toxic int")
+    """A sheet as other tools export it: flags as 1.0, empty cells, notes over two lines."""
+    path = scratch_path(t.spark, "sheet.csv")
+    flag = F.concat(F.col("quality").cast("string"), F.lit(".0"))
+    rows = t.labels.select(
+        "doc_id", flag.alias("quality"), F.when(F.col("toxic") == 1, "1.0").alias("toxic"), F.concat(F.lit("seen\n"), F.col("quality").cast("string")).alias("notes")
+    )
+    sources.write_table(rows, path)
+    return sources.read_review(t.spark, path, "doc_id bigint, quality int, toxic int, notes string")
 
 
 @query("SELECT DISTINCT 'folder=' || split_part(url, '/', 4) AS folder FROM pages")
@@ -109,8 +128,8 @@ def gated_write(t: Tables) -> DataFrame:
         try:
             check = sources.write_if(rows, "o_orderkey", "n", path)
             written = t.spark.read.schema(rows.schema).parquet(path).agg(F.count(F.lit(1))).scalar()
-        except sources.IncompleteError:
-            check, written = ops.completeness(rows, "o_orderkey", "n"), F.lit(0).cast("long")
+        except sources.IncompleteError as refused:
+            check, written = t.spark.createDataFrame([refused.check], "n_wanted long, n_found long, complete boolean"), F.lit(0).cast("long")
         out.append(check.select(F.lit(batch).alias("batch"), "*", written.alias("rows_written")))
     return out[0].unionByName(out[1])
 

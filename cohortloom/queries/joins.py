@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortloom import functions as fn, operators as ops
 from cohortloom.queries.registry import Tables, query
@@ -54,24 +54,26 @@ def join_left(t: Tables) -> DataFrame:
 
 @query("""
 SELECT n.n_nationkey AS nation, n.n_name, s.s_suppkey
-FROM (SELECT * FROM supplier WHERE s_acctbal > 8000) s RIGHT JOIN nation n ON s.s_nationkey = n.n_nationkey
+FROM (SELECT s_suppkey, CASE WHEN s_acctbal > 8000 THEN s_nationkey END AS nation FROM supplier) s
+RIGHT JOIN nation n ON s.nation = n.n_nationkey
 """)
 def join_right(t: Tables) -> DataFrame:
-    rich = t.supplier.where(F.col("s_acctbal") > 8000).select("s_suppkey", F.col("s_nationkey").alias("nation"))
+    rich = t.supplier.select("s_suppkey", F.when(F.col("s_acctbal") > 8000, F.col("s_nationkey")).alias("nation"))
     nations = t.nation.select(F.col("n_nationkey").alias("nation"), "n_name")
     return ops.join_ns(rich, nations, ["nation"], "right").select("nation", "n_name", "s_suppkey")
 
 
 @query("""
-WITH c AS (SELECT c_custkey AS cust, c_acctbal FROM customer WHERE c_acctbal > 0),
-o AS (SELECT o_custkey AS cust, count(*) AS n FROM orders WHERE o_totalprice > 450000 GROUP BY 1)
+WITH c AS (SELECT CASE WHEN c_acctbal > 0 THEN c_custkey ELSE -c_custkey END AS cust, c_acctbal FROM customer),
+o AS (SELECT CASE WHEN o_totalprice > 450000 THEN o_custkey ELSE o_custkey % 100 - 1000000 END AS cust, count(*) AS n FROM orders GROUP BY 1)
 SELECT coalesce(c.cust, o.cust) AS cust, c.c_acctbal, o.n,
        CASE WHEN c.cust IS NULL THEN 'right_only' WHEN o.cust IS NULL THEN 'left_only' ELSE 'both' END AS _merge
 FROM c FULL JOIN o ON c.cust = o.cust
 """)
 def join_outer_indicator(t: Tables) -> DataFrame:
-    c = t.customer.where(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("cust"), "c_acctbal")
-    o = t.orders.where(F.col("o_totalprice") > 450000).groupBy(F.col("o_custkey").alias("cust"))
+    c = t.customer.select(F.when(F.col("c_acctbal") > 0, F.col("c_custkey")).otherwise(-F.col("c_custkey")).alias("cust"), "c_acctbal")
+    other = F.col("o_custkey") % 100 - 1_000_000
+    o = t.orders.groupBy(F.when(F.col("o_totalprice") > 450000, F.col("o_custkey")).otherwise(other).alias("cust"))
     return ops.outer_with_origin(c, o.agg(F.count(F.lit(1)).alias("n")), ["cust"])
 
 
@@ -85,14 +87,13 @@ def join_semi(t: Tables) -> DataFrame:
     return ops.join_on(t.orders, t.lineitem, [("o_orderkey", "l_orderkey")], "semi")
 
 
-# Sales of 50 pieces have no part number here: the list then holds nulls, which must not empty the result.
+# Only sales of 49 pieces have a part number here: the list holds nulls, which must not empty the result.
 @query("""
 SELECT * FROM part WHERE NOT EXISTS (
-  SELECT 1 FROM (SELECT CASE WHEN l_quantity < 50 THEN l_partkey END AS id FROM lineitem WHERE l_quantity >= 49) WHERE id = p_partkey)
+  SELECT 1 FROM (SELECT CASE WHEN l_quantity = 49 THEN l_partkey END AS id FROM lineitem) WHERE id = p_partkey)
 """)
 def join_not_in(t: Tables) -> DataFrame:
-    sold = t.lineitem.where(F.col("l_quantity") >= 49)
-    listed = sold.select(F.when(F.col("l_quantity") < 50, F.col("l_partkey")).alias("id"))
+    listed = t.lineitem.select(F.when(F.col("l_quantity") == 49, F.col("l_partkey")).alias("id"))
     return ops.not_in(t.part, "p_partkey", listed, "id")
 
 
@@ -105,40 +106,50 @@ def join_distinct_dim(t: Tables) -> DataFrame:
     return ops.join_distinct(t.orders.select("o_orderkey", "o_custkey"), shipped, ["o_orderkey"], ["l_shipdate"])
 
 
-# Pending orders are listed under their own number, customers with a high balance under theirs.
-_MANIFEST = f"""
-SELECT {ACCESSION} AS accession, 'order/' || o_orderkey AS folder FROM orders WHERE o_orderstatus = 'P'
+# Pending orders are listed under their own number, customers with a high balance under theirs; the others have none.
+# Orders with a key that 7 divides have no first number, those with a customer that 5 divides no second one.
+WANTED_1 = f"CASE WHEN o_orderkey % 7 <> 0 THEN {ACCESSION} END"
+WANTED_2 = f"CASE WHEN o_custkey % 5 <> 0 THEN {SECOND_ACCESSION} END"
+MANIFEST = f"""
+SELECT CASE WHEN o_orderstatus = 'P' THEN {ACCESSION} END AS accession, 'order/' || o_orderkey AS folder, 'a' AS list FROM orders
 UNION ALL
-SELECT '*1CT20' || lpad(CAST(c_custkey AS VARCHAR), 6, '0'), 'customer/' || c_custkey FROM customer WHERE c_acctbal > 4000
+SELECT CASE WHEN c_acctbal > 4000 THEN '*1CT20' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') END, 'customer/' || c_custkey, 'b' FROM customer
 """
 
 
-def manifest(t: Tables) -> DataFrame:
-    by_order = t.orders.where(F.col("o_orderstatus") == "P").select(
-        accession().alias("accession"), F.concat(F.lit("order/"), F.col("o_orderkey").cast("string")).alias("folder")
+def wanted_numbers() -> tuple[Column, Column]:
+    return F.when(F.col("o_orderkey") % 7 != 0, accession()), F.when(F.col("o_custkey") % 5 != 0, second_accession())
+
+
+def manifests(t: Tables) -> tuple[DataFrame, DataFrame]:
+    by_order = t.orders.select(
+        F.when(F.col("o_orderstatus") == "P", accession()).alias("accession"),
+        F.concat(F.lit("order/"), F.col("o_orderkey").cast("string")).alias("folder"),
     )
     number = F.col("c_custkey").cast("string")
-    by_customer = t.customer.where(F.col("c_acctbal") > 4000).select(
-        F.concat(F.lit("*1CT20"), F.lpad(number, 6, "0")).alias("accession"),
+    by_customer = t.customer.select(
+        F.when(F.col("c_acctbal") > 4000, F.concat(F.lit("*1CT20"), F.lpad(number, 6, "0"))).alias("accession"),
         F.concat(F.lit("customer/"), number).alias("folder"),
     )
-    return by_order.unionByName(by_customer)
+    return by_order, by_customer
 
 
 @query(f"""
-WITH w AS (SELECT o_orderkey, {accession_sql(ACCESSION, "dated")} AS k1, {accession_sql(SECOND_ACCESSION, "fallback")} AS k2 FROM orders),
-m AS (SELECT {accession_sql("accession", "manifest")} AS mk, folder FROM ({_MANIFEST}))
+WITH w AS (SELECT o_orderkey, {accession_sql(WANTED_1, "dated")} AS k1, {accession_sql(WANTED_2, "fallback")} AS k2 FROM orders),
+m AS (SELECT {accession_sql("accession", "manifest")} AS mk, folder FROM ({MANIFEST}))
 SELECT DISTINCT w.*, m.mk, m.folder FROM w JOIN m ON w.k1 = m.mk
 UNION
-SELECT DISTINCT w.*, m.mk, m.folder FROM w LEFT JOIN m ON w.k2 = m.mk WHERE w.k1 NOT IN (SELECT mk FROM m)
+SELECT DISTINCT w.*, m.mk, m.folder FROM w LEFT JOIN m ON w.k2 = m.mk WHERE NOT EXISTS (SELECT 1 FROM m AS n WHERE n.mk = w.k1)
 """)
 def waterfall_match(t: Tables) -> DataFrame:
+    first, second = wanted_numbers()
     wanted = t.orders.select(
         "o_orderkey",
-        fn.normalize_accession(accession(), "dated").alias("k1"),
-        fn.normalize_accession(second_accession(), "fallback").alias("k2"),
+        fn.normalize_accession(first, "dated").alias("k1"),
+        fn.normalize_accession(second, "fallback").alias("k2"),
     )
-    listed = manifest(t).select(fn.normalize_accession("accession", "manifest").alias("mk"), "folder")
+    by_order, by_customer = manifests(t)
+    listed = by_order.unionByName(by_customer).select(fn.normalize_accession("accession", "manifest").alias("mk"), "folder")
     return ops.waterfall(wanted, listed, [("k1", "mk"), ("k2", "mk")])
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortloom import operators as ops, plans, sources
 from cohortloom.queries.aggregations import PIVOTED
-from cohortloom.queries.joins import override_sql
+from cohortloom.queries.joins import MANIFEST, WANTED_1, WANTED_2, manifests, override_sql, wanted_numbers
 from cohortloom.queries.registry import Tables, query
 from cohortloom.queries.standins import (
     ACCESSION, SECOND_ACCESSION, accession, accession_sql, headers, second_accession,
@@ -26,67 +26,69 @@ _LINKED = [
 ]
 
 
+_IMAGE_NUMBER = "CASE WHEN o_orderkey % 11 <> 0 THEN 'X1CT' || o_orderkey END"
+
+
 @query(f"""
-WITH images AS (SELECT {ACCESSION} AS sa, {SECOND_ACCESSION} AS va, 'X1CT' || o_orderkey AS ea,
+WITH images AS (SELECT {ACCESSION} AS sa, {SECOND_ACCESSION} AS va, {_IMAGE_NUMBER} AS ea,
                        CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS d FROM orders),
-reports AS (SELECT DISTINCT 'X1CT' || l_orderkey AS accession, CAST(l_linestatus = 'F' AS INTEGER) AS trauma, l_returnflag AS hem
-            FROM lineitem WHERE l_quantity >= 40),
-ids AS (SELECT o_custkey AS unique_study_id, {ACCESSION} AS sa, nullif({SECOND_ACCESSION}, 'x') AS va, 'X1CT' || o_orderkey AS ea
-        FROM orders WHERE o_orderstatus <> 'F')
+reports AS (SELECT DISTINCT CASE WHEN l_quantity >= 40 THEN 'X1CT' || l_orderkey END AS accession,
+                   CAST(l_linestatus = 'F' AS INTEGER) AS trauma, l_returnflag AS hem FROM lineitem),
+ids AS (SELECT o_custkey AS unique_study_id, {ACCESSION} AS sa, {SECOND_ACCESSION} AS va,
+               CASE WHEN o_orderstatus <> 'F' THEN {_IMAGE_NUMBER} END AS ea FROM orders)
 SELECT i.unique_study_id, regexp_replace(m.ea, '.*CT', 'CT') AS report_num_temp, m.sa AS "SearchAccession", m.va AS "VNAAccession",
        m.ea AS "EDWAccession", m.d AS "StudyDate", {accession_sql("m.sa", "plain")} AS "SearchAccession_temp", r.accession,
        r.trauma AS "any trauma", r.hem AS " hemorrhage ", {accession_sql("r.accession", "plain")} AS accession_temp
 FROM images m JOIN reports r ON m.ea = r.accession JOIN ids i ON i.sa = m.sa AND i.va = m.va AND i.ea = m.ea
 """)
 def pipe_link_reports(t: Tables) -> DataFrame:
-    keys = {
-        "SearchAccession": accession(),
-        "VNAAccession": second_accession(),
-        "EDWAccession": F.concat(F.lit("X1CT"), text("o_orderkey")),
-    }
-    named = [c.alias(n) for n, c in keys.items()]
+    number = F.when(F.col("o_orderkey") % 11 != 0, F.concat(F.lit("X1CT"), text("o_orderkey")))
+    named = [accession().alias("SearchAccession"), second_accession().alias("VNAAccession")]
     images = t.orders.select(
         *named,
+        number.alias("EDWAccession"),
         F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("StudyDate"),
         text("o_custkey").alias("Name"),
         F.lit(None).cast("date").alias("DOB"),
     )
-    reports = t.lineitem.where(F.col("l_quantity") >= 40).select(
-        F.concat(F.lit("X1CT"), text("l_orderkey")).alias("accession"),
+    reports = t.lineitem.select(
+        F.when(F.col("l_quantity") >= 40, F.concat(F.lit("X1CT"), text("l_orderkey"))).alias("accession"),
         (F.col("l_linestatus") == "F").cast("int").alias("any trauma"),
         F.col("l_returnflag").alias(" hemorrhage "),
     )
-    ids = t.orders.where(F.col("o_orderstatus") != "F").select(F.col("o_custkey").alias("unique_study_id"), *named)
+    listed = F.when(F.col("o_orderstatus") != "F", number).alias("EDWAccession")
+    ids = t.orders.select(F.col("o_custkey").alias("unique_study_id"), *named, listed)
     return plans.link_reports(images, reports.distinct(), ids, _LINKED)
 
 
 @query(f"""
-WITH w AS (SELECT o_custkey AS unique_study_id, {ACCESSION} AS report_num_temp, {SECOND_ACCESSION} AS "VNAAccession" FROM orders),
-k AS (SELECT *, {accession_sql("report_num_temp", "dated")} AS k1, {accession_sql('"VNAAccession"', "fallback")} AS k2 FROM w),
-b AS (SELECT {ACCESSION} AS accession, 'o ' || o_orderkey AS folder, '/first/images/' AS prefix FROM orders WHERE o_orderstatus = 'P'
-      UNION ALL SELECT '*1CT20' || lpad(CAST(c_custkey AS VARCHAR), 6, '0'), 'c ' || c_custkey, '/second/images/' FROM customer WHERE c_acctbal > 4000),
-m AS (SELECT accession, folder, replace(prefix || folder, ' ', '') AS file_path, {accession_sql("accession", "manifest")} AS mk FROM b),
+WITH w AS (SELECT o_custkey AS unique_study_id, {WANTED_1} AS report_num_temp, {WANTED_2} AS "VNAAccession" FROM orders),
+k AS (SELECT DISTINCT *, {accession_sql("report_num_temp", "dated")} AS k1, {accession_sql('"VNAAccession"', "fallback")} AS k2 FROM w),
+m AS (SELECT DISTINCT accession, folder, CASE list WHEN 'a' THEN '/first/images/' ELSE '/second/images/' END || folder AS file_path,
+             {accession_sql("accession", "manifest")} AS mk FROM ({MANIFEST})),
 found AS (SELECT DISTINCT k.*, m.accession, m.folder, m.file_path FROM k JOIN m ON k.k1 = m.mk
-          UNION SELECT k.*, m.accession, m.folder, m.file_path FROM k LEFT JOIN m ON k.k2 = m.mk WHERE k.k1 NOT IN (SELECT mk FROM m))
+          UNION SELECT k.*, m.accession, m.folder, m.file_path FROM k LEFT JOIN m ON k.k2 = m.mk
+          WHERE NOT EXISTS (SELECT 1 FROM m AS n WHERE n.mk = k.k1))
 SELECT unique_study_id, report_num_temp, "VNAAccession", k1 AS accession_temp, k2 AS "VNAAccession_temp", accession, folder, file_path,
        (SELECT count(DISTINCT report_num_temp) FROM found) AS n_wanted,
-       (SELECT count(DISTINCT report_num_temp) FROM found WHERE file_path IS NOT NULL) AS n_found
+       (SELECT count(DISTINCT report_num_temp) FROM found WHERE file_path IS NOT NULL) AS n_found,
+       (SELECT count(*) FROM found WHERE file_path IS NULL) AS n_without_path,
+       (SELECT count(*) FROM found WHERE report_num_temp IS NULL) AS n_without_report
 FROM found
 """)
 def pipe_locate_scans(t: Tables) -> DataFrame:
-    wanted = t.orders.select(
-        F.col("o_custkey").alias("unique_study_id"), accession().alias("report_num_temp"), second_accession().alias("VNAAccession")
-    )
-    first = t.orders.where(F.col("o_orderstatus") == "P").select(
-        accession().alias("accession"), F.concat(F.lit("o "), text("o_orderkey")).alias("folder")
-    )
-    second = t.customer.where(F.col("c_acctbal") > 4000).select(
-        F.concat(F.lit("*1CT20"), F.lpad(text("c_custkey"), 6, "0")).alias("accession"),
-        F.concat(F.lit("c "), text("c_custkey")).alias("folder"),
-    )
+    """The gate refuses to write, as some scans are in no manifest; its check row and the null counts come out too."""
+    report, archive = wanted_numbers()
+    wanted = t.orders.select(F.col("o_custkey").alias("unique_study_id"), report.alias("report_num_temp"), archive.alias("VNAAccession"))
+    first, second = manifests(t)
     found = settle(plans.locate_scans(wanted, [(first, "/first/images/"), (second, "/second/images/")]))
-    check = ops.completeness(found, "report_num_temp", "file_path")
-    return found.withColumns({n: check.select(n).scalar() for n in ["n_wanted", "n_found"]})
+    try:
+        check = sources.write_if(found, "report_num_temp", "file_path", scratch_path(t.spark, "located")).first()
+    except sources.IncompleteError as refused:
+        check = refused.check
+    nulls = ops.null_counts(found).first()
+    counts = {"n_wanted": check["n_wanted"], "n_found": check["n_found"], "n_without_path": nulls["file_path"], "n_without_report": nulls["report_num_temp"]}
+    return found.withColumns({n: F.lit(v).cast("long") for n, v in counts.items()})
 
 
 # --- series ---------------------------------------------------------------------------------------------------
@@ -122,7 +124,8 @@ def day(t: Tables) -> DataFrame:
 WITH e AS (SELECT *, {_DAY} AS folder FROM events),
 p AS (SELECT 'scan_' || event_id AS id, 'nifti/' || folder || '/' || event_id || '.nii' AS image, 'out/' || event_id || '.nii' AS prediction,
              event_type AS batch, CAST(floor(value) AS INTEGER) AS slice_num, folder FROM e),
-l AS (SELECT DISTINCT user_id AS unique_study_id, 'R' || folder AS report_num_temp, folder FROM e WHERE value >= 60),
+l AS (SELECT DISTINCT user_id AS unique_study_id, 'R' || folder AS report_num_temp,
+             CASE WHEN value >= 60 THEN folder ELSE 'not sent ' || folder END AS folder FROM e),
 d AS (SELECT user_id AS unique_study_id, 'R' || folder AS report_num_temp, min(ts) AS t FROM e GROUP BY 1, 2)
 SELECT p.*, l.unique_study_id, l.report_num_temp, d.t AS "StudyDate_Time_format",
        CAST(dense_rank() OVER (PARTITION BY l.unique_study_id ORDER BY d.t, p.folder) AS INTEGER) AS scan_number
@@ -141,8 +144,9 @@ def pipe_prepare_predictions(t: Tables) -> DataFrame:
     batches = sources.read_batches(t.spark, f"{path}/run=*", rows.drop("run").schema, "/run=([^/]+)/")
     predictions = batches.withColumn("shape", F.array(F.lit(512), F.lit(512), "depth")).drop("depth")
     report = F.concat(F.lit("R"), "folder").alias("report_num_temp")
-    scan_list = e.where(F.col("value") >= 60).select(
-        F.col("user_id").alias("unique_study_id"), report, F.concat(F.lit(" "), "folder", F.lit("\t")).alias("folder")
+    sent = F.when(F.col("value") >= 60, F.col("folder")).otherwise(F.concat(F.lit("not sent "), "folder"))
+    scan_list = e.select(
+        F.col("user_id").alias("unique_study_id"), report, F.concat(F.lit(" "), sent, F.lit("\t")).alias("folder")
     )
     details = e.groupBy(F.col("user_id").alias("unique_study_id"), report).agg(
         F.min("ts").cast("string").alias("StudyDate_Time_format")
@@ -337,13 +341,28 @@ def pipe_quality_tables(t: Tables) -> DataFrame:
     )
 
 
-@query(f"""
-WITH h AS ({_HISTORY}),
+def review_tables(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Scans, review, reports and excluded scans."""
+    scans = plans.volume_changes(history(t)).withColumn("folder", F.lit(None).cast("string"))
+    flag = F.when(F.col("exclude") == 0, 999).otherwise(F.col("second_scan_post_surgery_trauma"))
+    review = sheet(t).select("unique_study_id", "exclude", flag.alias("potential_hematoma_expansion_case"))
+    number = F.concat(F.when(F.col("event_type") == "view", "no report ").otherwise("R"), text("event_id"))
+    reports = t.events.select(F.col("user_id").alias("unique_study_id"), number.alias("report_num_temp"))
+    return scans, review, reports, excluded(t)
+
+
+_REVIEWED = f"""
+h AS ({_HISTORY}),
 b AS (SELECT *, iph - {_BASE.format("iph")} AS d_iph, eah - {_BASE.format("eah")} AS d_eah FROM h),
-r AS (SELECT b.*, s.exclude, CASE WHEN s.exclude = 0 THEN 999 ELSE s.censored END AS flag
+a AS (SELECT b.*, s.exclude, CASE WHEN s.exclude = 0 THEN 999 ELSE s.censored END AS flag, b.id IN (SELECT id FROM ({_EXCLUDED})) AS listed
       FROM b LEFT JOIN ({_SHEET}) s ON b.uid = s.uid
-      WHERE coalesce(s.exclude, 0) <> 1 AND b.id IN (SELECT 'scan_' || event_id FROM events WHERE event_type <> 'view')
-        AND b.id NOT IN (SELECT id FROM ({_EXCLUDED})))
+      WHERE b.id IN (SELECT 'scan_' || event_id FROM events WHERE event_type <> 'view')),
+r AS (SELECT * FROM a WHERE coalesce(exclude, 0) <> 1 AND NOT listed)
+"""
+
+
+@query(f"""
+WITH {_REVIEWED}
 SELECT 'included' AS list, uid AS unique_study_id, id FROM r
 UNION ALL SELECT 'cases', uid, id FROM r WHERE flag IN (1, 999)
 UNION ALL SELECT 'five_ml', uid, id FROM r WHERE iph >= 5 OR (eah >= 5 AND flag IN (1, 999))
@@ -351,27 +370,155 @@ UNION ALL SELECT 'five_ml_change', uid, id FROM r WHERE (iph >= 5 OR (eah >= 5 A
 UNION ALL SELECT 'case_five_ml', uid, id FROM r WHERE flag IN (1, 999) AND (iph >= 5 OR eah >= 5)
 UNION ALL SELECT 'case_five_ml_change', uid, id FROM r WHERE flag IN (1, 999) AND (iph >= 5 OR eah >= 5) AND (d_iph >= 8 OR d_eah >= 9)
 UNION ALL SELECT 'unreviewed', uid, id FROM r WHERE exclude IS NULL
+UNION ALL SELECT 'excluded_subjects', uid, id FROM a WHERE exclude = 1
+UNION ALL SELECT 'accepted_subjects', uid, id FROM a WHERE exclude = 0
+UNION ALL SELECT 'no_quality_error', uid, id FROM r WHERE qc = 0
+UNION ALL SELECT 'case_iph_change', uid, id FROM r WHERE flag IN (1, 999) AND (iph >= 5 OR eah >= 5) AND d_iph >= 8
+UNION ALL SELECT 'case_eah_change', uid, id FROM r WHERE flag IN (1, 999) AND (iph >= 5 OR eah >= 5) AND d_eah >= 9
 UNION ALL (SELECT 'sample', uid, id FROM r WHERE iph >= 5 OR (eah >= 5 AND flag IN (1, 999)) ORDER BY md5('1148:' || id), id LIMIT 20)
-UNION ALL SELECT 'iph_high', uid, id FROM r WHERE d_iph >= 10
-UNION ALL SELECT 'eah_high', uid, id FROM r WHERE d_eah >= 10
-UNION ALL SELECT 'iph_vol_high', uid, id FROM r WHERE iph >= 10
-UNION ALL SELECT 'eah_vol_high', uid, id FROM r WHERE eah >= 10
-UNION ALL SELECT 'iph_large_dec', uid, id FROM r WHERE d_iph <= -10
-UNION ALL SELECT 'eah_large_dec', uid, id FROM r WHERE d_eah <= -10
+UNION ALL SELECT 'iph_grew', uid, id FROM r WHERE d_iph >= 10
+UNION ALL SELECT 'eah_grew', uid, id FROM r WHERE d_eah >= 10
+UNION ALL SELECT 'iph_large', uid, id FROM r WHERE iph >= 10
+UNION ALL SELECT 'eah_large', uid, id FROM r WHERE eah >= 10
+UNION ALL SELECT 'iph_shrank', uid, id FROM r WHERE d_iph <= -10
+UNION ALL SELECT 'eah_shrank', uid, id FROM r WHERE d_eah <= -10
 UNION ALL SELECT 'no_hemorrhage', uid, NULL FROM r GROUP BY uid
   HAVING coalesce(max(iph), 0) + coalesce(max(eah), 0) + coalesce(max(ivh), 0) = 0
 """)
 def pipe_inclusion_lists(t: Tables) -> DataFrame:
-    scans = plans.volume_changes(history(t))
-    flag = F.when(F.col("exclude") == 0, 999).otherwise(F.col("second_scan_post_surgery_trauma"))
-    review = sheet(t).select("unique_study_id", "exclude", flag.alias("potential_hematoma_expansion_case"))
-    reports = t.events.where(F.col("event_type") != "view").select(
-        F.col("user_id").alias("unique_study_id"), F.concat(F.lit("R"), text("event_id")).alias("report_num_temp")
-    )
-    lists = plans.inclusion_lists(scans, review, reports, excluded(t))
+    lists = plans.inclusion_lists(*review_tables(t))
     out = []
     for name, rows in lists.items():
         label = F.col("tail") if name == "tails" else F.lit(name)
         row_id = F.lit(None).cast("string") if name == "no_hemorrhage" else F.col("id")
         out.append(rows.select(label.alias("list"), "unique_study_id", row_id.alias("id")))
     return ops.union_all(*out)
+
+
+_STEPS = ["true", "coalesce(exclude, 0) <> 1", "NOT listed", "flag IN (1, 999)", "(iph >= 5 OR eah >= 5)", "(d_iph >= 8 OR d_eah >= 9)"]
+_STEP_NAMES = ["reported", "subject kept", "scan kept", "likely case", "enough volume", "grown"]
+
+
+@query(f"WITH {_REVIEWED}" + " UNION ALL ".join(
+    f"SELECT {i} AS step_no, '{name}' AS step, count(DISTINCT uid) AS subjects, count(*) AS rows FROM a WHERE {' AND '.join(_STEPS[: i + 1])}"
+    for i, name in enumerate(_STEP_NAMES)
+))
+def pipe_inclusion_funnel(t: Tables) -> DataFrame:
+    return plans.inclusion_funnel(*review_tables(t))
+
+
+@query(f"""
+WITH {_REVIEWED},
+five AS (SELECT d_iph, d_eah FROM r WHERE flag IN (1, 999) AND (iph >= 5 OR eah >= 5)),
+long AS (SELECT 'change_iph_volume_first_scan' AS variable, d_iph AS x FROM five WHERE d_iph IS NOT NULL
+         UNION ALL SELECT 'change_eah_volume_first_scan', d_eah FROM five WHERE d_eah IS NOT NULL),
+ends AS (SELECT variable, min(x) AS low, max(x) AS high FROM long GROUP BY variable),
+binned AS (SELECT variable, least(CAST(floor((x - low) / ((high - low) / 10)) AS INTEGER) + 1, 10) AS bin, count(*) AS n
+           FROM long JOIN ends USING (variable) GROUP BY 1, 2)
+SELECT ends.variable, CAST(i AS INTEGER) AS bin, coalesce(n, 0) AS count
+FROM ends CROSS JOIN range(1, 11) AS bins(i) LEFT JOIN binned ON binned.variable = ends.variable AND binned.bin = i
+""")
+def pipe_change_histograms(t: Tables) -> DataFrame:
+    cases = plans.inclusion_lists(*review_tables(t))["case_five_ml"]
+    parts = plans.change_histograms(cases)
+    return ops.union_all(*[h.select(F.lit(c).alias("variable"), "bin", "count") for c, h in parts.items()])
+
+
+@query("""
+WITH numbered AS (SELECT 'nifti/' || page_id || '/' || url AS image, page_id % 10 = 0 AS deep FROM pages),
+ids AS (SELECT *, row_number() OVER (ORDER BY image) AS row FROM numbered)
+SELECT 'scan_' || row AS id, image, CAST((row_number() OVER (ORDER BY row) - 1) // 100 + 1 AS INTEGER) AS batch_no FROM ids WHERE NOT deep
+""")
+def pipe_prepare_volumes(t: Tables) -> DataFrame:
+    axes = F.when(F.col("page_id") % 10 == 0, F.array(*map(F.lit, [512, 512, 30, 2]))).otherwise(F.array(*map(F.lit, [512, 512, 30])))
+    images = t.pages.select(F.concat(F.lit("nifti/"), text("page_id"), F.lit("/"), "url").alias("image"), axes.alias("shape"))
+    return plans.prepare_volumes(images, 100)
+
+
+_REASON = "CASE doc_id % 3 WHEN 0 THEN ' Skull Fracture ' WHEN 1 THEN 'skull fracture' ELSE 'Tumor' || chr(10) END"
+
+
+@query(f"""
+WITH {_WINDOW},
+q AS (SELECT w.*, CAST(s.exclude = 1 AS INTEGER) AS patient_excluded,
+             CAST(s.exclude = 1 OR w.id IN (SELECT id FROM ({_EXCLUDED})) AS INTEGER) AS exclude_id
+      FROM w JOIN ({_SHEET}) s ON w.uid = s.uid),
+long AS (SELECT 'iph_predicted_volume_ml' AS variable, 'IPH' AS class, patient_excluded, exclude_id, iph AS value FROM q
+         UNION ALL SELECT 'eah_predicted_volume_ml', 'EAH', patient_excluded, exclude_id, eah FROM q),
+reasons AS (SELECT lower(trim({_REASON}, ' ' || chr(10))) AS reason FROM labels WHERE 1 - quality = 1)
+SELECT 'reason' AS part, reason AS label, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 1) AS percent, NULL::DOUBLE AS q1, NULL::DOUBLE AS median, NULL::DOUBLE AS q3
+FROM reasons GROUP BY reason
+UNION ALL SELECT 'large', variable || ' ' || patient_excluded, count(*), NULL, NULL, NULL, NULL FROM long WHERE value > 100 GROUP BY variable, patient_excluded
+UNION ALL SELECT 'status', class || CASE WHEN exclude_id = 1 THEN '-Exclude' ELSE '' END, NULL, NULL,
+       round(quantile_cont(value, 0.25), 6), round(quantile_cont(value, 0.5), 6), round(quantile_cont(value, 0.75), 6)
+FROM long GROUP BY class, exclude_id
+""")
+def pipe_quality_summaries(t: Tables) -> DataFrame:
+    scans = settle(plans.volume_changes(history(t)))
+    scans = ops.within_hours(scans, "unique_study_id", "StudyDate_Time_format", 72)
+    ids = ["unique_study_id", "id", "exclude_id", "patient_excluded"]
+    volumes, _ = plans.quality_tables(scans, sheet(t), excluded(t), ids, ids)
+    volumes = settle(volumes)
+    kind = F.col("doc_id") % 3
+    reason = F.when(kind == 0, " Skull Fracture ").when(kind == 1, "skull fracture").otherwise("Tumor\n")
+    reasons = plans.excluded_reasons(t.labels.select((1 - F.col("quality")).alias("exclude"), reason.alias("reason_excluded")))
+    large = plans.large_volumes(volumes).select(F.concat("variable", F.lit(" "), text("patient_excluded")).alias("label"), F.col("count").alias("n"))
+    status = plans.status_summary(volumes).select(
+        F.col("scan_status").alias("label"), *[F.round(q, 6).alias(q) for q in ("q1", "median", "q3")]
+    )
+    out = ops.union_all(
+        reasons.select(F.lit("reason").alias("part"), F.col("reason_excluded").alias("label"), F.col("count").alias("n"), "percent"),
+        large.withColumn("part", F.lit("large")),
+        status.withColumn("part", F.lit("status")),
+    )
+    return out.select("part", "label", "n", "percent", "q1", "median", "q3")
+
+
+@query(f"""
+WITH {_WINDOW},
+c AS (SELECT w.*, coalesce(s.censored, 0) AS censored FROM w JOIN ({_SHEET}) s ON w.uid = s.uid
+      WHERE (s.exclude = 0 OR s.censored = 1) AND w.id NOT IN (SELECT id FROM ({_EXCLUDED})))
+SELECT 'no first scan' AS list, uid AS unique_study_id, NULL AS id FROM c GROUP BY uid HAVING min(scan_number) > 1
+UNION ALL SELECT 'small first scan', uid, id FROM c WHERE scan_number = 1 AND NOT (coalesce(iph >= 20, false) OR coalesce(eah >= 20, false))
+UNION ALL SELECT 'censored review', s.uid, e.id FROM ({_SHEET}) s JOIN ({_EXCLUDED}) e ON s.uid = e.uid WHERE s.exclude = 0 OR s.censored = 1
+""")
+def pipe_cohort_checks(t: Tables) -> DataFrame:
+    cohort = settle(plans.cohort_scans(history(t), sheet(t), excluded(t)))
+    return ops.union_all(
+        plans.without_first_scan(cohort).select(F.lit("no first scan").alias("list"), "unique_study_id", F.lit(None).cast("string").alias("id")),
+        plans.small_first_scans(cohort, 20).select(F.lit("small first scan").alias("list"), "unique_study_id", "id"),
+        plans.censored_review(sheet(t), excluded(t)).select(F.lit("censored review").alias("list"), "unique_study_id", F.col("id_to_remove").alias("id")),
+    )
+
+
+_SET_SQL = " UNION ALL ".join(
+    f"SELECT '{kind}_{part}{suffix}' AS part, {uid} AS unique_study_id, censored AS second_scan_post_surgery_trauma, {cols} FROM m WHERE split = '{part}'"
+    for kind, cols in [("X", "iph AS iph_predicted_volume_ml, eah AS eah_predicted_volume_ml, NULL AS outcome_60ml, NULL AS outcome_80ml"),
+                       ("y", "NULL, NULL, outcome_60ml, outcome_80ml")]
+    for part in ("train", "test") for suffix, uid in [("", "uid"), ("_no_id", "NULL")]
+)
+
+
+@query(f"""
+WITH {_WINDOW},
+c AS (SELECT w.*, s.exclude, coalesce(s.censored, 0) AS censored FROM w JOIN ({_SHEET}) s ON w.uid = s.uid
+      WHERE (s.exclude = 0 OR s.censored = 1) AND w.id NOT IN (SELECT id FROM ({_EXCLUDED}))),
+b AS (SELECT *, iph - {_BASE.format("iph")} AS change_iph, eah - {_BASE.format("eah")} AS change_eah FROM c),
+t AS (SELECT *, max(change_iph) OVER (PARTITION BY uid) AS max_iph, max(change_eah) OVER (PARTITION BY uid) AS max_eah FROM b),
+o AS (SELECT *, {_OUTCOMES} FROM t),
+first_rows AS (SELECT uid, {", ".join(f"arg_min({c}, (ts, id)) FILTER ({c} IS NOT NULL) AS {c}" for c in _FIRSTS)} FROM o GROUP BY uid),
+r AS (SELECT *, row_number() OVER (ORDER BY md5('1300:' || uid)) AS rn, count(*) OVER () AS n FROM first_rows),
+m AS (SELECT *, CASE WHEN rn <= ceil(n * 0.3) THEN 'test' ELSE 'train' END AS split FROM r)
+{_SET_SQL}
+""")
+def pipe_training_sets(t: Tables) -> DataFrame:
+    """Features and labels of both sets, with and without the id."""
+    cohort = settle(plans.cohort_scans(history(t), sheet(t), excluded(t)))
+    first = settle(plans.first_scans(plans.model_table(cohort, [60, 80, 100])))
+    both = ["unique_study_id", "second_scan_post_surgery_trauma"]
+    volumes, outcomes = ["iph_predicted_volume_ml", "eah_predicted_volume_ml"], ["outcome_60ml", "outcome_80ml"]
+    out = []
+    for name, rows in plans.split_sets(first, features=both + volumes, labels=both + outcomes).items():
+        out.append(rows.withColumn("part", F.lit(name)))
+        out.append(sources.deidentify(rows, ["unique_study_id"]).withColumn("part", F.lit(f"{name}_no_id")))
+    return ops.union_all(*out).select("part", *both, *volumes, *outcomes)

@@ -27,7 +27,7 @@ def union_distinct(t: Tables) -> DataFrame:
     )
 
 
-@query("SELECT n_nationkey FROM nation EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal > 8000")
+@query("SELECT n_nationkey FROM nation EXCEPT SELECT CASE WHEN s_acctbal > 8000 THEN s_nationkey ELSE -1 END FROM supplier")
 def set_difference(t: Tables) -> DataFrame:
-    rich = t.supplier.where(F.col("s_acctbal") > 8000).select("s_nationkey")
+    rich = t.supplier.select(F.when(F.col("s_acctbal") > 8000, F.col("s_nationkey")).otherwise(-1).alias("s_nationkey"))
     return ops.set_difference(t.nation.select("n_nationkey"), rich)

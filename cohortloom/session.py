@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,15 +37,15 @@ def local_session(name: str = "cohortloom", cores: int | str = "*", **extra: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
+    """The folder named in ``spark.checkpoint.dir``; the cluster says that it is shared (a shared mount is a ``file:`` path).
 
     Only a local session, where every task sees the same disk, may fall back to a temporary folder. On a
     cluster an unset folder is an error: a machine-local path would be lost with the machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if folder:
         return folder
-    context = spark.sparkContext
     if not context.getCheckpointDir():
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
@@ -50,9 +53,29 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_RUN = ContextVar("cohortloom_run", default="")
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Keep all steps written inside the block in one folder, and delete it at the end.
+
+    The results of the block must be written elsewhere, or collected, before it ends.
+    """
+    path = f"{shared_folder(spark).rstrip('/')}/cohortloom/run-{uuid.uuid4().hex}"
+    token = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(token)
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path not used before, below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/cohortloom/{uuid.uuid4().hex}/{name}"
+    """A path not used before, below the shared folder, or below the folder of the current ``run_folder``."""
+    base = _RUN.get() or f"{shared_folder(spark).rstrip('/')}/cohortloom"
+    return f"{base}/{uuid.uuid4().hex}/{name}"
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
 from cohortloom.operators.checks import completeness
 from cohortloom.operators.ordering import batch_number, global_row_id
@@ -12,7 +12,11 @@ from cohortloom.session import settle
 
 
 class IncompleteError(Exception):
-    """A gated write found keys without a value."""
+    """A gated write found keys without a value. ``check`` is the check row."""
+
+    def __init__(self, check: Row):
+        super().__init__(f"{check['n_found']} of {check['n_wanted']} keys have a value")
+        self.check = check
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -44,7 +48,7 @@ def write_if(df: DataFrame, key: str, value: str, path: str) -> DataFrame:
     check = completeness(rows, key, value)
     found = check.first()
     if not found["complete"]:
-        raise IncompleteError(f"{found['n_found']} of {found['n_wanted']} keys have a value")
+        raise IncompleteError(found)
     write_table(rows, path)
     return check
 

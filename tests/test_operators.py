@@ -73,6 +73,21 @@ def test_waterfall_tries_keys_in_turn_and_loses_no_row(spark):
     assert rows(out, "id", "path") == [(1, "/1"), (2, "/2"), (2, "/3"), (3, None)]
 
 
+def test_waterfall_matches_no_missing_number(spark):
+    """300 rows without a number against 200 listed rows without one: each comes out once, with nothing."""
+    a = frame(spark, [(i, None, None) for i in range(300)] + [(300, None, "x"), (301, "y", "x")], "id int, k1 string, k2 string")
+    b = frame(spark, [(None, f"folder {i}") for i in range(200)] + [("x", "of x"), ("y", "of y")], "m string, folder string")
+    out = rows(ops.waterfall(a, b, [("k1", "m"), ("k2", "m")]), "id", "folder")
+    assert len(out) == 302 and {(300, "of x"), (301, "of y")} <= set(out)
+    assert [r for r in out if r[0] < 300] == sorted(((i, None) for i in range(300)), key=str)
+
+
+def test_waterfall_with_two_listed_numbers(spark):
+    a = frame(spark, [(1, "p", "q"), (2, "z", "q"), (3, "z", "z")], "id int, k1 string, k2 string")
+    b = frame(spark, [("p", "1", "first"), ("0", "q", "second")], "m string, n string, folder string")
+    assert rows(ops.waterfall(a, b, [("k1", "m"), ("k2", "n")]), "id", "folder") == [(1, "first"), (2, "second"), (3, None)]
+
+
 def test_prefix_is_literal_and_extensions_stay(spark):
     a = frame(spark, [("/a/b",), ("/a/b_more",), ("/A/B/c",), ("/axb",), ("/z",), (None,), ("/a/b",)], "p string")
     listed = frame(spark, [("/a/b",), ("/a.b",), (None,)], "f string")
@@ -248,12 +263,13 @@ def test_followup_is_by_report_not_by_subject(spark):
 # --- numbering --------------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("window_rows", [5_000_000, 0])
-def test_dense_rank_both_ways(spark, window_rows):
+def test_dense_rank(spark):
     rng = random.Random(3)
     data = [(rng.choice([1, 1, 1, 2, None]), rng.randint(0, 30), rng.choice("ab")) for _ in range(300)]
     df = frame(spark, data, "s int, t int, f string")
-    out = ops.dense_rank_per_subject(df, "s", ["t", "f"], window_rows=window_rows)
+    out = ops.dense_rank_per_subject(df, "s", ["t", "f"])
+    again = ops.dense_rank_per_subject(out.withColumn("scan_number", F.lit("old")), "s", ["t", "f"])
+    assert again.columns == out.columns and rows(again) == rows(out)
     order = {s: {p: i + 1 for i, p in enumerate(sorted({(t, f) for q, t, f in data if q == s}))} for s in (1, 2)}
     wanted = sorted(((s, t, f, order[s][(t, f)] if s else None) for s, t, f in data), key=str)
     assert rows(out) == wanted
@@ -362,3 +378,17 @@ def test_tag_table_takes_smallest_file_and_drops_pixels(spark):
 def test_approximate_counts(spark):
     df = spark.range(100).selectExpr("id % 10 AS k")
     assert rows(ops.distinct_counts(df, ["k"], approx=True)) == [(10,)]
+
+
+def test_missing_numbers_are_not_counted(spark):
+    df = frame(spark, [(float(i),) for i in range(1, 11)] + [(float("nan"),), (None,)], "v double")
+    assert sum(r["count"] for r in ops.histogram(df, "v", 3).collect()) == 10
+    five = ops.five_number_summary(df.withColumn("g", F.lit(1)), "v", ["g"]).first()
+    assert (five["min"], five["q1"], five["median"], five["q3"], five["max"]) == (1.0, 3.25, 5.5, 7.75, 10.0)
+
+
+def test_a_split_is_exact_or_an_error(spark):
+    four = frame(spark, [(i % 4,) for i in range(100)], "k int")
+    with pytest.raises(ValueError, match="unique key"):
+        ops.split_exact(four, "k", 0.3, 1300).count()
+    assert ops.split_exact(spark.range(100), "id", 0.3, 1300).where("split = 'test'").count() == 30

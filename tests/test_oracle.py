@@ -5,6 +5,7 @@ from compare import connect, differences
 from conftest import FOLDER
 
 import __spark_entry__ as entry_module
+from cohortloom.queries import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,14 +13,15 @@ def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = entry_module.queries()[name](spark, FOLDER)
     assert differences(df, duck, entry_module.oracle_sql()[name]) == ""
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
 
 
 def test_entry_runs(spark):

@@ -91,7 +91,7 @@ def test_inclusion_lists(spark, scans, excluded):
     assert rows(lists["cases"], "id") == [("s11",), ("s12",)]
     assert rows(lists["five_ml"], "id") == [("s12",), ("s31",), ("s32",), ("s43",), ("s52",)]
     assert rows(lists["unreviewed"], "id") == [("s31",), ("s32",), ("s51",), ("s52",)]
-    assert ("iph_large_dec", "s42") in rows(lists["tails"], "tail", "id")
+    assert ("iph_shrank", "s42") in rows(lists["tails"], "tail", "id")
     assert lists["no_hemorrhage"].count() == 0
     assert lists["sample"].count() == 5
 

@@ -1,14 +1,15 @@
 """What must hold at scale: hot keys are split, nothing goes through one task, results do not depend on partitions."""
 
 import re
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import FOLDER
 
-import __spark_entry__ as entry_module
-from cohortloom import operators as ops
+from cohortloom import operators as ops, session
+from cohortloom.queries import QUERIES
 from cohortloom.queries.registry import Tables
 from cohortloom.queries.standins import headers, lines, scans
 from cohortloom.session import shared_folder
@@ -112,7 +113,7 @@ def test_groups_are_reduced_before_the_shuffle(hot):
 
 
 # Queries with a window over everything: it runs over one row per range, never over the table.
-BOUNDED_WINDOWS = {"global_row_id", "write_fixed_batches"}
+BOUNDED = r"__part|bucket"
 
 
 def windows_in_one_task(text):
@@ -124,12 +125,22 @@ def windows_in_one_task(text):
                 yield line
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
-def test_no_cross_join_and_no_single_task(spark, folder, name):
-    text = first_plan(entry_module.queries()[name](spark, folder))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert "PythonUDF" not in text and "InPandas" not in text
-    assert name in BOUNDED_WINDOWS or not list(windows_in_one_task(text))
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_cross_join_and_no_single_task(spark, folder, name, monkeypatch):
+    """Holds for the result and for every step that is written down on the way."""
+    plans = []
+
+    def written(df):
+        plans.append(first_plan(df))
+        return session.settle(df)
+
+    for module in [m for n, m in sys.modules.items() if n.startswith("cohortloom.") and hasattr(m, "settle") and m is not session]:
+        monkeypatch.setattr(module, "settle", written)
+    plans.append(first_plan(QUERIES[name](spark, folder)))
+    for text in plans:
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+        assert "PythonUDF" not in text and "InPandas" not in text
+        assert all(re.search(BOUNDED, w) for w in windows_in_one_task(text))
 
 
 def test_columns_and_filters_reach_the_scan(spark, folder):
@@ -152,7 +163,7 @@ def test_rows_do_not_depend_on_partitions(spark, folder, conf, parts):
                 ops.global_row_id(t.documents.select("doc_id", "source"), ["source", "doc_id"]),
                 ops.split_exact(t.customer.select("c_custkey"), "c_custkey", 0.3, 1300),
                 ops.five_number_summary(ops.melt(lines(t), ["uid"], ["iph", "eah"]), "value", ["variable"]),
-                ops.dense_rank_per_subject(scans(t).select("uid", "ts", "id"), "uid", ["ts"], window_rows=0),
+                ops.dense_rank_per_subject(scans(t).select("uid", "ts", "id"), "uid", ["ts"]),
                 ops.tag_long_table(headers(t), "folder", "file", "grp", "elem", "name", "vr", "value"),
             ]
         ]

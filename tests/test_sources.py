@@ -73,3 +73,30 @@ def test_copies_without_ids(spark, tmp_path):
     sources.write_with_and_without_ids(df, ["unique_study_id"], f"{tmp_path}/x")
     assert spark.read.parquet(f"{tmp_path}/x/with_id").columns == df.columns
     assert spark.read.parquet(f"{tmp_path}/x/without_id").columns == ["surgery", "v"]
+
+
+def test_flags_with_a_decimal_point(spark, tmp_path):
+    (tmp_path / "s.csv").write_text('unique_study_id,exclude,notes\na,1.0,"x\ny"\nb,0.0,\nc,,\nd,NaN,\ne,-2,\n')
+    got = sources.read_review(spark, f"{tmp_path}/s.csv", "unique_study_id string, exclude int, notes string").collect()
+    assert sorted((r["unique_study_id"], r["exclude"]) for r in got) == [("a", 1), ("b", 0), ("c", None), ("d", None), ("e", -2)]
+    assert got[0]["notes"] == "x\ny"
+
+
+@pytest.mark.parametrize("cell, kind", [("x", "int"), ("1.5", "int"), ("x", "double"), ("1;2", "bigint")])
+def test_a_bad_cell_is_an_error(spark, tmp_path, cell, kind):
+    (tmp_path / "s.csv").write_text(f"id,v\n1,{cell}\n")
+    with pytest.raises(Exception, match="whole number|MALFORMED|FAILED_READ_FILE"):
+        sources.read_csv(spark, f"{tmp_path}/s.csv", f"id int, v {kind}").collect()
+
+
+def test_a_cut_record_is_an_error(spark, tmp_path):
+    (tmp_path / "s.csv").write_text('id,v\n1,"one\ntwo"\n')
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE|whole number"):
+        sources.read_csv(spark, f"{tmp_path}/s.csv", "id int, v string").collect()
+
+
+def test_batches_turn_nan_into_null(spark, tmp_path):
+    (tmp_path / "batch_1").mkdir()
+    (tmp_path / "batch_1" / "p.csv").write_text('id,v.ml,t\n1,NaN,"a\nb"\n2,6.5,c\n')
+    got = sources.read_batches(spark, f"{tmp_path}/batch_*", "id int, `v.ml` double, t string", "/batch_([0-9]+)/", line_breaks=True)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, None, "a\nb", "1"), (2, 6.5, "c", "1")]
