@@ -19,14 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.functions import arrow_udf
-
-from cohortloom.functions.exprs import quoted
+from pyspark.sql.types import StructType
 
 SPACE = "▁"
 # Units of at most this many signs are searched many at a time; memory of one such search; signs remembered.
-_SHORT, _BATCH_CELLS, _MEMORY = 64, 1 << 20, 12 << 20
+_SHORT, _BATCH_CELLS, _MEMORY = 64, 1 << 20, 3 << 20
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
@@ -48,10 +47,7 @@ class Lattice:
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("pieces of this model run from a sign into a space")
         self.pairs = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
-        self.texts = [
-            bytes([int(p[3:5], 16)]) if model.is_byte(i) else b"" if special[i] else p.replace(SPACE, " ").encode()
-            for i, p in enumerate(names)
-        ]
+        self.texts = piece_texts(path)
         self._grow_tree()
 
     def _grow_tree(self) -> None:
@@ -185,6 +181,22 @@ def lattice(path: str) -> Lattice:
     return Lattice(path)
 
 
+@functools.lru_cache(maxsize=2)
+def piece_texts(path: str) -> list[bytes]:
+    """The text of each piece in UTF-8; pieces that stand for no text are empty."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = []
+    for i in range(model.get_piece_size()):
+        name = model.id_to_piece(i)
+        if model.is_byte(i):
+            texts.append(bytes([int(name[3:5], 16)]))
+        else:
+            texts.append(b"" if model.is_control(i) or model.is_unknown(i) else name.replace(SPACE, " ").encode())
+    return texts
+
+
 def units(text: str) -> tuple[list[str], bool]:
     """The units of a text that is not empty, and whether the space that starts each is left out."""
     if text[0] != " " and "  " not in text and SPACE not in text:
@@ -201,8 +213,8 @@ class _Known:
         self.names: list[str] = []
         self.best = np.empty(0)
         self.gap = np.empty(0)
-        self.counts = np.empty(0, np.int64)
-        self.ids: list[np.ndarray] = []
+        self.counts = self.starts = np.empty(0, np.int64)
+        self.flat = np.empty(0, np.int32)
         self.others: dict[int, list[tuple[float, list[int]]]] = {}
         self.size = 0
 
@@ -234,7 +246,7 @@ class _Known:
         return [unit[a:b] for a, b in zip([0, *cuts], [*cuts, len(unit)])]
 
     def learn(self) -> None:
-        new = range(len(self.ids), len(self.names))
+        new = range(len(self.counts), len(self.names))
         best, gap, ids = np.zeros(len(new)), np.zeros(len(new)), [None] * len(new)
         by_length: dict[int, list[int]] = {}
         for i in new:
@@ -257,8 +269,15 @@ class _Known:
                 for k, x in zip(at.tolist(), found[2]):
                     ids[k] = x
         self.best, self.gap = np.append(self.best, best), np.append(self.gap, gap)
-        self.ids += ids
+        self.flat = np.concatenate([self.flat, *ids]).astype(np.int32)
         self.counts = np.append(self.counts, np.array([len(x) for x in ids], np.int64))
+        self.starts = np.cumsum(self.counts) - self.counts
+
+    def ids(self, numbers: np.ndarray) -> np.ndarray:
+        """Ids of the best paths of units one after the other."""
+        counts = self.counts[numbers]
+        shift = self.starts[numbers] - (np.cumsum(counts) - counts)
+        return self.flat[np.repeat(shift, counts) + np.arange(counts.sum())]
 
     def paths(self, numbers: np.ndarray) -> list[tuple[float, list[tuple[int, int, list[int]]]]]:
         """The n best paths of a text as (score, changes to the best path: start, length, ids)."""
@@ -279,51 +298,43 @@ class _Known:
         return [(total + less, changes) for less, changes in found]
 
 
-CHANGE = "array<struct<start: int, length: int, ids: array<int>>>"
-ENCODED = f"struct<ids: array<int>, score: double, others: array<struct<score: double, changes: {CHANGE}>>>"
-
-
-def encode_n_best(path: str, text: Column, n: int = 3) -> Column:
-    """The n best segmentations of a whole text: ``ids`` and ``score`` of the best, and ``others`` in falling order
-    of score, each as the places in ``ids`` that it changes (``other_ids`` writes them out).
-
-    Null and empty texts have no ids, score 0 and no others. A text with fewer than n segmentations has fewer others.
-    ``path``: a sentencepiece model at the same place on every machine. Memory is bounded by the units remembered, one
-    batch of texts of about a megabyte, and the longest text.
-    """
-
-    @arrow_udf(ENCODED)
-    def encode(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = _Known(lattice(path), n)
-        change = pa.struct([("start", pa.int32()), ("length", pa.int32()), ("ids", pa.list_(pa.int32()))])
-        other = pa.struct([("score", pa.float64()), ("changes", pa.list_(change))])
-        for texts in arrays:
-            ids, sizes, scores, others, waiting, size = [], [], [], [], [], 0
-            for at, text in enumerate(texts):
-                text = text.as_py()
-                waiting.append(known.numbers(text))
-                size += len(text or "")
-                if size < 1 << 20 and at < len(texts) - 1:
-                    continue
-                known.learn()
-                for numbers in waiting:
-                    found = known.paths(numbers)
-                    parts = [known.ids[i] for i in numbers.tolist()]
-                    ids.extend(parts)
-                    sizes.append(int(known.counts[numbers].sum()))
-                    scores.append(found[0][0])
-                    others.append(
-                        [{"score": s, "changes": [{"start": a, "length": b, "ids": x} for a, b, x in c]} for s, c in found[1:]]
-                    )
-                waiting, size = [], 0
-                if known.size > _MEMORY:
-                    known = _Known(known.tree, n)
-            flat = np.concatenate(ids).astype(np.int32) if ids else np.empty(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
-            columns = [lists, pa.array(scores, pa.float64()), pa.array(others, pa.list_(other))]
-            yield pa.StructArray.from_arrays(columns, ["ids", "score", "others"])
-
-    return encode(text)
+ADDED = (
+    "ids array<int>, score double, "
+    "others array<struct<score: double, changes: array<struct<start: int, length: int, ids: array<int>>>>>"
+)
+
+
+@functools.lru_cache(maxsize=1)
+def _memory(path: str, n: int) -> list[_Known]:
+    """What a worker knows, kept from task to task."""
+    return [_Known(lattice(path), n)]
+
+
+def encode_texts(path: str, n: int, texts: pa.Array) -> Iterator[tuple[pa.Array, pa.Array, pa.Array]]:
+    """(ids, score, others) of whole texts in their order, about a megabyte of text at a time."""
+    change = pa.struct([("start", pa.int32()), ("length", pa.int32()), ("ids", pa.list_(pa.int32()))])
+    other = pa.struct([("score", pa.float64()), ("changes", pa.list_(change))])
+    memory, waiting, size = _memory(path, n), [], 0
+    for at, text in enumerate(texts):
+        text = text.as_py()
+        waiting.append(memory[0].numbers(text))
+        size += len(text or "")
+        if size < 1 << 20 and at < len(texts) - 1:
+            continue
+        known = memory[0]
+        known.learn()
+        sizes, scores, others = [0], [], []
+        for numbers in waiting:
+            found = known.paths(numbers)
+            sizes.append(int(known.counts[numbers].sum()))
+            scores.append(found[0][0])
+            others.append([{"score": s, "changes": [{"start": a, "length": b, "ids": x} for a, b, x in c]} for s, c in found[1:]])
+        ids = known.ids(np.concatenate(waiting))
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(ids, pa.int32()))
+        yield lists, pa.array(scores, pa.float64()), pa.array(others, pa.list_(other))
+        waiting, size = [], 0
+        if known.size > _MEMORY:
+            memory[0] = _Known(known.tree, n)
 
 
 def other_ids(ids: list[int], changes: list[tuple[int, int, list[int]]]) -> list[int]:
@@ -340,23 +351,38 @@ def decode_ids(path: str, ids: Column) -> Column:
     that are no UTF-8 become U+FFFD. Null gives null, no ids the empty text."""
 
     @arrow_udf("string")
-    def decode(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        texts = lattice(path).texts
-        for lists in arrays:
-            out = []
-            for at in range(len(lists)):
-                found = lists[at]
-                if not found.is_valid:
-                    out.append(None)
-                    continue
-                joined = b"".join(map(texts.__getitem__, found.values.to_numpy(zero_copy_only=False).tolist()))
-                out.append(joined.removeprefix(b" ").decode("utf-8", "replace"))
-            yield pa.array(out, pa.string())
+    def decode(lists: pa.Array) -> pa.Array:
+        texts, out = piece_texts(path), []
+        for at in range(len(lists)):
+            found = lists[at]
+            if not found.is_valid:
+                out.append(None)
+                continue
+            joined = b"".join(map(texts.__getitem__, found.values.to_numpy(zero_copy_only=False).tolist()))
+            out.append(joined.removeprefix(b" ").decode("utf-8", "replace"))
+        return pa.array(out, pa.string())
 
     return decode(ids)
 
 
 def with_pieces(df: DataFrame, path: str, n: int = 3, text: str = "text") -> DataFrame:
-    """Add ``ids, score, others`` (see ``encode_n_best``), replacing columns of these names."""
-    found = df.withColumn("__found", encode_n_best(path, quoted(text), n))
-    return found.withColumns({k: F.col(f"__found.{k}") for k in ("ids", "score", "others")}).drop("__found")
+    """Add the n best segmentations of each whole text, replacing columns of these names: ``ids`` and ``score`` of the
+    best, and ``others`` in falling order of score, each as the places in ``ids`` that it changes (``other_ids`` writes
+    them out).
+
+    Null and empty texts have no ids, score 0 and no others. A text with fewer than n segmentations has fewer others.
+    Repeated rows are each encoded; the table may be empty. ``path``: a sentencepiece model at the same place on every
+    machine. Memory is bounded by the units remembered, one batch of about a megabyte of text, and the longest text.
+    """
+    rows = df.drop("ids", "score", "others")
+    place = rows.columns.index(text)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for found in encode_texts(path, n, batch.column(place)):
+                part = batch.slice(at, len(found[0]))
+                yield pa.RecordBatch.from_arrays([*part.columns, *found], [*batch.schema.names, "ids", "score", "others"])
+                at += part.num_rows
+
+    return rows.mapInArrow(encode, StructType(rows.schema.fields + StructType.fromDDL(ADDED).fields))

@@ -160,10 +160,10 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
-    """The three best segmentations of each text; the best is decoded again."""
+    """The three best segmentations of each text, written down; the best is read back and decoded."""
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    found = with_pieces(docs, model, n=3)
+    found = settle(with_pieces(docs, model, n=3))
     # Only one thing is lost: the sign that stands for a space comes back as a space.
     plain = F.translate(F.coalesce("text", F.lit("")), "\u2581", " ")
     return found.select(
