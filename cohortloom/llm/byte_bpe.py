@@ -162,26 +162,28 @@ def token_count(path: str, text: Column) -> Column:
     return count(text)
 
 
+def encode_texts(path: str, texts: pa.Array, end: int | None = None) -> Iterator[pa.Array]:
+    """Lists of token ids of whole texts in their order, some megabytes of text at a time."""
+    coder = _coder(path, True)
+    for numbers, pieces_of in coder.batches(texts):
+        lengths = coder.lengths[numbers]
+        # Place of each id in the ids known, then the ids of all texts at once.
+        shift = coder.starts[numbers] - (np.cumsum(lengths) - lengths)
+        ids = coder.flat[np.repeat(shift, lengths) + np.arange(lengths.sum())]
+        tokens = _totals(lengths, pieces_of)
+        if end is not None:
+            ids, tokens = np.insert(ids, np.cumsum(tokens), end), tokens + 1
+        offsets = pa.array(np.concatenate([[0], np.cumsum(tokens)]), pa.int32())
+        yield pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
+
+
 def token_ids(path: str, text: Column, end: int | None = None) -> Column:
     """Token ids of a whole text, with ``end`` after them if given. As ``token_count`` in all else."""
 
     @arrow_udf("array<int>")
     def encode(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = _coder(path, True)
         for texts in arrays:
-            parts, sizes = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
-            for numbers, pieces_of in coder.batches(texts):
-                lengths = coder.lengths[numbers]
-                # Place of each id in the ids known, then the ids of all texts at once.
-                shift = coder.starts[numbers] - (np.cumsum(lengths) - lengths)
-                ids = coder.flat[np.repeat(shift, lengths) + np.arange(lengths.sum())]
-                tokens = _totals(lengths, pieces_of)
-                if end is not None:
-                    ids, tokens = np.insert(ids, np.cumsum(tokens), end), tokens + 1
-                parts.append(ids)
-                sizes.append(tokens)
-            offsets = pa.array(np.cumsum(np.concatenate(sizes)), pa.int32())
-            yield pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts), pa.int32()))
+            yield pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *encode_texts(path, texts, end)])
 
     return encode(text)
 
