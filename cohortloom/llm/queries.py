@@ -16,6 +16,7 @@ from cohortloom.llm.pieces import decode_ids, with_pieces
 from cohortloom.llm.quality import fit_quality, with_quality
 from cohortloom.llm.simhash import simhash_groups
 from cohortloom.llm.token_files import read_token_files, token_starts, write_token_files
+from cohortloom.llm.toxicity import fit_toxicity, with_toxicity
 from cohortloom.llm.url_filter import judge_urls
 from cohortloom.llm.words import doc_remainder
 from cohortloom.session import scratch_path, settle
@@ -180,3 +181,13 @@ def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(table(spark, folder, "documents"), shingle=3, max_bits=3)
+
+
+@query
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Learns from the rows that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").where(doc_remainder(F.col("doc_id"), 4) != 2)
+    scored = with_toxicity(docs, fit_toxicity(docs, labels))
+    held_out = (doc_remainder(F.col("doc_id"), 4) == 2).alias("held_out")
+    return scored.select("doc_id", held_out, "score", "predicted", F.size("passages").alias("n_passages"))
