@@ -11,6 +11,7 @@ from cohortloom.llm.brown import score_texts
 from cohortloom.llm.byte_bpe import ids_crc32, with_token_counts
 from cohortloom.llm.embeddings import near_copies
 from cohortloom.llm.imatch import fingerprint_edits
+from cohortloom.llm.manifest import leaf_digest, merkle_proofs, proof_digest, with_tampered
 from cohortloom.llm.mixing import mix, sized
 from cohortloom.llm.pieces import decode_ids, with_pieces
 from cohortloom.llm.quality import fit_quality, with_quality
@@ -191,3 +192,70 @@ def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = with_toxicity(docs, fit_toxicity(docs, labels))
     held_out = (doc_remainder(F.col("doc_id"), 4) == 2).alias("held_out")
     return scored.select("doc_id", held_out, "score", "predicted", F.size("passages").alias("n_passages"))
+
+
+@query
+def op12_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of all documents; in a fifth of them the text is lower-cased before the root is worked out again."""
+    docs = table(spark, folder, "documents")
+    before = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(doc_remainder(F.col("doc_id"), 5) == 0, leaf_digest([*before, lowered])).alias("tampered")
+    leaves = docs.select("doc_id", "source", leaf_digest([*before, F.col("text")]).alias("leaf"), tampered)
+    found = with_tampered(merkle_proofs(leaves, "source", "doc_id"))
+    return found.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified")
+
+
+ORACLES["op12_manifest"] = r"""
+    WITH RECURSIVE tampers AS (
+        SELECT *, list_reduce(
+            list_prepend(4294967295::BIGINT, list_transform(range(1, length(coalesce(doc_id::VARCHAR, '')) + 1), lambda i: ascii((doc_id::VARCHAR)[i::INT])::BIGINT)),
+            lambda sum, sign: list_reduce([xor(sum, sign), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)
+        ) AS crc FROM documents
+    ), heads AS (
+        SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') AS head,
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered
+        FROM tampers
+    ), leaves AS MATERIALIZED (
+        SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+            CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN sha256(head || coalesce(strlen(lowered) || ':' || lowered, '-')) END AS tampered
+        FROM heads
+    ), placed AS MATERIALIZED (
+        SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, leaf) AS row,
+            row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k, count(*) OVER (PARTITION BY source) AS m
+        FROM leaves
+    ), nodes AS (
+        SELECT source, 0 AS level, k, m, leaf AS node FROM placed
+        UNION ALL
+        SELECT source, level + 1, k // 16, (max(m) + 15) // 16, sha256(string_agg(node, '' ORDER BY k)) FROM nodes WHERE m > 1 GROUP BY source, level, k // 16
+    ), kept AS MATERIALIZED (SELECT * FROM nodes
+    ), subroots AS MATERIALIZED (
+        SELECT source, node AS subroot, level AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS sources
+        FROM kept WHERE m = 1
+    ), uppers AS (
+        SELECT 0 AS level, place AS k, sources AS m, subroot AS node FROM subroots
+        UNION ALL
+        SELECT level + 1, k // 16, (max(m) + 15) // 16, sha256(string_agg(node, '' ORDER BY k)) FROM uppers WHERE m > 1 GROUP BY level, k // 16
+    ), top AS MATERIALIZED (SELECT * FROM uppers
+    ), steps AS (
+        SELECT p.row, n.level AS step, string_agg(n.node, '' ORDER BY n.k) FILTER (WHERE n.k < p.k >> (4 * n.level)) AS before,
+            string_agg(n.node, '' ORDER BY n.k) FILTER (WHERE n.k > p.k >> (4 * n.level)) AS after
+        FROM placed p JOIN kept n ON p.source IS NOT DISTINCT FROM n.source AND n.m > 1 AND n.k // 16 = p.k >> (4 * n.level + 4)
+        GROUP BY ALL
+        UNION ALL
+        SELECT p.row, s.height + n.level, string_agg(n.node, '' ORDER BY n.k) FILTER (WHERE n.k < s.place >> (4 * n.level)),
+            string_agg(n.node, '' ORDER BY n.k) FILTER (WHERE n.k > s.place >> (4 * n.level))
+        FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source JOIN top n ON n.m > 1 AND n.k // 16 = s.place >> (4 * n.level + 4)
+        GROUP BY ALL
+    ), known AS MATERIALIZED (SELECT row, step, coalesce(before, '') AS before, coalesce(after, '') AS after FROM steps
+    ), folds AS (
+        SELECT row, 0 AS step, coalesce(tampered, leaf) AS node FROM placed
+        UNION ALL
+        SELECT f.row, f.step + 1, sha256(k.before || f.node || k.after) FROM folds f JOIN known k ON f.row = k.row AND f.step = k.step
+    ), folded AS (SELECT row, max_by(node, step) AS folded_root FROM folds GROUP BY row
+    ), proofs AS (SELECT row, sha256(string_agg(before || after, '' ORDER BY step)) AS proof_sha256 FROM known GROUP BY row)
+    SELECT p.doc_id, p.leaf, s.subroot, t.node AS root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256, f.folded_root, f.folded_root = t.node AS verified
+    FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source JOIN top t ON t.m = 1
+        JOIN folded f ON p.row = f.row LEFT JOIN proofs q ON p.row = q.row
+"""
