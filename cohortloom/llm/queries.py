@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cohortloom.llm.alignment import align_tokens
 from cohortloom.llm.brown import score_texts
 from cohortloom.llm.byte_bpe import ids_crc32, with_token_counts
 from cohortloom.llm.embeddings import near_copies
@@ -259,3 +260,9 @@ ORACLES["op12_manifest"] = r"""
     FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source JOIN top t ON t.m = 1
         JOIN folded f ON p.row = f.row LEFT JOIN proofs q ON p.row = q.row
 """
+
+
+@query
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return align_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
