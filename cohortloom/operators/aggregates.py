@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortloom.functions.exprs import as_col, ascending, order_key, quoted, row_sum, strip_whitespace, ticked
 from cohortloom.functions.predicates import all_of
+from cohortloom.session import settle
 
 
 def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -85,9 +86,43 @@ def first_non_null(value: str) -> Column:
 
 
 def first_non_null_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Per key and column the first non-null value in order. One result row may mix source rows."""
-    firsts = [first_non_null(c).alias(c) for c in df.columns if c not in keys]
-    return in_order(keyed(df, keys), order).groupBy(*keys).agg(*firsts)
+    """Per key and column the first non-null value in order. One result row may mix source rows.
+
+    First the first row of each key, written down. Only for the cells that are null there, the rows of these keys are
+    looked through once more: each offers its values for the open cells, and the first offer per cell is taken. Spark
+    keeps the first row per key, and the first offer per cell, in every input part before it shuffles them.
+    """
+    rows, values = keyed(df, keys), [f for f in df.schema.fields if f.name not in keys]
+    first = settle(_lowest(rows, keys, order))
+    nulls = first.agg(*[F.count_if(quoted(f.name).isNull()).alias(str(i)) for i, f in enumerate(values)]).first()
+    empty = [(i, f) for i, f in enumerate(values) if nulls[str(i)] and f.dataType.typeName() != "void"]
+    if not empty:
+        return first
+    # A cell has a place for each type, so that cells of all columns are rows of one table.
+    types = {f.dataType.simpleString(): f.dataType for _, f in empty}
+    places = {kind: f"t{k}" for k, kind in enumerate(types)}
+
+    def cell(i: int, field) -> Column:
+        own = places[field.dataType.simpleString()]
+        value = [(quoted(field.name) if p == own else F.lit(None).cast(types[kind])).alias(p) for kind, p in places.items()]
+        return F.struct(F.lit(i).alias("i"), *value)
+
+    gaps = F.array_compact(F.array(*[F.when(quoted(f.name).isNull(), F.lit(i)) for i, f in empty]))
+    wanted = first.select(*[quoted(k).alias(f"__key{n}") for n, k in enumerate(keys)], gaps.alias("__gaps")).where(F.size("__gaps") > 0)
+    same = all_of([quoted(k) == F.col(f"__key{n}") for n, k in enumerate(keys)])
+    offers = F.array_compact(F.array(*[F.when(F.array_contains("__gaps", F.lit(i)) & quoted(f.name).isNotNull(), cell(i, f)) for i, f in empty]))
+    offered = rows.join(wanted, same).select(
+        *[F.col(f"__key{n}") for n in range(len(keys))], order_key(*map(quoted, order)).alias("__order"), F.explode(offers).alias("__cell")
+    )
+    names = [f"__key{n}" for n in range(len(keys))]
+    taken = _lowest(offered.withColumn("__i", F.col("__cell.i")), [*names, "__i"], ["__order"])
+    cells = F.map_from_entries(F.collect_list(F.struct("__i", "__cell"))).alias("__cells")
+    found = settle(taken.groupBy(*names).agg(cells))
+    filled = first.join(found, same, "left")
+    for i, f in empty:
+        given = F.try_element_at(F.col("__cells"), F.lit(i))[places[f.dataType.simpleString()]]
+        filled = filled.withColumn(f.name, F.coalesce(quoted(f.name), given))
+    return filled.select(*[quoted(c) for c in df.columns])
 
 
 def pivot_unique(df: DataFrame, row: str, column: str, value: str, names: Sequence[str]) -> DataFrame:
@@ -106,19 +141,31 @@ def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str]) -> DataFrame:
     return df.unpivot([quoted(c) for c in ids], [quoted(c) for c in values], "variable", "value")
 
 
-def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
-    """Rows per equal-width bin between lowest and highest value, the last bin closed; nulls and NaN take no part.
+def histograms(df: DataFrame, values: Sequence[str], bins: int = 10) -> DataFrame:
+    """``variable, bin, count``: rows per equal-width bin between lowest and highest value of each column, the last bin
+    closed; nulls and NaN take no part.
 
-    For a constant column the range reaches half a unit to both sides. Empty bins have count 0.
+    For a constant column the range reaches half a unit to both sides. Empty bins have count 0. The table is read
+    twice, however many columns there are: for all ends, and for all counts.
     """
-    known = df.select(quoted(value).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    ends = known.agg(F.min("x").alias("low"), F.max("x").alias("high"))
-    low, high = ends.select("low").scalar(), ends.select("high").scalar()
-    low, high = F.when(low == high, low - 0.5).otherwise(low), F.when(low == high, high + 0.5).otherwise(high)
+    numbers = {c: F.nullif(quoted(c).cast("double"), F.lit(float("nan"))) for c in values}
+    low_high = [F.struct(F.min(x).alias("low"), F.max(x).alias("high")).alias(f"e{i}") for i, x in enumerate(numbers.values())]
+    ends = df.agg(F.struct(*low_high).alias("ends")).scalar()
+    cells = [F.struct(F.lit(i).alias("i"), x.alias("x"), ends[f"e{i}"]["low"].alias("low"), ends[f"e{i}"]["high"].alias("high")) for i, x in enumerate(numbers.values())]
+    long = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where(F.col("x").isNotNull())
+    flat = F.col("low") == F.col("high")
+    low, high = F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")), F.when(flat, F.col("high") + 0.5).otherwise(F.col("high"))
     number = F.least(F.width_bucket("x", low, high, F.lit(bins)), F.lit(bins)).cast("int")
-    counts = known.groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    every = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    return every.join(counts, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("count"))
+    counts = long.groupBy("i", number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    labels = F.array(*[F.lit(c) for c in values])
+    every = df.sparkSession.range(len(values) * bins).select(F.floor(F.col("id") / bins).cast("int").alias("i"), (F.col("id") % bins + 1).cast("int").alias("bin"))
+    out = every.join(counts, ["i", "bin"], "left")
+    return out.select(F.get(labels, F.col("i")).alias("variable"), "bin", F.coalesce("n", F.lit(0)).alias("count"))
+
+
+def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
+    """``bin, count`` of one column (see ``histograms``)."""
+    return histograms(df, [value], bins).drop("variable")
 
 
 def tail_lists(df: DataFrame, tails: Sequence[tuple[str, Column]], cols: Sequence[str]) -> DataFrame:

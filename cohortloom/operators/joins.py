@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortloom.functions.exprs import quoted
+from cohortloom.operators.ranges import sorted_ranges
 from cohortloom.session import settle
 
 _RIGHT = "__right_"
@@ -110,23 +111,28 @@ def waterfall(a: DataFrame, b: DataFrame, keys: Sequence[tuple[str, str]]) -> Da
     return placed.join(offers, same, "left").drop("__row", "__hit", "__by", "__key", "__offer")
 
 
-def prefix_semi(a: DataFrame, path: str, prefixes: DataFrame, prefix: str, any_case: bool = True) -> DataFrame:
+def prefix_semi(a: DataFrame, path: str, prefixes: DataFrame, prefix: str, any_case: bool = True, ranges: int | None = None) -> DataFrame:
     """Rows whose path starts with one of the listed prefixes, taken literally.
 
-    A path is cut to the lengths that listed prefixes with the same head have, and the cuts are looked up with an equi
-    join; the head is as long as the shortest prefix. No pair of path and prefix is formed otherwise. A path that
-    extends a listed one is kept, and signs with a meaning in regular expressions have none here.
+    A prefix opens an interval of paths: from itself to itself and the byte 255, which no text holds. Prefixes and
+    different paths are sorted together into ranges and swept in order; a path is in an open interval if the furthest
+    end so far, of its range or any before it, is not behind it. So one pass over the sorted names is all, however many
+    lengths the prefixes have, and a prefix of one sign costs what any other does. A path that extends a listed one is
+    kept, and signs with a meaning in regular expressions have none here.
     """
     fold = F.lower if any_case else (lambda c: c)
-    listed = prefixes.select(fold(quoted(prefix)).alias("__cut")).where(F.col("__cut").isNotNull()).distinct()
-    shortest = listed.agg(F.min(F.length("__cut"))).first()[0] or 0
-    heads = listed.groupBy(F.substring("__cut", 1, shortest).alias("__head")).agg(F.collect_set(F.length("__cut")).alias("__lengths"))
-    paths = a.select(path).where(quoted(path).isNotNull()).distinct()
-    met = paths.withColumn("__head", F.substring(fold(quoted(path)), 1, shortest)).join(heads, "__head")
-    cuts = met.withColumn("__n", F.explode("__lengths")).where(F.length(fold(quoted(path))) >= F.col("__n"))
-    cuts = cuts.select(path, fold(quoted(path)).substr(F.lit(1), F.col("__n")).alias("__cut"))
-    hits = join_ns(cuts, listed, ["__cut"], "semi").select(path)
-    return join_ns(a, hits.distinct(), [path], "semi")
+    opened = prefixes.select(fold(quoted(prefix)).cast("binary").alias("__at")).where(F.col("__at").isNotNull()).distinct()
+    opened = opened.select("__at", F.lit(0).alias("__kind"), F.concat("__at", F.lit(b"\xff")).alias("__end"), F.lit(None).cast("string").alias("__path"))
+    paths = a.select(quoted(path).alias("__path")).where(F.col("__path").isNotNull()).distinct()
+    paths = paths.select(fold(F.col("__path")).cast("binary").alias("__at"), F.lit(1).alias("__kind"), F.lit(None).cast("binary").alias("__end"), "__path")
+    ranged = sorted_ranges(opened.unionByName(paths), [F.col("__at"), F.col("__kind"), F.col("__path")], ranges)
+    inside = Window.partitionBy("__part").orderBy("__place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = ranged.withColumn("__open", F.max("__end").over(inside))
+    # One row per range: the furthest end in any range before it.
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ranged.groupBy("__part").agg(F.max("__end").alias("__last")).select("__part", F.max("__last").over(before).alias("__carried"))
+    held = swept.where("__kind = 1").join(F.broadcast(carried), "__part").where(F.col("__at") <= F.greatest("__open", "__carried"))
+    return join_ns(a, held.select(F.col("__path").alias(path)), [path], "semi")
 
 
 def anti_path_list(a: DataFrame, path: str, listed: DataFrame, listed_path: str) -> DataFrame:

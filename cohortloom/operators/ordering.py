@@ -9,29 +9,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cohortloom.functions.exprs import ascending, as_col, quoted
 from cohortloom.operators.aggregates import keyed
 from cohortloom.operators.joins import join_ns
+from cohortloom.operators.ranges import sorted_ranges
 from cohortloom.session import settle
 
 # Leading hexadecimal digits of the hash that make a bucket: 65,536 buckets at most, whatever the data size.
 _BUCKET_DIGITS = 4
 
 
-def _ranged(df: DataFrame, order: Sequence[Column], ranges: int | None) -> DataFrame:
-    """Rows cut into ordered ranges, with ``__part`` and the place ``__place`` (from 0) of the row in it.
-
-    The result is written down, so that later passes and any retry see the same cut. No task holds more than
-    one range. Range numbers and places come from the row ids Spark counts up in each sorted partition.
-    """
-    by = ascending(*order)
-    cut = df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)
-    numbered = cut.sortWithinPartitions(*by).withColumn("__id", F.monotonically_increasing_id())
-    split = {"__part": F.shiftright("__id", 33), "__place": F.col("__id").bitwiseAND((1 << 33) - 1)}
-    return settle(numbered.withColumns(split).drop("__id"))
-
-
 def global_row_id(df: DataFrame, order: Sequence[str], name: str = "row_id", ranges: int | None = None) -> DataFrame:
     """Number the rows 1..n in the given order, which must tell rows apart. ``ranges`` is the number of sorted
     ranges, the shuffle partitions if not given."""
-    ranged = _ranged(df, [quoted(o) for o in order], ranges)
+    ranged = sorted_ranges(df, [quoted(o) for o in order], ranges)
     # One row per range, so one task may add them up, and the sums may be broadcast.
     sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
@@ -50,7 +38,7 @@ def running_total(
     """
     group = [quoted(c) for c in within]
     rows = df.withColumn("__weight", weight.cast("long"))
-    ranged = _ranged(rows, [*group, *map(quoted, order)], ranges)
+    ranged = sorted_ranges(rows, [*group, *map(quoted, order)], ranges)
     inside = Window.partitionBy("__part", *group).orderBy("__place")
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = ranged.withColumn("__here", F.sum("__weight").over(inside))
@@ -66,17 +54,31 @@ def running_total(
 
 
 def dense_rank_per_subject(
-    df: DataFrame, subject: str, order: Sequence[str], name: str = "scan_number"
+    df: DataFrame, subject: str, order: Sequence[str], name: str = "scan_number", large: int = 1_000_000
 ) -> DataFrame:
     """Rank per subject by the order columns; equal rows of the order share a number. Null subjects get null.
 
-    The distinct (subject, order) rows are numbered by ranges and joined back, so a subject may have any number of
-    rows. A column of that name is replaced.
+    Rows are shuffled once, by subject, and ranked in a sorted pass over each. A subject with more than ``large`` rows
+    would make a task of its own too long: its distinct (subject, order) rows are numbered by sorted ranges and joined
+    back, in which a key of any size can be split. Rows without a subject are spread over all tasks. A column of that
+    name is replaced. ``df`` is read twice, for the sizes and for the ranks: settle it first if it is costly.
     """
     df, steps = df.drop(name), [quoted(o) for o in order]
-    distinct = keyed(df, [subject]).select(quoted(subject), *steps).distinct()
+    known = keyed(df, [subject])
+    crowded = known.groupBy(quoted(subject).alias(subject)).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > large).select(quoted(subject))
+    if crowded.isEmpty():
+        return _ranked_in_place(df, subject, steps, name)
+    crowded = settle(crowded)
+    distinct = join_ns(known, crowded, [subject], "semi").select(quoted(subject), *steps).distinct()
     ranks = running_total(distinct, order, F.lit(1), name, within=[subject])
-    return join_ns(df, ranks.withColumn(name, F.col(name).cast("int")), [subject, *order], "left")
+    spread = join_ns(join_ns(df, crowded, [subject], "semi"), ranks.withColumn(name, F.col(name).cast("int")), [subject, *order], "left")
+    return _ranked_in_place(join_ns(df, crowded, [subject], "anti"), subject, steps, name).unionByName(spread)
+
+
+def _ranked_in_place(df: DataFrame, subject: str, steps: Sequence[Column], name: str) -> DataFrame:
+    lone = F.when(quoted(subject).isNull(), F.xxhash64(*steps))
+    rank = F.dense_rank().over(Window.partitionBy(quoted(subject), lone).orderBy(*ascending(*steps)))
+    return df.withColumn(name, F.when(quoted(subject).isNotNull(), rank))
 
 
 def sort_multi(df: DataFrame, *by: tuple[str, bool]) -> DataFrame:
@@ -143,9 +145,9 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 def split_exact(df: DataFrame, key: str, test_share: float, seed: int, name: str = "split") -> DataFrame:
     """Mark exactly ``ceil(test_share * rows)`` rows as test and the rest as train, by seeded order of the key.
 
-    The key must be unique; a key that repeats at the cut cannot be cut exactly and is an error. Rows are counted per leading digits of the hash; only the bucket that
-    the cut falls into is put in order, to find the hash at the cut. The table itself is neither sorted nor
-    shuffled. Other rows than a NumPy generator would pick.
+    The key must be unique; a key that repeats at the cut cannot be cut exactly and is an error. Rows are counted per
+    leading digits of the hash; only the bucket that the cut falls into is put in order, to find the hash at the cut.
+    The table itself is neither sorted nor shuffled. Other rows than a NumPy generator would pick.
     """
     h = seeded_hash(key, seed)
     limit = _hash_at(df.select(h.alias("h")), test_share)
@@ -165,12 +167,13 @@ def _hash_at(hashes: DataFrame, share: float) -> Column:
     found = cut.select("bucket", (wanted - (F.col("upto") - F.col("n"))).cast("int").alias("rank")).first()
     if found is None:
         return F.lit(None).cast("string")
-    window = Window.partitionBy(bucket).orderBy("h")
-    ordered = hashes.where(bucket == found["bucket"]).withColumn("rank", F.row_number().over(window))
-    at_cut = ordered.where(F.col("rank").isin(found["rank"], found["rank"] + 1)).orderBy("rank").collect()  # two rows
-    if len(at_cut) == 2 and at_cut[0]["h"] == at_cut[1]["h"]:
+    # Hashes are counted first, so that a key that fills the bucket is one row of it.
+    per_hash = hashes.where(bucket == found["bucket"]).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(F.substring("h", 1, _BUCKET_DIGITS)).orderBy("h"))
+    at_cut = per_hash.withColumn("upto", upto).where(F.col("upto") >= found["rank"]).orderBy("h").first()
+    if at_cut["upto"] != found["rank"]:
         raise ValueError("the key repeats where the table is cut, so it cannot be split exactly; use a unique key")
-    return F.lit(at_cut[0]["h"])
+    return F.lit(at_cut["h"])
 
 
 def batch_number(row_id: Column, n: int) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortloom import fixed_values as fixed, functions as fn, operators as ops
 from cohortloom.session import settle
@@ -40,8 +42,79 @@ def inclusion_funnel(scans: DataFrame, review: DataFrame, reports: DataFrame, ex
 
 
 def change_histograms(cases: DataFrame, bins: int = 10) -> dict[str, DataFrame]:
-    """Counts per bin of the two changes, over the cases with enough volume."""
-    return {c: ops.histogram(cases, c, bins) for c in (IPH_CHANGE, EAH_CHANGE)}
+    """Counts per bin of the two changes, over the cases with enough volume, both in the same two passes."""
+    counts = ops.histograms(cases, [IPH_CHANGE, EAH_CHANGE], bins)
+    return {c: counts.where(F.col("variable") == c).drop("variable") for c in (IPH_CHANGE, EAH_CHANGE)}
+
+
+def _row_lists(plain_or: bool) -> dict[str, Column]:
+    """The lists that a row is in or not by itself, given ``included``."""
+    included, likely = F.col("included"), F.col("potential_hematoma_expansion_case").isin(1, 999)
+    grown = fn.any_at_least({IPH_CHANGE: fixed.IPH_GROWTH_ML, EAH_CHANGE: fixed.EAH_GROWTH_ML})
+    five_ml = included & fn.masked_or(F.col(IPH) >= fixed.CASE_ML, F.col(EAH) >= fixed.CASE_ML, None if plain_or else likely)
+    case_five_ml = included & likely & fn.any_at_least({IPH: fixed.CASE_ML, EAH: fixed.CASE_ML})
+    return {
+        "excluded_subjects": fn.flag_is("exclude", 1),
+        "accepted_subjects": fn.flag_is("exclude", 0),
+        "included": included,
+        "no_quality_error": included & (F.col("quality_control_metric") == 0),
+        "cases": included & likely,
+        "five_ml": five_ml,
+        "five_ml_change": five_ml & grown,
+        "case_five_ml": case_five_ml,
+        "case_five_ml_change": case_five_ml & grown,
+        "case_iph_change": case_five_ml & (F.col(IPH_CHANGE) >= fixed.IPH_GROWTH_ML),
+        "case_eah_change": case_five_ml & (F.col(EAH_CHANGE) >= fixed.EAH_GROWTH_ML),
+        "iph_grew": included & (F.col(IPH_CHANGE) >= fixed.TAIL_ML),
+        "eah_grew": included & (F.col(EAH_CHANGE) >= fixed.TAIL_ML),
+        "iph_large": included & (F.col(IPH) >= fixed.TAIL_ML),
+        "eah_large": included & (F.col(EAH) >= fixed.TAIL_ML),
+        "eah_shrank": included & (F.col(EAH_CHANGE) <= -fixed.TAIL_ML),
+        "iph_shrank": included & (F.col(IPH_CHANGE) <= -fixed.TAIL_ML),
+        "unreviewed": included & F.col("exclude").isNull(),
+    }
+
+
+TAILS = ["iph_grew", "eah_grew", "iph_large", "eah_large", "eah_shrank", "iph_shrank"]
+
+
+def listed_scans(
+    scans: DataFrame, review: DataFrame, reports: DataFrame, excluded: DataFrame, plain_or: bool = False
+) -> DataFrame:
+    """Every reviewed scan with ``lists``, the names of all lists it is in, worked out in one pass and written down.
+
+    ``five_ml`` takes one class from all scans and the other from likely cases only; ``plain_or`` takes both
+    from all scans.
+    """
+    out = excluded.select(F.col("id_to_remove").alias("id"), F.lit(True).alias("__out")).where(F.col("id").isNotNull()).distinct()
+    rows = ops.join_ns(reviewed_scans(scans, review, reports), out, ["id"], "left")
+    rows = rows.withColumn("included", fn.flag_is_not("exclude", 1) & F.col("__out").isNull())
+    lists = F.array(*[F.when(F.coalesce(condition, F.lit(False)), F.lit(name)) for name, condition in _row_lists(plain_or).items()])
+    return settle(rows.withColumn("lists", F.array_compact(lists)).drop("__out", "included"))
+
+
+def all_lists(listed: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """All review lists as one table: ``list`` and the columns, a row once per list it is in; in one scan of
+    ``listed``, with two more for the sample and for the subjects without bleeding (which have only their subject)."""
+    each = listed.select(F.explode("lists").alias("list"), *cols)
+    sample = review_sample(listed).select(F.lit("sample").alias("list"), *cols)
+    none = no_hemorrhage(listed)
+    only = [F.col(c) if c == SUBJECT else F.lit(None).cast(listed.schema[c].dataType).alias(c) for c in cols]
+    return ops.union_all(each, sample, none.select(F.lit("no_hemorrhage").alias("list"), *only))
+
+
+def in_list(listed: DataFrame, name: str) -> DataFrame:
+    return listed.where(F.array_contains("lists", F.lit(name))).drop("lists")
+
+
+def review_sample(listed: DataFrame) -> DataFrame:
+    return ops.sample_n(in_list(listed, "five_ml"), "id", 20, fixed.SAMPLE_SEED)
+
+
+def no_hemorrhage(listed: DataFrame) -> DataFrame:
+    """Subjects whose scans show no volume at all."""
+    top = ops.group_max(in_list(listed, "included"), [SUBJECT], [IPH, EAH, IVH])
+    return top.where(F.col("total") == 0)
 
 
 def inclusion_lists(
@@ -49,35 +122,9 @@ def inclusion_lists(
 ) -> dict[str, DataFrame]:
     """The review lists by name, in no order: sort where a list is shown, ``unreviewed`` by falling IVH volume.
 
-    ``five_ml`` takes one class from all scans and the other from likely cases only; ``plain_or`` takes both
-    from all scans.
+    All come from ``listed_scans``; ``all_lists`` gives them as one table in one scan.
     """
-    reviewed = settle(reviewed_scans(scans, review, reports))
-    rows = settle(ops.not_in(reviewed.where(fn.flag_is_not("exclude", 1)), "id", excluded, "id_to_remove"))
-    likely = F.col("potential_hematoma_expansion_case").isin(1, 999)
-    five_ml = rows.where(fn.masked_or(F.col(IPH) >= fixed.CASE_ML, F.col(EAH) >= fixed.CASE_ML, None if plain_or else likely))
-    grown = fn.any_at_least({IPH_CHANGE: fixed.IPH_GROWTH_ML, EAH_CHANGE: fixed.EAH_GROWTH_ML})
-    case_five_ml = rows.where(likely).where(fn.any_at_least({IPH: fixed.CASE_ML, EAH: fixed.CASE_ML}))
-    tails = [
-        ("iph_grew", F.col(IPH_CHANGE) >= fixed.TAIL_ML), ("eah_grew", F.col(EAH_CHANGE) >= fixed.TAIL_ML),
-        ("iph_large", F.col(IPH) >= fixed.TAIL_ML), ("eah_large", F.col(EAH) >= fixed.TAIL_ML),
-        ("eah_shrank", F.col(EAH_CHANGE) <= -fixed.TAIL_ML), ("iph_shrank", F.col(IPH_CHANGE) <= -fixed.TAIL_ML),
-    ]
-    top = ops.group_max(rows, [SUBJECT], [IPH, EAH, IVH])
-    return {
-        "excluded_subjects": reviewed.where(fn.flag_is("exclude", 1)),
-        "accepted_subjects": reviewed.where(fn.flag_is("exclude", 0)),
-        "included": rows,
-        "no_quality_error": rows.where(F.col("quality_control_metric") == 0),
-        "cases": rows.where(likely),
-        "five_ml": five_ml,
-        "five_ml_change": five_ml.where(grown),
-        "case_five_ml": case_five_ml,
-        "case_five_ml_change": case_five_ml.where(grown),
-        "case_iph_change": case_five_ml.where(F.col(IPH_CHANGE) >= fixed.IPH_GROWTH_ML),
-        "case_eah_change": case_five_ml.where(F.col(EAH_CHANGE) >= fixed.EAH_GROWTH_ML),
-        "sample": ops.sample_n(five_ml, "id", 20, fixed.SAMPLE_SEED),
-        "tails": ops.tail_lists(rows, tails, [c for c in TAIL_COLUMNS if c in rows.columns]),
-        "unreviewed": rows.where(F.col("exclude").isNull()),
-        "no_hemorrhage": top.where(F.col("total") == 0),
-    }
+    listed = listed_scans(scans, review, reports, excluded, plain_or)
+    lists = {name: in_list(listed, name) for name in _row_lists(plain_or) if name not in TAILS}
+    tails = listed.select(F.explode(F.array_intersect("lists", F.array(*map(F.lit, TAILS)))).alias("tail"), *[c for c in TAIL_COLUMNS if c in listed.columns])
+    return lists | {"sample": review_sample(listed), "tails": tails, "no_hemorrhage": no_hemorrhage(listed)}

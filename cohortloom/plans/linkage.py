@@ -35,6 +35,11 @@ def link_reports(images: DataFrame, reports: DataFrame, ids: DataFrame, cols: Se
     return linked.select(*[fn.quoted(c) for c in cols])
 
 
+def accession_check(images: DataFrame) -> DataFrame:
+    """Image records, different search numbers, and whether each record has one of its own, as linkage takes for granted."""
+    return ops.unique_key_check(images, "SearchAccession")
+
+
 def locate_scans(wanted: DataFrame, manifests: Sequence[tuple[DataFrame, str]]) -> DataFrame:
     """Folder of each wanted scan, looked up by report number and, for those not found, by archive number. A missing
     number finds nothing.

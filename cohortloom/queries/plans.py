@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortloom import operators as ops, plans, sources
+from cohortloom import fixed_values as fixed, functions as fn, operators as ops, plans, sources
 from cohortloom.queries.aggregations import PIVOTED
 from cohortloom.queries.joins import MANIFEST, WANTED_1, WANTED_2, manifests, override_sql, wanted_numbers
 from cohortloom.queries.registry import Tables, query
@@ -91,6 +91,14 @@ def pipe_locate_scans(t: Tables) -> DataFrame:
     return found.withColumns({n: F.lit(v).cast("long") for n, v in counts.items()})
 
 
+@query(f"""
+SELECT count(*) AS n_rows, count(DISTINCT coalesce(sa, '')) AS n_keys, count(*) = count(DISTINCT coalesce(sa, '')) AS is_unique
+FROM (SELECT {ACCESSION} AS sa FROM orders)
+""")
+def pipe_report_check(t: Tables) -> DataFrame:
+    return plans.accession_check(t.orders.select(accession().alias("SearchAccession")))
+
+
 # --- series ---------------------------------------------------------------------------------------------------
 
 _BAD = "coronal|sag|chest|abdomen|spine|facial_bones|lung"
@@ -205,9 +213,8 @@ _CHOSEN = [
     "change_iph_volume_first_scan", "change_eah_volume_first_scan",
 ]
 
-
-@query(f"""
-WITH i AS (SELECT *, CAST(dense_rank() OVER (PARTITION BY uid ORDER BY folder) AS INTEGER) AS scan_number FROM ({_IMAGES})),
+_CHOICE = f"""
+i AS (SELECT *, CAST(dense_rank() OVER (PARTITION BY uid ORDER BY folder) AS INTEGER) AS scan_number FROM ({_IMAGES})),
 usable AS (SELECT * FROM i WHERE id NOT IN ('scan_7', 'scan_8') AND image_name <> 'Bone'
              AND ((slice_num >= 30 AND slice_num < 100) OR id IN ('scan_10', 'scan_11'))),
 best AS (SELECT * FROM usable QUALIFY row_number() OVER (PARTITION BY uid, image_name, scan_number, corrected ORDER BY qc, id) = 1),
@@ -216,12 +223,17 @@ preferred AS (SELECT * EXCLUDE (has) FROM (
   WHERE corrected OR NOT has),
 {override_sql("SELECT * FROM preferred", _PICKS)},
 one AS (SELECT uid, folder, {", ".join(f"arg_min({c}, (scan_number, id)) FILTER ({c} IS NOT NULL) AS {c}"
-        for c in ["report", "id", "ts", "scan_number", "image_name", "slice_num", "qc", "iph", "eah", "ivh"])}
+        for c in ["report", "id", "ts", "scan_number", "image_name", "image", "slice_num", "qc", "iph", "eah", "ivh"])}
         FROM chosen GROUP BY uid, folder),
 kept AS (SELECT * FROM one QUALIFY count(report) OVER (PARTITION BY uid) >= 2),
 total AS (SELECT *, coalesce(iph, 0) + coalesce(eah, 0) + coalesce(ivh, 0) AS total FROM kept),
 firsts AS (SELECT *, {", ".join(f"first_value({c} IGNORE NULLS) OVER (PARTITION BY uid ORDER BY ts, id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS {c}_first"
-        for c in ["total", "iph", "eah"])} FROM total)
+        for c in ["total", "iph", "eah", "ivh"])} FROM total)
+"""
+
+
+@query(f"""
+WITH {_CHOICE}
 SELECT uid AS unique_study_id, report AS report_num_temp, folder, id, scan_number, image_name, slice_num, qc AS quality_control_metric,
        total AS total_volume_scan, total_first AS total_volume_first_scan, total - total_first AS change_total_volume_scan,
        iph_first AS iph_volume_first, eah_first AS eah_volume_first, iph - iph_first AS change_iph_volume_first_scan,
@@ -233,6 +245,64 @@ def pipe_choose_images(t: Tables) -> DataFrame:
     return plans.volume_changes(rows).select(*_CHOSEN)
 
 
+_FUNNEL = [
+    ("predicted", "i"), ("not removed by hand", "i WHERE id NOT IN ('scan_7', 'scan_8')"),
+    ("usable image", "i WHERE id NOT IN ('scan_7', 'scan_8') AND image_name <> 'Bone'"), ("slices in range", "usable"),
+    ("one of each series", "best"), ("corrected if there is one", "preferred"), ("chosen by hand", "(SELECT DISTINCT * FROM chosen)"),
+    ("two folders", """(SELECT DISTINCT * FROM chosen) WHERE uid IN (
+        SELECT uid FROM chosen WHERE report IS NOT NULL GROUP BY uid HAVING count(DISTINCT folder) >= 2)"""),
+]
+
+
+@query(f"WITH {_CHOICE}" + " UNION ALL ".join(
+    f"SELECT {n} AS step_no, '{name}' AS step, count(DISTINCT uid) AS subjects, count(*) AS rows FROM {left}"
+    for n, (name, left) in enumerate(_FUNNEL)
+))
+def pipe_choice_funnel(t: Tables) -> DataFrame:
+    """Subjects and scans left after each filter and each step of the choice."""
+    return plans.choice_funnel(settle(images(t)), image_picks(t), ["scan_7", "scan_8"], ["scan_10", "scan_11"])
+
+
+# The wide families, each a multiple of one volume, so that every column of the clean and of the model table is there.
+_IMAGE_FAMILIES = [
+    *fn.family_names(fixed.CLASS_REGION, fixed.REGIONS, fixed.CLASSES), *fn.family_names(fixed.REGION_VOLUME, ["Brain", *fixed.REGIONS]),
+]
+_MODEL_FAMILIES = fn.family_names(fixed.CLASS_REGION, fixed.REGIONS, fixed.MODEL_CLASSES)
+
+
+def multiples(names: list[str], of: str) -> dict[str, Column]:
+    return {name: F.col(of) * k for k, name in enumerate(names, 1)}
+
+
+def multiples_sql(names: list[str], of: str) -> str:
+    return ", ".join(f'{of} * {k} AS "{name}"' for k, name in enumerate(names, 1))
+
+
+@query(f"""
+WITH {_CHOICE}
+SELECT uid AS unique_study_id, report AS report_num_temp, 1 AS flag_post_trauma_hem, id, scan_number, ts AS "StudyDate_Time_format",
+       iph AS iph_predicted_volume_ml, eah AS eah_predicted_volume_ml, iph / 8 AS oedema_predicted_volume_ml, ivh AS ivh_predicted_volume_ml,
+       qc AS quality_control_metric, folder, image_name, slice_num, total AS total_volume_scan, total_first AS total_volume_first_scan,
+       total - total_first AS change_total_volume_scan, iph_first AS iph_volume_first, eah_first AS eah_volume_first,
+       ivh_first AS ivh_volume_first, iph - iph_first AS change_iph_volume_first_scan, eah - eah_first AS change_eah_volume_first_scan,
+       ivh - ivh_first AS change_ivh_volume_first_scan, {multiples_sql(_IMAGE_FAMILIES, "iph")},
+       image, 'p' || image AS prediction, 'a' || image AS atlas_in_native_space, 'b' || image AS brain_mask_native_space
+FROM firsts
+""")
+def pipe_clean_table(t: Tables) -> DataFrame:
+    """All 183 columns of the clean table."""
+    wide = images(t).withColumns(
+        {
+            "flag_post_trauma_hem": F.lit(1), "oedema_predicted_volume_ml": F.col("iph_predicted_volume_ml") / 8,
+            "prediction": F.concat(F.lit("p"), "image"), "atlas_in_native_space": F.concat(F.lit("a"), "image"),
+            "brain_mask_native_space": F.concat(F.lit("b"), "image"),
+        }
+        | multiples(_IMAGE_FAMILIES, "iph_predicted_volume_ml")
+    )
+    rows = plans.choose_images(wide, image_picks(t), ["scan_7", "scan_8"], ["scan_10", "scan_11"])
+    return plans.volume_changes(rows).select(*map(fn.quoted, plans.CLEAN_COLUMNS))
+
+
 # --- cohort ---------------------------------------------------------------------------------------------------
 
 _HISTORY = """
@@ -386,13 +456,7 @@ UNION ALL SELECT 'no_hemorrhage', uid, NULL FROM r GROUP BY uid
   HAVING coalesce(max(iph), 0) + coalesce(max(eah), 0) + coalesce(max(ivh), 0) = 0
 """)
 def pipe_inclusion_lists(t: Tables) -> DataFrame:
-    lists = plans.inclusion_lists(*review_tables(t))
-    out = []
-    for name, rows in lists.items():
-        label = F.col("tail") if name == "tails" else F.lit(name)
-        row_id = F.lit(None).cast("string") if name == "no_hemorrhage" else F.col("id")
-        out.append(rows.select(label.alias("list"), "unique_study_id", row_id.alias("id")))
-    return ops.union_all(*out)
+    return plans.all_lists(plans.listed_scans(*review_tables(t)), ["unique_study_id", "id"])
 
 
 _STEPS = ["true", "coalesce(exclude, 0) <> 1", "NOT listed", "flag IN (1, 999)", "(iph >= 5 OR eah >= 5)", "(d_iph >= 8 OR d_eah >= 9)"]
@@ -491,6 +555,43 @@ def pipe_cohort_checks(t: Tables) -> DataFrame:
     )
 
 
+_CHART = """
+SELECT doc_id AS uid, 1 - quality AS exclude, nullif(toxic, 0) AS censored, 'injury ' || doc_id % 3 AS injury, CAST(doc_id % 2 AS INTEGER) AS surgery,
+       'type ' || doc_id % 5 AS surgery_type, CAST(doc_id % 4 AS INTEGER) AS first_scan_after_surgery, CAST(doc_id % 7 AS INTEGER) AS artifact,
+       CASE WHEN quality = 0 THEN 'note' END AS notes FROM labels
+"""
+_CHARTED = ["injury", "surgery", "surgery_type", "first_scan_after_surgery", "artifact", "notes"]
+
+
+@query(f"""
+WITH {_WINDOW},
+c AS (SELECT w.*, {", ".join(f"s.{c}" for c in _CHARTED)}, coalesce(s.censored, 0) AS censored FROM w JOIN ({_CHART}) s ON w.uid = s.uid
+      WHERE (s.exclude = 0 OR s.censored = 1) AND w.id NOT IN (SELECT id FROM ({_EXCLUDED}))),
+b AS (SELECT *, iph - {_BASE.format("iph")} AS d_iph, eah - {_BASE.format("eah")} AS d_eah, ivh - {_BASE.format("ivh")} AS d_ivh FROM c),
+m AS (SELECT *, {", ".join(f"max(d_{c}) OVER (PARTITION BY uid) AS max_{c}" for c in ("iph", "eah", "ivh"))} FROM b)
+SELECT uid AS unique_study_id, report AS report_num_temp, scan_number, ts AS "StudyDate_Time_format", qc AS quality_control_metric,
+       {", ".join(_CHARTED)}, censored AS second_scan_post_surgery_trauma, iph AS iph_predicted_volume_ml, eah AS eah_predicted_volume_ml,
+       ivh AS ivh_predicted_volume_ml, iph / 8 AS oedema_predicted_volume_ml,
+       {", ".join(f"d_{c} AS change_{c}_volume_first_scan, max_{c} AS max_change_{c}_volume_first_scan" for c in ("iph", "eah", "ivh"))},
+       {", ".join(f"CASE WHEN censored = 0 AND (max_iph >= {c} OR max_eah >= {c}) THEN 1 ELSE 0 END AS outcome_{c}ml" for c in fixed.OUTCOME_CUTS)},
+       {multiples_sql(_MODEL_FAMILIES, "iph")}
+FROM m
+""")
+def pipe_model_table(t: Tables) -> DataFrame:
+    """All 118 columns of the model table."""
+    number, scans = F.col("unique_study_id"), history(t)
+    chart = sheet(t).withColumns(
+        {
+            "injury": F.concat(F.lit("injury "), (number % 3).cast("string")), "surgery": (number % 2).cast("int"),
+            "surgery_type": F.concat(F.lit("type "), (number % 5).cast("string")), "first_scan_after_surgery": (number % 4).cast("int"),
+            "artifact": (number % 7).cast("int"), "notes": F.when(F.col("exclude") == 1, "note"),
+        }
+    )
+    families = {"oedema_predicted_volume_ml": F.col("iph_predicted_volume_ml") / 8} | multiples(_MODEL_FAMILIES, "iph_predicted_volume_ml")
+    cohort = settle(plans.cohort_scans(scans.withColumns(families), chart, excluded(t)))
+    return plans.model_table(cohort).select(*map(fn.quoted, plans.MODEL_COLUMNS))
+
+
 _SET_SQL = " UNION ALL ".join(
     f"SELECT '{kind}_{part}{suffix}' AS part, {uid} AS unique_study_id, censored AS second_scan_post_surgery_trauma, {cols} FROM m WHERE split = '{part}'"
     for kind, cols in [("X", "iph AS iph_predicted_volume_ml, eah AS eah_predicted_volume_ml, NULL AS outcome_60ml, NULL AS outcome_80ml"),

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from cohortloom.operators.checks import completeness
 from cohortloom.operators.ordering import batch_number, global_row_id
-from cohortloom.session import settle
 
 
 class IncompleteError(Exception):
@@ -40,17 +40,55 @@ def write_batches(df: DataFrame, order: Sequence[str], n: int, path: str) -> Non
 
 
 def write_if(df: DataFrame, key: str, value: str, path: str) -> DataFrame:
-    """Write only if every key has a value; otherwise raise and write nothing to ``path``. Returns the check row.
+    """Write only if every key has a value; otherwise raise and leave nothing at ``path``. Returns the check row.
 
-    The rows are settled first, so that check and write see the same ones and the plan behind them runs once.
+    The rows are written once, into a hidden folder beside ``path``, and checked there. If the check holds, the folder
+    is renamed to ``path``, replacing what is there; if not, or on any error, it is deleted. A driver lost in between
+    leaves the hidden folder at most.
     """
-    rows = settle(df)
-    check = completeness(rows, key, value)
-    found = check.first()
-    if not found["complete"]:
-        raise IncompleteError(found)
-    write_table(rows, path)
-    return check
+    parent, _, name = path.rstrip("/").rpartition("/")
+    hidden = f"{parent}/.{name}-{uuid.uuid4().hex}"
+    # Readers pass over names that start with a dot, so the rows lie one level below.
+    rows = f"{hidden}/{name}"
+    spark, files = df.sparkSession, _Files(df.sparkSession)
+    try:
+        write_table(df, rows)
+        written = spark.read.schema(df.schema).csv(rows, header=True, escape='"') if name.endswith(".csv") else spark.read.schema(df.schema).parquet(rows)
+        check = completeness(written, key, value).first()
+        if not check["complete"]:
+            raise IncompleteError(check)
+        files.replace(rows, path)
+    finally:
+        files.delete(hidden)
+    return spark.createDataFrame([check], "n_wanted long, n_found long, complete boolean")
+
+
+class _Files:
+    """Renaming and deleting where the executors write, through Hadoop's file systems."""
+
+    def __init__(self, spark: SparkSession):
+        self.path, self.conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def delete(self, name: str) -> None:
+        target = self.path(name)
+        target.getFileSystem(self.conf).delete(target, True)
+
+    def replace(self, source: str, target: str) -> None:
+        self.delete(target)
+        old, new = self.path(source), self.path(target)
+        if not old.getFileSystem(self.conf).rename(old, new):
+            raise OSError(f"{source} could not be renamed to {target}")
+
+
+def write_all(frames: dict[str, DataFrame], folder: str, kind: str = "parquet") -> dict[str, str]:
+    """Write tables by name into one folder, each ``.csv`` or Parquet, and give their paths.
+
+    Steps that the tables write down on the way are deleted at the end: build them inside ``run_folder``.
+    """
+    paths = {name: f"{folder.rstrip('/')}/{name}" + (".csv" if kind == "csv" else "") for name in frames}
+    for name, frame in frames.items():
+        write_table(frame, paths[name])
+    return paths
 
 
 def deidentify(df: DataFrame, ids: Sequence[str]) -> DataFrame:

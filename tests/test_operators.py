@@ -120,6 +120,51 @@ def test_best_of_group_keeps_all_null_groups(metric):
     assert rows(ops.best_of_group(metric, ["g"], "m", ["id"])) == [("a", 2, 3.0), ("b", 5, None), ("c", 7, 9.0)]
 
 
+@pytest.mark.parametrize("ranges", [None, 1, 7])
+def test_prefixes_of_any_length_are_swept_once(spark, ranges):
+    """One prefix of one sign among a hundred lengths, nested ones, and signs beyond all others."""
+    draw = random.Random(9)
+    signs = ["a", "b", "/", "é", "漢", "\U0010ffff", ".", "%"]
+    name = lambda n: "".join(draw.choices(signs, k=n))
+    listed = ["%", *[name(n) for n in range(2, 102)], None, "", "aab", "aa"][: 104 if ranges != 1 else 102] + ["aab", "aa"]
+    paths = [name(draw.randint(0, 9)) for _ in range(700)] + [p + name(3) for p in listed if p] + listed
+    for known in (listed, [p for p in listed if p]):
+        wanted = sorted(p for p in paths if p is not None and any(k is not None and p.startswith(k) for k in known))
+        a, prefixes = frame(spark, [(p, i) for i, p in enumerate(paths)], "p string, i int"), frame(spark, [(k,) for k in known], "k string")
+        got = ops.prefix_semi(a, "p", prefixes, "k", any_case=False, ranges=ranges)
+        assert sorted(r["p"] for r in got.collect()) == wanted
+
+
+def test_prefixes_make_no_row_per_length(spark):
+    a, prefixes = frame(spark, [("x" * n,) for n in range(1, 200)], "p string"), frame(spark, [("x" * n,) for n in range(1, 101)], "k string")
+    got = ops.prefix_semi(a, "p", prefixes, "k")
+    assert got.count() == 199
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_first_non_null_of_all_types(spark, seed):
+    """Whatever the type of a column, and with keys that have nothing to offer."""
+    draw = random.Random(seed)
+    made = {"i": lambda: draw.randint(0, 9), "s": lambda: draw.choice("xyz"), "d": lambda: draw.random(), "a": lambda: [draw.randint(0, 3), None],
+            "t": lambda: {"p": draw.randint(0, 9), "q": None}, "s2": lambda: "w", "never": lambda: None}
+    data = [(draw.randint(0, 12), draw.choice([None, 1, 2]), o, *[f() if draw.random() < 0.3 else None for f in made.values()]) for o in range(80)]
+    schema = "g int, h int, o int, i int, s string, d double, a array<int>, t struct<p: int, q: string>, s2 string, never date"
+    df = frame(spark, data, schema)
+    wanted = {}
+    for g, h, o, *values in data:
+        if h is not None:
+            row = wanted.setdefault((g, h), [None] * (len(values) + 1))
+            row[0] = o if row[0] is None else row[0]
+            row[1:] = [v if old is None else old for old, v in zip(row[1:], values)]
+    out = ops.first_non_null_per_group(df, ["g", "h"], ["o"])
+    assert out.columns == df.columns
+    got = {(r["g"], r["h"]): [r["o"], *[r[c].asDict() if c == "t" and r[c] else r[c] for c in made]] for r in out.collect()}
+    assert got == wanted
+    assert ops.first_non_null_per_group(df.limit(0), ["g", "h"], ["o"]).count() == 0
+
+
 def test_first_non_null_mixes_rows(spark):
     data = [(1, 1, None, "x"), (1, 2, 5.0, None), (1, 3, 6.0, "y"), (2, 1, None, None), (None, 1, 1.0, "z"), (3, None, 1.0, "l"), (3, 9, 2.0, "k")]
     df = frame(spark, data, "g int, o int, v double, t string")
@@ -171,6 +216,20 @@ def test_histogram(spark):
     assert [tuple(r) for r in ops.histogram(flat, "v").where("count > 0").collect()] == [(6, 4)]
 
 
+def test_histograms_of_all_columns_read_the_table_twice(spark, tmp_path):
+    data = [(float(i % 7), None if i % 3 else float(i), 5, "nan") for i in range(50)]
+    frame(spark, data, "a double, b double, c int, d string").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t").withColumn("d", F.col("d").cast("double"))
+    names = ["a", "b", "c", "d"]
+    out = ops.histograms(df, names, 5)
+    got = {c: [r["count"] for r in out.where(F.col("variable") == c).orderBy("bin").collect()] for c in names}
+    for c in names:
+        assert got[c] == [r["count"] for r in ops.histogram(df, c, 5).orderBy("bin").collect()]
+    assert got == {"a": [15, 7, 7, 7, 14], "b": [4, 3, 3, 3, 4], "c": [0, 0, 50, 0, 0], "d": [0] * 5}
+    out.collect()
+    assert out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("FileScan") <= 2
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_five_numbers_equal_linear_quantiles(spark, seed):
     import numpy as np
@@ -275,6 +334,18 @@ def test_dense_rank(spark):
     assert rows(out) == wanted
 
 
+@pytest.mark.parametrize("large", [0, 3, 80, 10_000])
+def test_dense_rank_of_large_subjects(spark, large):
+    """Ranked in place or by ranges, the numbers are the same."""
+    rng = random.Random(5)
+    data = [(rng.choice([1, 1, 1, 2, 3, None]), rng.choice([rng.randint(0, 20), None]), rng.choice("ab")) for _ in range(200)]
+    df = frame(spark, data, "s int, t int, f string")
+    key = lambda p: (p[0] is None, p[0] or 0, p[1])
+    order = {s: {p: i + 1 for i, p in enumerate(sorted({(t, f) for q, t, f in data if q == s}, key=key))} for s in (1, 2, 3)}
+    wanted = sorted(((s, t, f, order[s][(t, f)] if s else None) for s, t, f in data), key=str)
+    assert rows(ops.dense_rank_per_subject(df, "s", ["t", "f"], large=large)) == wanted
+
+
 @pytest.mark.parametrize("ranges", [None, 1, 5])
 def test_row_ids_are_complete_and_in_order(spark, ranges):
     keys = random.Random(4).sample(range(10_000), 500)

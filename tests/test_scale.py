@@ -98,7 +98,6 @@ def test_large_history_is_not_broadcast(hot, conf):
 
 def test_groups_are_reduced_before_the_shuffle(hot):
     for df in [
-        ops.first_non_null_per_group(hot, ["uid"], ["ts", "id"]),
         ops.group_max(hot, ["uid"], ["vol"]),
         ops.group_counts(hot, ["uid"]),
     ]:
@@ -112,6 +111,40 @@ def test_groups_are_reduced_before_the_shuffle(hot):
         assert re.search(r"Exchange hashpartitioning.*\n.*WindowGroupLimit .* 1, Partial", first_plan(df))
 
 
+def written_plans(monkeypatch, make):
+    """Plans of a result and of every step that is written down on the way."""
+    plans = []
+
+    def written(df):
+        plans.append(first_plan(df))
+        return session.settle(df)
+
+    for module in [m for n, m in sys.modules.items() if n.startswith("cohortloom.") and hasattr(m, "settle") and m is not session]:
+        monkeypatch.setattr(module, "settle", written)
+    last = first_plan(make())
+    return [*plans, last]
+
+
+def test_first_non_null_sorts_no_rows_for_an_aggregate(hot, monkeypatch):
+    """First rows and open cells are both found by rank, reduced in every input part."""
+    df = hot.withColumns({"s": F.when(F.col("vol") > 100, F.col("id")), "v": F.when(F.col("vol") < 50, F.col("vol"))})
+    plans = written_plans(monkeypatch, lambda: ops.first_non_null_per_group(df, ["uid"], ["ts", "id"]))
+    assert len(plans) == 3 and not any("SortAggregate" in p for p in plans)
+    assert all(re.search(r"WindowGroupLimit .* 1, Partial", p) for p in plans[:2])
+
+
+def test_hot_subject_is_ranked_by_ranges(hot, small_limits, monkeypatch):
+    wanted = sorted(map(str, ops.dense_rank_per_subject(hot.select("uid", "ts", "id"), "uid", ["ts"]).collect()))
+    plans = written_plans(monkeypatch, lambda: ops.dense_rank_per_subject(hot.select("uid", "ts", "id"), "uid", ["ts"], large=100))
+    assert any("rangepartitioning" in p for p in plans)
+    assert sorted(map(str, ops.dense_rank_per_subject(hot.select("uid", "ts", "id"), "uid", ["ts"], large=100).collect())) == wanted
+
+
+def test_ordinary_subjects_are_shuffled_once(hot):
+    text = first_plan(ops.dense_rank_per_subject(hot.select("uid", "ts", "id"), "uid", ["ts"]))
+    assert text.count("Exchange") == 1 and "Join" not in text
+
+
 # Queries with a window over everything: it runs over one row per range, never over the table.
 BOUNDED = r"__part|bucket"
 
@@ -128,16 +161,7 @@ def windows_in_one_task(text):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_single_task(spark, folder, name, monkeypatch):
     """Holds for the result and for every step that is written down on the way."""
-    plans = []
-
-    def written(df):
-        plans.append(first_plan(df))
-        return session.settle(df)
-
-    for module in [m for n, m in sys.modules.items() if n.startswith("cohortloom.") and hasattr(m, "settle") and m is not session]:
-        monkeypatch.setattr(module, "settle", written)
-    plans.append(first_plan(QUERIES[name](spark, folder)))
-    for text in plans:
+    for text in written_plans(monkeypatch, lambda: QUERIES[name](spark, folder)):
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
         assert "PythonUDF" not in text and "InPandas" not in text
         assert all(re.search(BOUNDED, w) for w in windows_in_one_task(text))

@@ -1,5 +1,7 @@
 """Reading and writing."""
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +68,40 @@ def test_gate(spark, tmp_path):
     assert not (tmp_path / "out").exists()
     check = sources.write_if(df.where("p is not null"), "k", "p", f"{tmp_path}/out")
     assert check.first()["complete"] and spark.read.parquet(f"{tmp_path}/out").count() == 1
+    with pytest.raises(sources.IncompleteError):
+        sources.write_if(df, "k", "p", f"{tmp_path}/out")
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 1
+    assert [f.name for f in tmp_path.iterdir()] == ["out"]  # nothing hidden stays
+
+
+def test_gate_writes_once_and_replaces(spark, tmp_path, monkeypatch):
+    writes = []
+    write = sources.writers.write_table
+    monkeypatch.setattr(sources.writers, "write_table", lambda df, path: (writes.append(path), write(df, path)))
+    for n in (3, 2):
+        df = spark.createDataFrame([(f"r{i}", f'a "b", {i}') for i in range(n)], "k string, p string")
+        sources.write_if(df, "k", "p", f"{tmp_path}/out.csv")
+        assert sorted(r["p"] for r in spark.read.csv(f"{tmp_path}/out.csv", header=True, escape='"').collect()) == [f'a "b", {i}' for i in range(n)]
+    assert len(writes) == 2 and all("/.out.csv-" in w for w in writes)
+
+    broken = spark.range(3).select(F.raise_error(F.lit("lost")).cast("string").alias("k"), F.lit("x").alias("p"))
+    with pytest.raises(Exception, match="lost"):
+        sources.write_if(broken, "k", "p", f"{tmp_path}/out.csv")
+    assert [f.name for f in tmp_path.iterdir()] == ["out.csv"]
+
+
+def test_tables_of_a_run_are_written_and_its_steps_deleted(spark, tmp_path):
+    from cohortloom.session import run_folder, settle
+
+    with run_folder(spark) as steps:
+        frames = {"a": settle(spark.range(5)), "b": settle(spark.range(3)).where("id > 0")}
+        local = pathlib.Path(steps.removeprefix("file:"))
+        assert local.exists()
+        paths = sources.write_all(frames, f"{tmp_path}/lists")
+        csv = sources.write_all({"c": frames["b"]}, f"{tmp_path}/lists", kind="csv")
+    assert not local.exists()
+    assert {n: spark.read.parquet(p).count() for n, p in paths.items()} == {"a": 5, "b": 2}
+    assert csv == {"c": f"{tmp_path}/lists/c.csv"} and spark.read.csv(csv["c"], header=True).count() == 2
 
 
 def test_copies_without_ids(spark, tmp_path):
