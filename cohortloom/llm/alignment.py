@@ -35,6 +35,8 @@ _BLANKS = re.compile(r"\s\s")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 # Signs of text in a chunk, and signs of new units encoded at a time.
 CHUNK_SIGNS, _CALL_SIGNS = 8 << 20, 1 << 20
+# Bits of an id in a pair, and links from which the repeated ids of a group are counted before they are paired.
+ID_BITS, _LARGE_GROUP = 20, 1 << 10
 
 
 def _byte_level() -> dict[str, int]:
@@ -65,6 +67,8 @@ class Tools:
         self.b_bytes = piece_texts(piece_path)
         self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
+        if max(len(self.a_bytes), len(self.b_bytes)) >= 1 << ID_BITS:
+            raise ValueError(f"vocabularies of {1 << ID_BITS} tokens or more are not supported")
         with open(byte_path, encoding="utf-8") as file:
             plain = _splits_at_spaces(json.load(file))
         names = map(self.model.id_to_piece, range(self.model.get_piece_size()))
@@ -78,16 +82,26 @@ class Tools:
             return _SAFE.split(text)
         return text.split(" ")
 
-    def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both of each unit with a blank before it; no ids where one of them does not give its bytes back."""
-        a = [e.ids for e in self.bpe.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
-        b = self.model.encode(units, num_threads=1)
-        for i, unit in enumerate(units):
-            raw = b" " + unit.encode()
-            if b"".join(map(self.a_bytes.__getitem__, a[i])) != raw or b"".join(map(self.b_bytes.__getitem__, b[i])) != raw:
-                a[i] = b[i] = []
-        return a, b
-
+    def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of both of all units, each with a blank before it, one after the other, and how many each unit has; none
+        where one of the two does not give the unit's bytes back."""
+        raw = [b" " + u.encode() for u in units]
+        ids = [[e.ids for e in self.bpe.encode_batch_fast([" " + u for u in units], add_special_tokens=False)], self.model.encode(units, num_threads=1)]
+        tables = [(self.a_bytes, self.a_length), (self.b_bytes, self.b_length)]
+        if not all(self._all_come_back(raw, found, *table) for found, table in zip(ids, tables)):
+            kept = [all(b"".join(map(names.__getitem__, found[i])) == x for found, (names, _) in zip(ids, tables)) for i, x in enumerate(raw)]
+            ids = [[x if ok else [] for x, ok in zip(found, kept)] for found in ids]
+        flat = [np.fromiter(chain.from_iterable(found), np.int64) for found in ids]
+        return flat[0], flat[1], *(np.fromiter(map(len, found), np.int64, len(units)) for found in ids)
+
+    @staticmethod
+    def _all_come_back(raw: list[bytes], ids: list[list[int]], names: list[bytes], length: np.ndarray) -> bool:
+        """Whether every unit has its own bytes: all of them joined, and the number of each."""
+        flat = list(chain.from_iterable(ids))
+        if b"".join(map(names.__getitem__, flat)) != b"".join(raw):
+            return False
+        upto, ends = np.concatenate([[0], np.cumsum(length[flat])]), np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        return np.array_equal(upto[ends], np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw))))
 
 @functools.lru_cache(maxsize=2)
 def tools(byte_path: str, piece_path: str) -> Tools:
@@ -114,53 +128,74 @@ def group_ends(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.n
     return group[:n], group[n:], len(last)
 
 
-def _counted(group: np.ndarray, ids: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Different ids of each group: group, id, how often, and how many there are in each group."""
-    codes, times = np.unique((group << 32) | ids, return_counts=True)
-    return codes >> 32, codes & 0xFFFFFFFF, times, np.bincount(codes >> 32, minlength=groups)
+def _different(group: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different ids of each group in order: group, id and how often."""
+    codes, times = np.unique((group << ID_BITS) | ids, return_counts=True)
+    return codes >> ID_BITS, codes & ((1 << ID_BITS) - 1), times
 
 
 class Aligned:
     """The alignment of a list of units, unit after unit."""
 
     def __init__(self, tool: Tools, units: list[str]):
-        a, b = tool.encode(units)
+        a_ids, b_ids, self.n_a, self.n_b = tool.encode(units)
         n = len(units)
-        self.n_a, self.n_b = (np.fromiter(map(len, x), np.int64, n) for x in (a, b))
-        a_ids, b_ids = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a, b))
         a_group, b_group, groups = group_ends(np.cumsum(tool.a_length[a_ids]), np.cumsum(tool.b_length[b_ids]))
         unit_of = np.zeros(groups, np.int64)
         unit_of[a_group] = np.repeat(np.arange(n), self.n_a)
         self.n_groups = np.bincount(unit_of, minlength=n)
         in_a, in_b = np.bincount(a_group, minlength=groups), np.bincount(b_group, minlength=groups)
         self.n_links = np.bincount(unit_of, in_a * in_b, minlength=n).astype(np.int64)
-        self._links(unit_of, _counted(a_group, a_ids, groups), _counted(b_group, b_ids, groups), n)
-        self.names = self._names(a_ids, b_ids, in_a, in_b)
-
-    def _links(self, unit_of: np.ndarray, a: tuple, b: tuple, n: int) -> None:
-        """Per unit its different id pairs (``codes``) with their number of links (``times``): each different A id of a
-        group with each different B id of it."""
-        group, a_id, a_times, _ = a
-        _, b_id, b_times, b_size = b
-        reach = b_size[group]
-        start = (np.cumsum(b_size) - b_size)[group] - (np.cumsum(reach) - reach)
+        self._links(unit_of, a_group, a_ids, b_group, b_ids, int((in_a * in_b).max(initial=0)))
+        self.n_codes = np.bincount(self._unit, minlength=n)
+        self.names = self._names(unit_of, a_group, a_ids, b_group, b_ids, n)
+
+    def _links(self, unit_of: np.ndarray, a_group: np.ndarray, a_ids: np.ndarray, b_group: np.ndarray, b_ids: np.ndarray, most: int) -> None:
+        """Per unit its different id pairs (``codes``) with their number of links (``times``): each A id of a group with
+        each B id of it. In a large group ids that repeat are counted first, so that a run of one sign stays small."""
+        a_times = b_times = None
+        if most > _LARGE_GROUP:
+            a_group, a_ids, a_times = _different(a_group, a_ids)
+            b_group, b_ids, b_times = _different(b_group, b_ids)
+        size = np.bincount(b_group, minlength=len(unit_of))
+        reach = size[a_group]
+        start = (np.cumsum(size) - size)[a_group] - (np.cumsum(reach) - reach)
         at = np.repeat(start, reach) + np.arange(reach.sum())
-        codes = (np.repeat(a_id, reach) << 32) | b_id[at]
-        times, unit = np.repeat(a_times, reach) * b_times[at], np.repeat(unit_of[group], reach)
-        order = np.lexsort((codes, unit))
-        codes, times, unit = codes[order], times[order], unit[order]
-        new = np.ones(len(codes), bool)
-        new[1:] = (codes[1:] != codes[:-1]) | (unit[1:] != unit[:-1])
-        first = np.flatnonzero(new)
-        self.codes, self.times = codes[first], np.add.reduceat(times, first) if len(first) else times
-        self.n_codes = np.bincount(unit[first], minlength=n)
-
-    def _names(self, a_ids: np.ndarray, b_ids: np.ndarray, in_a: np.ndarray, in_b: np.ndarray) -> list[bytes]:
-        """The groups of each unit as text."""
-        a, b = iter(map(str, a_ids.tolist())), iter(map(str, b_ids.tolist()))
-        parts = [",".join([next(a) for _ in range(x)]) + "|" + ",".join([next(b) for _ in range(y)]) for x, y in zip(in_a.tolist(), in_b.tolist())]
-        ends = np.cumsum(self.n_groups).tolist()
-        return [";".join(parts[e - k:e]).encode() for e, k in zip(ends, self.n_groups.tolist())]
+        keys = np.repeat((unit_of[a_group] << 2 * ID_BITS) | (a_ids << ID_BITS), reach) | b_ids[at]
+        if a_times is None:
+            keys, self.times = np.unique(keys, return_counts=True)
+        else:
+            keys, own = np.unique(keys, return_inverse=True)
+            self.times = np.bincount(own, np.repeat(a_times, reach) * b_times[at]).astype(np.int64)
+        self._unit, self.codes = keys >> 2 * ID_BITS, keys & ((1 << 2 * ID_BITS) - 1)
+
+    def _names(self, unit_of: np.ndarray, a_group: np.ndarray, a_ids: np.ndarray, b_group: np.ndarray, b_ids: np.ndarray, n: int) -> list[bytes]:
+        """The groups of each unit as text: every id with the sign behind it."""
+        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        ids = np.concatenate([a_ids, b_ids])[order]
+        side = np.concatenate([2 * a_group, 2 * b_group + 1])[order]
+        unit = unit_of[side >> 1]
+        behind = np.zeros(len(ids), np.int64)  # a comma
+        behind[:-1][side[1:] != side[:-1]] = 2  # a semicolon
+        behind[:-1][(side[1:] != side[:-1]) & (side[:-1] % 2 == 0)] = 1  # a bar
+        behind[:-1][unit[1:] != unit[:-1]] = 3  # nothing
+        behind[-1:] = 3
+        parts = list(map(_id_names().__getitem__, (4 * ids + behind).tolist()))
+        ends = np.cumsum(self.n_a + self.n_b).tolist()
+        return [b"".join(parts[a:b]) for a, b in zip([0, *ends], ends)]
+
+
+@functools.lru_cache(maxsize=1)
+def _id_names() -> "_Names":
+    return _Names()
+
+
+class _Names(dict):
+    """Ids as text with the sign behind them, made when first asked for; as many as the vocabularies have."""
+
+    def __missing__(self, key: int) -> bytes:
+        self[key] = name = str(key >> 2).encode() + (b",", b"|", b";", b"")[key & 3]
+        return name
 
 
 def _calls(units: list[str]) -> Iterator[list[str]]:
@@ -221,6 +256,8 @@ def _write_chunks(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame
         for chunk, rows in chunks(batches, size=CHUNK_SIGNS):
             known = Numbers()
             texts = [np.array([known[u] for u in tool.units(row["text"])] if row["text"] else [], np.int32) for row in rows]
+            doc_ids = pa.array([r["doc_id"] for r in rows], pa.int64())
+            rows.clear()
             parts = [Aligned(tool, call) for call in _calls(list(known))]
             del known
             join = lambda name: np.concatenate([getattr(p, name) for p in parts] or [np.zeros(0, np.int64)])
@@ -239,7 +276,7 @@ def _write_chunks(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame
                     out[c].append(int(whole[c][numbers].sum()))
                 out["groups_sha256"].append(hashlib.sha256(b";".join([names[i] for i in numbers.tolist()])).hexdigest() if len(numbers) else "")
                 out["numbers"].append(as_binary(numbers))
-            yield _batch(chunk, len(rows), doc_id=pa.array([r["doc_id"] for r in rows], pa.int64()), **{c: pa.array(v) for c, v in out.items()})
+            yield _batch(chunk, len(texts), doc_id=doc_ids, **{c: pa.array(v) for c, v in out.items()})
             blobs = {"n_codes": whole["n_codes"], "pairs": pairs, "times": whole["times"]}
             yield _batch(chunk, 1, **{c: pa.array([as_binary(v)], pa.binary()) for c, v in blobs.items()})
             met = np.flatnonzero(docs_of)
@@ -269,7 +306,7 @@ def align_tokens(docs: DataFrame, byte_path: str, piece_path: str, doc_id: str =
     written = _write_chunks(rows, byte_path, piece_path)
     listed = written.where("pair IS NOT NULL").select("chunk", "number", "pair", "docs")
     counts = settle(listed.groupBy("pair").agg(F.sum("docs").alias("count")))
-    a_id = F.shiftright("pair", 32)
+    a_id = F.shiftright("pair", ID_BITS)
     tops = counts.groupBy(a_id.alias("a")).agg(F.max("count").alias("top"))
     ranked = counts.withColumn("a", a_id).join(tops, "a").select("pair", "count", (F.col("count") == F.col("top")).alias("best"))
     found = listed.select("chunk", "number", "pair").join(ranked, "pair").select(F.col("chunk").alias("in_chunk"), "number", "count", "best")
