@@ -2,12 +2,14 @@
 
 import hashlib
 import math
+import pathlib
 import random
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from awkward import docs, nothing, odd  # noqa: F401
 from compare import connect, differences
 from pyspark.sql import functions as F
@@ -16,10 +18,10 @@ from cohortloom.llm import queries
 from cohortloom.llm.brown import ClassScorer, exchange, score_texts
 from cohortloom.llm.imatch import BAND, SUBSETS, Lexicon, build_lexicon, fingerprint, fingerprint_edits
 from cohortloom.llm.mixing import mix, mixed_copies, sized, source_targets
-from cohortloom.llm.quality import WIDTH, AttentionModel, fit_quality, passages, with_quality
+from cohortloom.llm.quality import WIDTH, AttentionModel, fit_quality, passages, pooled, with_quality
 from cohortloom.llm.url_filter import judge_urls
 from cohortloom.llm.words import words
-from cohortloom.session import settle
+from cohortloom.session import settle, shared_folder
 
 RULES = "host string, path string, verdict string"
 
@@ -170,6 +172,24 @@ def test_passages_do_not_depend_on_the_texts_around():
     assert bags.tolist() == [len(a) for a in alone] and np.array_equal(together, np.concatenate(alone))
 
 
+def test_scores_are_those_of_the_text_alone():
+    rng = np.random.default_rng(4)
+    model = AttentionModel.start(3)
+    texts = [bytes(rng.integers(32, 127, rng.integers(0, 6000), dtype=np.uint8)) for _ in range(80)] + [b"", b"", b"word " * 900]
+    together = model.score(*passages(texts))
+    assert together.tolist() == [model.score(*passages([t]))[0] for t in texts]
+    assert together[::-1].tolist() == model.score(*passages(texts[::-1])).tolist()
+    assert together == pytest.approx(model.forward(*passages(texts))["y"], abs=1e-5)
+
+
+def test_long_texts_are_learned_whole():
+    x = np.random.default_rng(5).random((37, WIDTH)).astype(np.float32)
+    few = pooled(x, 16)
+    assert few.shape == (16, WIDTH) and (few.max(0) <= x.max(0)).all() and np.array_equal(pooled(x, 40), x)
+    sizes = np.diff(np.arange(16) * 37 // 16, append=37)
+    assert (few * sizes[:, None]).sum(0) == pytest.approx(x.sum(0), rel=1e-4)
+
+
 def test_quality_of_held_out_texts(spark, folder):
     got = queries.QUERIES["op2_quality"](spark, folder)
     labels = spark.read.parquet(f"{folder}/labels.parquet")
@@ -248,6 +268,12 @@ def test_base_scores_and_better_model(spark, folder):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_more_classes_than_a_byte_holds(spark):
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 400}" for k in range(60))) for i in range(40)]
+    got = score_texts(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(True), classes=300, common_words=350).collect()
+    assert len(got) == 40 and all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
+
+
 def test_scores_of_awkward_rows(odd, docs, nothing):
     got = score_texts(odd, F.col("doc_id") != 9, classes=3, common_words=5).collect()
     assert len(got) == docs.count()
@@ -285,6 +311,42 @@ def test_edits_follow_the_next_lower_id(odd, docs, conf, partitions):
     assert got == expected
 
 
+def plain_mark(lexicon_terms, text):
+    """(level, {(level, subset): terms}) of a text, subset by subset."""
+    found = (text or "").encode().lower().split()
+    terms = sorted({t for t in found if t in lexicon_terms})
+    if not terms:
+        return -1, {(-1, 0): found}
+    level = len(terms).bit_length()
+    kept = {(l, s): [t for t in terms if xxhash.xxh32_intdigest(t, 1000 + s) << l < 1 << 32] for l in (level, level + 1) for s in range(24)}
+    return level, {k: ts for k, ts in kept.items() if ts}
+
+
+def plain_likeness(a, b):
+    if a == b:
+        return 1.0
+    if -1 in (a[0], b[0]):
+        return 0.0
+    shared = {a[0], a[0] + 1} & {b[0], b[0] + 1}
+    either = {k for k in a[1].keys() | b[1].keys() if k[0] in shared}
+    return sum(a[1].get(k) == b[1].get(k) for k in either) / len(either) if either else 0.0
+
+
+def test_fingerprints_against_plain_sets():
+    draw = random.Random(11)
+    terms = [f"t{i}".encode() for i in range(300)]
+    lexicon = Lexicon.of(terms)
+    texts = [" ".join(draw.choice([f"T{draw.randint(0, 299)}", "other"]) for _ in range(draw.choice([0, 1, 3, 20, 200]))) for _ in range(120)] + [None, "", "other", " other "]
+    texts += [t + " other t5" for t in texts[:30]]
+    marks, plains = [fingerprint(lexicon, t) for t in texts], [plain_mark(set(terms), t) for t in texts]
+    for (a, x), (b, y) in [(draw.choice(list(zip(marks, plains))), draw.choice(list(zip(marks, plains)))) for _ in range(4000)]:
+        assert a.likeness(b) == pytest.approx(plain_likeness(x, y)) and (str(a) == str(b)) == (x == y)
+    for mark, (level, kept) in zip(marks, plains):
+        hashes = [xxhash.xxh32_hexdigest(b" ".join(kept[l, s])) if (l, s) in kept else "" for l in (level, level + 1) for s in range(24)]
+        assert mark.level == level and (level < 0 or list(mark.hashes) == hashes)
+    assert len({m.level for m in marks}) > 3
+
+
 def test_small_edits_stay_alike_and_other_texts_do_not():
     draw = random.Random(8)
     terms = [f"t{i}".encode() for i in range(4000)]
@@ -323,7 +385,10 @@ def test_pipeline_stages(spark, folder):
     ids = [r["doc_id"] for r in docs.select("doc_id").collect()]
     assert max(Counter(ids).values()) <= 4  # three epochs and a part
     out = corpus_pipeline.STAGES[3][1](spark, docs, folder)
-    assert out.count() == len(ids) and corpus_pipeline.run(spark, folder).count() == len(ids)
+    assert out.count() == len(ids)
+    base = pathlib.Path(shared_folder(spark).removeprefix("file:")) / "cohortloom"
+    assert corpus_pipeline.run(spark, folder).count() == len(ids)
+    assert not list(base.glob("run-*"))  # the steps of the run are gone
 
 
 def test_pipeline_of_awkward_rows(spark, odd, nothing, tmp_path):

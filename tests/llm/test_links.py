@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.components import component_roots
 from cohortloom.llm.embeddings import estimate, encode, near_copies, rotation, unit
-from cohortloom.llm.simhash import _masks, fingerprint_links, keep_one_of_each, near_pairs, simhash_groups
+from cohortloom.llm.simhash import PIVOTS, _masks, fingerprint_links, keep_one_of_each, near_pairs, pivot_distances, simhash_groups, with_distances
 from cohortloom.llm.words import words
 
 SHIFTED = "doc_id long, text string"
@@ -44,8 +44,26 @@ def test_pairs_are_all_near_pairs():
     base = rng.integers(0, 2**64, 40, dtype=np.uint64)
     near = base ^ np.array([sum(1 << int(b) for b in rng.choice(64, k % 6, replace=False)) for k in range(40)], np.uint64)
     fp = np.concatenate([base, near])
-    got = set(zip(*map(np.ndarray.tolist, near_pairs(fp, fp, True, 3))))
-    assert got == {(i, j) for i in range(80) for j in range(i + 1, 80) if bin(int(fp[i] ^ fp[j])).count("1") <= 3}
+    far = pivot_distances(fp)
+    i, j, compared = near_pairs(fp, fp, far, far, True, 3)
+    got = set(zip(i.tolist(), j.tolist()))
+    assert len(got) == len(i) and got == {(i, j) for i in range(80) for j in range(i + 1, 80) if bin(int(fp[i] ^ fp[j])).count("1") <= 3}
+
+
+def test_the_distance_table_rules_almost_all_pairs_out():
+    """Of half a million pairs only near ones are compared bit by bit, and none of them is lost."""
+    rng = np.random.default_rng(8)
+    fp = rng.integers(0, 2**64, 1000, dtype=np.uint64)
+    fp = np.concatenate([fp, fp[:50] ^ np.uint64(5), fp[50:90] ^ np.uint64(1 << 40)])
+    far = pivot_distances(fp)
+    assert (far[3] == [int(fp[3] ^ p).bit_count() for p in PIVOTS]).all()
+    i, j, compared = near_pairs(fp, fp, far, far, True, 3)
+    every = len(fp) * (len(fp) - 1) // 2
+    print(f"{every - compared} of {every} pairs ruled out")
+    assert every - compared > 0.999 * every and set(zip(i.tolist(), j.tolist())) == {*((k, 1000 + k) for k in range(90))}
+    left, right = np.arange(0, len(fp), 2), np.arange(1, len(fp), 2)
+    i, j, _ = near_pairs(fp[left], fp[right], far[left], far[right], False, 3)
+    assert {(left[x], right[y]) for x, y in zip(i, j)} == {(a, b) for a in left for b in right if int(fp[a] ^ fp[b]).bit_count() <= 3}
 
 
 @pytest.mark.parametrize("block", [7, 1024])
@@ -54,7 +72,7 @@ def test_links_join_what_all_pairs_join(spark, block):
     rng = np.random.default_rng(2)
     centre = rng.integers(0, 2**63, 6)
     fp = sorted({int(c) ^ sum(1 << int(b) for b in rng.choice(20, rng.integers(0, 3), replace=False)) for c in centre for _ in range(60)})
-    prints = spark.createDataFrame([(x,) for x in fp], "fp long")
+    prints = with_distances(spark.createDataFrame([(x,) for x in fp], "fp long"))
     links = fingerprint_links(prints, 3, block=block).collect()
     at = {x: i for i, x in enumerate(fp)}
     every = [(i, j) for i in range(len(fp)) for j in range(i) if bin(fp[i] ^ fp[j]).count("1") <= 3]

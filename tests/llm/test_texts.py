@@ -45,6 +45,24 @@ def test_counts_and_ids_are_those_of_the_library(spark, library):
         assert row["n_bytes"] == len((texts[row["doc_id"]] or "").encode())
 
 
+def test_texts_without_blanks_are_cut_and_memory_is_bounded(library):
+    """Many long texts without a blank: the same ids as the library's, and nothing of them is remembered."""
+    import pyarrow as pa
+
+    from cohortloom.llm import byte_bpe
+
+    draw = random.Random(7)
+    letters = [chr(draw.randint(0x4E00, 0x9FFF)) for _ in range(400)] + list("abcdefghij") * 10
+    texts = ["".join(draw.choice(letters) for _ in range(20_000)) for _ in range(60)] + ["a" * 20_000, "-" * 9000, "x1" * 4000, "don't" * 3000, "é" * 9000]
+    texts += [f"word {t} and {t[:5000]} more" for t in texts[:3]]
+    got = [ids for part in byte_bpe.encode_texts(BYTES, pa.array(texts)) for ids in part.to_pylist()]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(byte_bpe._library(BYTES).parts(texts[0])) > 5
+    coder = byte_bpe.PieceCoder(BYTES, True)
+    for _ in coder.batches(pa.array(texts * 5)):
+        assert coder.signs <= byte_bpe.MEMORY_SIGNS + 4 * byte_bpe.STEP_BYTES
+
+
 def test_counts_of_a_sentencepiece_model(spark):
     model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     texts = noise(50, 3)
@@ -118,6 +136,27 @@ def test_best_segmentations_are_the_best_of_all(unit):
     assert b"".join(tree.texts[i] for i in ids[1]).decode() == unit.replace("▁", " ")
 
 
+@pytest.mark.parametrize("unit", ["▁--------", "-" * 11, "▁aaaaaaa", "▁......", "=" * 9, "▁漢漢漢", "▁the----the", "▁abababab"])
+def test_ties_are_all_found(unit):
+    """Runs of equal signs have many paths of one sum."""
+    tree = lattice(MODEL)
+    every = all_paths(tree, unit)
+    for n in (1, 2, 3, 7):
+        found = tree.n_best(unit, n)
+        assert [s for s, _ in found] == every[:n] and len({tuple(ids) for _, ids in found}) == len(found)
+
+
+@pytest.mark.parametrize("sign", ["-", "a", "漢", "=", "é"])
+def test_long_runs_of_one_sign_take_seconds(spark, sign):
+    import time
+
+    df = spark.createDataFrame([(1, sign * 100_000)], "doc_id long, text string")
+    start = time.time()
+    row = with_pieces(df, MODEL).withColumn("again", decode_ids(MODEL, F.col("ids"))).first()
+    assert row["again"] == sign * 100_000 and len(row["others"]) == (0 if sign == "漢" else 2)  # 漢 has one way
+    assert time.time() - start < 60
+
+
 def test_best_of_whole_texts(spark):
     """Two units at a time are few enough to try all paths of the whole text."""
     tree = lattice(MODEL)
