@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from cohortloom import fixed_values as fixed, functions as fn, operators as ops
+from cohortloom import fixed_values as fixed, functions as fn, operators as ops, sources
+from cohortloom.session import run_folder, settle
 
 SUBJECT, TIME, CENSORED = "unique_study_id", "StudyDate_Time_format", "second_scan_post_surgery_trauma"
 VOLUMES = {c: f"{c}_predicted_volume_ml" for c in ["iph", "eah", "ivh"]}
@@ -107,3 +108,12 @@ def split_sets(
         for kind, cols in [("X", features), ("y", labels)]
         for part in ["train", "test"]
     }
+
+
+def write_split_sets(model: DataFrame, folder: str, kind: str = "parquet", **options) -> dict[str, str]:
+    """Write the four sets of the first scans into ``folder``, each as it is and without the subject (``_no_id``), and
+    give the paths. ``options``: see ``split_sets``. The steps on the way are deleted at the end."""
+    with run_folder(model.sparkSession):
+        sets = split_sets(settle(first_scans(model)), **options)
+        bare = {f"{name}_no_id": sources.deidentify(rows, [SUBJECT]) for name, rows in sets.items()}
+        return sources.write_all(sets | bare, folder, kind)

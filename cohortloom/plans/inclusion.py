@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortloom import fixed_values as fixed, functions as fn, operators as ops
-from cohortloom.session import settle
+from cohortloom import fixed_values as fixed, functions as fn, operators as ops, sources
+from cohortloom.session import run_folder, settle
 
 SUBJECT = "unique_study_id"
 IPH, EAH, IVH = (f"{c}_predicted_volume_ml" for c in ["iph", "eah", "ivh"])
@@ -128,3 +128,15 @@ def inclusion_lists(
     lists = {name: in_list(listed, name) for name in _row_lists(plain_or) if name not in TAILS}
     tails = listed.select(F.explode(F.array_intersect("lists", F.array(*map(F.lit, TAILS)))).alias("tail"), *[c for c in TAIL_COLUMNS if c in listed.columns])
     return lists | {"sample": review_sample(listed), "tails": tails, "no_hemorrhage": no_hemorrhage(listed)}
+
+
+def write_inclusion_lists(
+    scans: DataFrame, review: DataFrame, reports: DataFrame, excluded: DataFrame, folder: str, plain_or: bool = False, kind: str = "parquet"
+) -> dict[str, str]:
+    """Write every review list into ``folder`` under its own name and give the paths; ``kind``: parquet or csv.
+
+    The steps on the way are deleted at the end.
+    """
+    with run_folder(scans.sparkSession):
+        lists = inclusion_lists(scans, review, reports, excluded, plain_or)
+        return sources.write_all(lists, folder, kind)

@@ -459,6 +459,42 @@ def pipe_inclusion_lists(t: Tables) -> DataFrame:
     return plans.all_lists(plans.listed_scans(*review_tables(t)), ["unique_study_id", "id"])
 
 
+_COUNTED = [
+    "included", "cases", "five_ml", "five_ml_change", "case_five_ml", "case_five_ml_change", "unreviewed", "excluded_subjects",
+    "accepted_subjects", "no_quality_error", "case_iph_change", "case_eah_change",
+]
+_LIST_RULES = [
+    "true", "flag IN (1, 999)", "(iph >= 5 OR (eah >= 5 AND flag IN (1, 999)))",
+    "(iph >= 5 OR (eah >= 5 AND flag IN (1, 999))) AND (d_iph >= 8 OR d_eah >= 9)", "flag IN (1, 999) AND (iph >= 5 OR eah >= 5)",
+    "flag IN (1, 999) AND (iph >= 5 OR eah >= 5) AND (d_iph >= 8 OR d_eah >= 9)", "exclude IS NULL", "exclude = 1", "exclude = 0", "qc = 0",
+    "flag IN (1, 999) AND (iph >= 5 OR eah >= 5) AND d_iph >= 8", "flag IN (1, 999) AND (iph >= 5 OR eah >= 5) AND d_eah >= 9",
+]
+
+
+@query(f"""
+WITH {_REVIEWED},
+five AS (SELECT count(*) AS n FROM r WHERE iph >= 5 OR (eah >= 5 AND flag IN (1, 999)))
+""" + " UNION ALL ".join(
+    f"SELECT '{name}' AS list, count(*) AS rows, count(DISTINCT uid) AS subjects FROM {'a' if name.endswith('_subjects') else 'r'} WHERE {rule}"
+    for name, rule in zip(_COUNTED, _LIST_RULES)
+) + """
+UNION ALL SELECT 'tails', sum(n)::BIGINT, count(DISTINCT uid) FROM (SELECT uid,
+  coalesce((d_iph >= 10)::INT, 0) + coalesce((d_eah >= 10)::INT, 0) + coalesce((iph >= 10)::INT, 0) + coalesce((eah >= 10)::INT, 0)
+  + coalesce((d_iph <= -10)::INT, 0) + coalesce((d_eah <= -10)::INT, 0) AS n FROM r) WHERE n > 0
+UNION ALL SELECT 'sample', count(*), count(DISTINCT uid) FROM (SELECT uid FROM r WHERE iph >= 5 OR (eah >= 5 AND flag IN (1, 999)) ORDER BY md5('1148:' || id), id LIMIT 20)
+UNION ALL SELECT 'no_hemorrhage', count(*), count(DISTINCT uid) FROM (
+  SELECT uid FROM r GROUP BY uid HAVING coalesce(max(iph), 0) + coalesce(max(eah), 0) + coalesce(max(ivh), 0) = 0)
+""")
+def pipe_written_lists(t: Tables) -> DataFrame:
+    """Rows and subjects of each review list as written to its own folder."""
+    paths = plans.write_inclusion_lists(*review_tables(t), scratch_path(t.spark, "lists"))
+    sizes = [
+        t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("unique_study_id").alias("subjects")).withColumn("list", F.lit(name))
+        for name, path in paths.items()
+    ]
+    return ops.union_all(*sizes)
+
+
 _STEPS = ["true", "coalesce(exclude, 0) <> 1", "NOT listed", "flag IN (1, 999)", "(iph >= 5 OR eah >= 5)", "(d_iph >= 8 OR d_eah >= 9)"]
 _STEP_NAMES = ["reported", "subject kept", "scan kept", "likely case", "enough volume", "grown"]
 
@@ -613,13 +649,12 @@ m AS (SELECT *, CASE WHEN rn <= ceil(n * 0.3) THEN 'test' ELSE 'train' END AS sp
 {_SET_SQL}
 """)
 def pipe_training_sets(t: Tables) -> DataFrame:
-    """Features and labels of both sets, with and without the id."""
+    """Features and labels of both sets, with and without the id, written and read again."""
     cohort = settle(plans.cohort_scans(history(t), sheet(t), excluded(t)))
-    first = settle(plans.first_scans(plans.model_table(cohort, [60, 80, 100])))
     both = ["unique_study_id", "second_scan_post_surgery_trauma"]
     volumes, outcomes = ["iph_predicted_volume_ml", "eah_predicted_volume_ml"], ["outcome_60ml", "outcome_80ml"]
-    out = []
-    for name, rows in plans.split_sets(first, features=both + volumes, labels=both + outcomes).items():
-        out.append(rows.withColumn("part", F.lit(name)))
-        out.append(sources.deidentify(rows, ["unique_study_id"]).withColumn("part", F.lit(f"{name}_no_id")))
-    return ops.union_all(*out).select("part", *both, *volumes, *outcomes)
+    paths = plans.write_split_sets(
+        plans.model_table(cohort, [60, 80, 100]), scratch_path(t.spark, "sets"), features=both + volumes, labels=both + outcomes
+    )
+    sets = [t.spark.read.parquet(path).withColumn("part", F.lit(name)) for name, path in paths.items()]
+    return ops.union_all(*sets).select("part", *both, *volumes, *outcomes)
