@@ -97,11 +97,18 @@ class Lattice:
         return out
 
     def n_best(self, unit: str, n: int) -> list[tuple[float, list[int]]]:
-        """(score, ids) of the n best paths, best first; of equal ones that with the longer last pieces first."""
-        forward, out = self.best_sums(unit), []
-        heap, count = [(-forward[-1], 0, len(unit), 0.0, None)], 0
+        """(score, ids) of the n best paths, best first; of equal ones that with the longer last pieces first.
+
+        Of equal sums the one nearest to the start goes on first, so equal paths are finished one after the other. A
+        place is gone through n times at most: each of the n best paths ends, from there on, in one of the n best ends.
+        """
+        forward, out, arrivals = self.best_sums(unit), [], [0] * (len(unit) + 1)
+        heap, count = [(-forward[-1], len(unit), 0, 0.0, None)], 0
         while heap and len(out) < n:
-            bound, _, place, behind, path = heapq.heappop(heap)
+            bound, place, _, behind, path = heapq.heappop(heap)
+            if arrivals[place] == n:
+                continue
+            arrivals[place] += 1
             if not place:
                 cuts = [0]
                 while path:
@@ -111,7 +118,7 @@ class Lattice:
                 continue
             for start, score in self.edges_to(unit, place):
                 count += 1
-                heapq.heappush(heap, (-(forward[start] + score + behind), count, start, behind + score, (place, path)))
+                heapq.heappush(heap, (-(forward[start] + score + behind), start, count, behind + score, (place, path)))
         return out
 
     def search_many(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
