@@ -261,6 +261,7 @@ def score_texts(
     vocabulary = settle(counts.join(known, "word"))
 
     end, unknown = classes + 1, classes + 2
+    kind = np.min_scalar_type(unknown)  # a byte per word up to 253 classes, two beyond
     by_class = {r["class"]: (r["n"], r["once"]) for r in vocabulary.groupBy("class").agg(F.sum("n").alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once")).collect()}
     size = np.array([float(by_class.get(c, (0, 0))[0]) for c in range(unknown)])
     once = np.array([float(by_class.get(c, (0, 0))[1]) for c in range(unknown)])
@@ -273,7 +274,7 @@ def score_texts(
         top = int(numbers.max()) + 1 if len(numbers) else 0
         data = [from_binary(x) for x in texts["numbers"].to_pylist()]
         top = max([top, *(int(d.max()) + 1 for d in data if len(d))])
-        n, cls = np.zeros(top, np.int64), np.full(top, unknown, np.uint8)
+        n, cls = np.zeros(top, np.int64), np.full(top, unknown, kind)
         n[numbers], cls[numbers] = found["n"].to_numpy(), found["class"].to_numpy()
         plus, alone = np.log10(n + 1.0), np.log10(np.maximum(n, 1))
         return pa.table({
@@ -282,7 +283,7 @@ def score_texts(
             "n_known": pa.array([int(np.count_nonzero(n[d])) + (n_texts > 0) for d in data], pa.int64()),
             "plus": pa.array([float(plus[d].sum()) + math.log10(n_texts + 1) for d in data], pa.float64()),
             "alone": pa.array([float(alone[d].sum()) + math.log10(max(n_texts, 1)) for d in data], pa.float64()),
-            "sequence": pa.array([cls[d].tobytes() + bytes([end]) for d in data], pa.binary()),
+            "sequence": pa.array([np.append(cls[d], end).astype(kind).tobytes() for d in data], pa.binary()),
         })
 
     texts = written.where("word IS NULL").select("chunk", "doc_id", "learn", "numbers")
@@ -292,7 +293,7 @@ def score_texts(
     def count_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(unknown * unknown, np.int64)
         for batch in batches:
-            stream = np.frombuffer(bytes([end]) + b"".join(batch.column("sequence").to_pylist()), np.uint8).astype(np.int64)
+            stream = np.frombuffer(np.array(end, kind).tobytes() + b"".join(batch.column("sequence").to_pylist()), kind).astype(np.int64)
             sums += np.bincount(stream[:-1] * unknown + stream[1:], minlength=unknown * unknown)
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["code", "times"])
@@ -306,7 +307,7 @@ def score_texts(
     @arrow_udf("double")
     def class_score(sequences: pa.Array, alone: pa.Array) -> pa.Array:
         pairs_of = zip(sequences.to_pylist(), alone.to_pylist())
-        return pa.array([scorer.score(np.frombuffer(s, np.uint8), a) for s, a in pairs_of], pa.float64())
+        return pa.array([scorer.score(np.frombuffer(s, kind), a) for s, a in pairs_of], pa.float64())
 
     spread = math.log10(train_tokens + types + 1)
     score = class_score("sequence", "alone") if n_texts else F.lit(0.0)
