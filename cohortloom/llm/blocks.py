@@ -36,7 +36,9 @@ def blocked_groups(
     if attach is not None:
         units = units.join(attach, item)
     unit = [*keys, "left", "right"]
-    return units.repartition(*unit).sortWithinPartitions(*unit)
+    # With a number Spark leaves the parts as they are: few bytes of a unit may mean a lot of comparing.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return units.repartition(parts, *unit).sortWithinPartitions(*unit)
 
 
 def each_group(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.RecordBatch]:

@@ -67,40 +67,83 @@ def _masks(max_bits: int) -> list[int]:
     return [sum(chosen) for chosen in itertools.combinations(bits, max(1, len(bits) - max_bits))]
 
 
-def near_pairs(a: np.ndarray, b: np.ndarray, same: bool, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of pairs at most ``max_bits`` apart. ``same``: a and b are one list, each pair is given once.
+def pivot_distances(fp: np.ndarray) -> np.ndarray:
+    """Differing bits to each reference fingerprint, one row per fingerprint."""
+    return np.bitwise_count(fp[:, None] ^ PIVOTS).astype(np.int8)
 
-    Distances to the reference fingerprints come first: two fingerprints cannot be nearer than the largest
-    difference of their distances to any reference. Only pairs that pass all of them are compared bit by bit.
+
+def with_distances(prints: DataFrame) -> DataFrame:
+    """The pivot distance table: ``prints`` with ``far``, the distances of ``fp`` to all references, a byte each."""
+
+    @arrow_udf("binary")
+    def far(fp: pa.Array) -> pa.Array:
+        table = pivot_distances(fp.to_numpy(zero_copy_only=False).view(np.uint64))
+        return pa.array([row.tobytes() for row in table], pa.binary())
+
+    return prints.withColumn("far", far("fp"))
+
+
+def near_pairs(
+    a: np.ndarray, b: np.ndarray, far_a: np.ndarray, far_b: np.ndarray, same: bool, max_bits: int
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """Places of pairs at most ``max_bits`` apart, and how many pairs were compared bit by bit. ``same``: a and b are one
+    list, each pair is given once.
+
+    Two fingerprints cannot be nearer than the largest difference of their distances to any reference. Both lists are
+    put in order of the distance to the first, so that only pairs near in it are formed; these are ruled out by the
+    other references, and what is left is compared.
     """
-    far_a = np.bitwise_count(a[:, None] ^ PIVOTS).astype(np.int8)
-    far_b = np.bitwise_count(b[:, None] ^ PIVOTS).astype(np.int8)
-    close = np.abs(far_a[:, None, 0] - far_b[None, :, 0]) <= max_bits
-    i, j = np.nonzero(np.triu(close, 1) if same else close)
-    for k in range(1, len(PIVOTS), 8):
-        keep = np.abs(far_a[i, k:k + 8] - far_b[j, k:k + 8]).max(axis=1, initial=0) <= max_bits
-        i, j = i[keep], j[keep]
-    keep = np.bitwise_count(a[i] ^ b[j]) <= max_bits
-    return i[keep], j[keep]
+    order_a, order_b = np.argsort(far_a[:, 0], kind="stable"), np.argsort(far_b[:, 0], kind="stable")
+    first_a, first_b = far_a[order_a, 0].astype(np.int64), far_b[order_b, 0].astype(np.int64)
+    low = np.arange(len(a)) + 1 if same else np.searchsorted(first_b, first_a - max_bits)
+    high = np.searchsorted(first_b, first_a + max_bits, side="right")
+    found, compared = [(np.empty(0, np.int64), np.empty(0, np.int64))], 0
+    upto = np.cumsum(high - low)
+    for start, end in _slices(upto):
+        reach = (high - low)[start:end]
+        i = np.repeat(np.arange(start, end), reach)
+        j = np.arange(reach.sum()) - np.repeat(np.cumsum(reach) - reach, reach) + np.repeat(low[start:end], reach)
+        i, j = order_a[i], order_b[j]
+        for k in range(1, len(PIVOTS), 8):
+            keep = np.abs(far_a[i, k:k + 8] - far_b[j, k:k + 8]).max(axis=1, initial=0) <= max_bits
+            i, j = i[keep], j[keep]
+        compared += len(i)
+        keep = np.bitwise_count(a[i] ^ b[j]) <= max_bits
+        found.append((i[keep], j[keep]))
+    i, j = (np.concatenate(x) for x in zip(*found))
+    return (np.minimum(i, j), np.maximum(i, j), compared) if same else (i, j, compared)
+
+
+def _slices(upto: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Rows in a row that form about ``most`` pairs together."""
+    start = 0
+    while start < len(upto):
+        done = upto[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(upto, done + most, side="right")))
+        yield start, end
+        start = end
 
 
 def fingerprint_links(prints: DataFrame, max_bits: int, block: int = 1024) -> DataFrame:
-    """``a, b``: links between different fingerprints (column ``fp``), enough of them to join all that are linked.
+    """``a, b``: links between different fingerprints (columns ``fp, far``), enough of them to join all that are linked.
 
-    Each block of a group gives the links that connect it, not all its pairs, so the result grows with the rows.
+    Fingerprints meet under masks; where they meet, the distance table rules pairs out. Each block of a group gives the
+    links that connect it, not all its pairs, so the result grows with the rows. A group of n fingerprints that agree
+    under one mask is written out ceil(n / block) times, so the work on it grows with its square.
     """
     masks = _masks(max_bits)
     keys = F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("under")) for i, m in enumerate(masks)])
     rows = prints.select("fp", F.explode(keys).alias("key")).select("key.mask", "key.under", "fp")
-    grouped = blocked_groups(rows, ["mask", "under"], "fp", block)
+    grouped = blocked_groups(rows, ["mask", "under"], "fp", block, prints.select("fp", "far"))
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in each_group(batches, ["mask", "under", "left", "right"]):
             fp = group["fp"].to_numpy().view(np.uint64)
+            far = np.frombuffer(b"".join(group["far"].to_pylist()), np.int8).reshape(len(fp), -1)
             side = group["side"].to_numpy()
             same = group["left"][0] == group["right"][0]
             a, b = (np.arange(len(fp)),) * 2 if same else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
-            i, j = near_pairs(fp[a], fp[b], same, max_bits)
+            i, j, _ = near_pairs(fp[a], fp[b], far[a], far[b], same, max_bits)
             u, v = star_edges(len(fp), a[i], b[j])
             yield pa.RecordBatch.from_arrays([pa.array(fp[u].view(np.int64)), pa.array(fp[v].view(np.int64))], ["a", "b"])
 
@@ -114,8 +157,9 @@ def _signed(value: int) -> int:
 def _groups(rows: DataFrame, max_bits: int) -> DataFrame:
     """``fp, root, label``: each fingerprint of ``doc_id, fp`` rows with a fingerprint that names its group, and the
     smallest id of the group."""
-    prints = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("label")))
+    prints = settle(with_distances(rows.groupBy("fp").agg(F.min("doc_id").alias("label"))))
     links = settle(fingerprint_links(prints, max_bits).distinct())
+    prints = prints.drop("far")
     roots = component_roots(links).withColumnRenamed("node", "fp")
     grouped = join_ns(prints, roots, ["fp"], "left").withColumn("root", F.coalesce("root", "fp"))
     grouped = settle(grouped)
