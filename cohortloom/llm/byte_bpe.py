@@ -18,8 +18,11 @@ from pyspark.sql.functions import arrow_udf
 
 from cohortloom.functions.exprs import quoted
 
-# Signs of new text handed to the library at a time, and pieces remembered before the memory is emptied.
-CALL_BYTES, MEMORY_PIECES = 1 << 20, 1_000_000
+# Bytes of text handled at a time, pieces in one call of the library, and what is remembered before the memory is
+# emptied: pieces, their signs and their ids.
+STEP_BYTES, CALL_PIECES, MEMORY_PIECES, MEMORY_SIGNS = 2 << 20, 256, 1_000_000, 16 << 20
+# Signs from which a piece is cut further, where no token of the vocabulary can reach over the cut.
+LONG_PIECE = 1 << 12
 _RUN = re.compile(r"\s\s")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -46,27 +49,96 @@ def _splits_at_spaces(config: dict) -> bool:
     return bool(plain and calm and not config.get("normalizer"))
 
 
-@functools.lru_cache(maxsize=4)
-def _library(path: str):
-    """(ids of a list of strings, whether texts may be cut at spaces), loaded once per worker."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
-    if path.endswith(".model"):
-        import sentencepiece
-
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda texts: model.encode(texts, num_threads=1), False
-    from tokenizers import Tokenizer
+class Library:
+    """A vocabulary file and its library, with what may be cut and joined without changing a token."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
+        if path.endswith(".model"):
+            import sentencepiece
+
+            model = sentencepiece.SentencePieceProcessor(model_file=path)
+            self.ids, self.cuts = (lambda texts: model.encode(texts, num_threads=1)), False
+            return
+        from tokenizers import Tokenizer
+
+        model = Tokenizer.from_file(path)
+        model.no_truncation()
+        model.no_padding()
+        self.ids = lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+        with open(path, encoding="utf-8") as file:
+            config = json.load(file)
+        self.cuts = _splits_at_spaces(config)
+        if self.cuts:
+            self._measure(model, {t["content"] for t in config.get("added_tokens") or []})
+
+    def _measure(self, model, added: set[str]) -> None:
+        """Bytes of each token, and which pairs of bytes stand side by side in one. In a byte-level vocabulary every
+        sign of a token is one byte."""
+        vocabulary = model.get_vocab()
+        self.length = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+        self.beside = np.zeros((256, 256), bool)
+        for token, i in vocabulary.items():
+            raw = list(token.encode()) if token in added else [byte[c] for c in token]
+            self.length[i] = len(raw)
+            self.beside[raw[:-1], raw[1:]] = True
+
+    def parts(self, piece: str) -> list[str]:
+        """A long piece cut between letters whose bytes no token has side by side. Letters stay together when texts are
+        split, and merging, which builds tokens of the vocabulary only, cannot reach over such a place."""
+        if len(piece) < LONG_PIECE:
+            return [piece]
+        cuts, last = [0], 0
+        ends = [(c.encode()[-1], c.encode()[0]) for c in piece]
+        for i in range(1, len(piece)):
+            if i - last >= LONG_PIECE // 4 and not self.beside[ends[i - 1][0], ends[i][1]] and piece[i - 1].isalpha() and piece[i].isalpha():
+                cuts.append(i)
+                last = i
+        return [piece[a:b] for a, b in zip(cuts, [*cuts[1:], len(piece)])]
+
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces one after the other, and how many each has.
+
+        Pieces that begin with a space before a visible sign and end in one are joined for a call: the library cuts
+        there anyway, and the bytes of its tokens tell where each piece ends.
+        """
+        joined, lone = [], []
+        for i, piece in enumerate(pieces):
+            (joined if self.cuts and piece[:1] == " " and piece[1:] and piece.strip() == piece[1:] else lone).append(i)
+        counts, found = np.zeros(len(pieces), np.int64), {}
+        calls = [joined[a:a + CALL_PIECES] for a in range(0, len(joined), CALL_PIECES)]
+        for call, ids in zip(calls, self.ids(["".join([pieces[i] for i in call]) for call in calls])):
+            ids = np.array(ids, np.int32)
+            ends = np.cumsum([len(pieces[i].encode()) for i in call])
+            upto = np.cumsum(self.length[ids])
+            place = np.searchsorted(upto, ends)
+            if upto[-1] != ends[-1] or not np.array_equal(upto[place], ends):
+                lone += call  # a token over the end of a piece; the library has the last word
+                continue
+            sizes = np.diff(place + 1, prepend=0)
+            counts[call] = sizes
+            found[call[0]] = call, ids, sizes
+        lone.sort()
+        for a in range(0, len(lone), CALL_PIECES):
+            call = lone[a:a + CALL_PIECES]
+            for i, ids in zip(call, self.ids([pieces[i] for i in call])):
+                counts[i] = len(ids)
+                found[i] = [i], np.array(ids, np.int32), None
+        flat, starts = np.zeros(counts.sum(), np.int32), np.cumsum(counts) - counts
+        for call, ids, sizes in found.values():
+            if sizes is None:
+                flat[starts[call[0]]:starts[call[0]] + len(ids)] = ids
+            else:
+                flat[np.repeat(starts[call] - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(ids))] = ids
+        return flat, counts
 
-    model = Tokenizer.from_file(path)
-    model.no_truncation()
-    model.no_padding()
-    with open(path, encoding="utf-8") as file:
-        cuts = _splits_at_spaces(json.load(file))
 
-    def ids(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
-
-    return ids, cuts
+@functools.lru_cache(maxsize=4)
+def _library(path: str) -> Library:
+    """Loaded once per worker."""
+    return Library(path)
 
 
 def pieces(text: str) -> list[str]:
@@ -80,17 +152,17 @@ def pieces(text: str) -> list[str]:
 class PieceCoder:
     """Encode texts piece by piece; each different piece goes through the library once, until it is forgotten.
 
-    Memory is bounded by ``MEMORY_PIECES`` different pieces, ``CALL_BYTES`` of new text and the largest single text. A
-    worker keeps what it knows from task to task (``_coder``).
+    Memory is bounded by ``MEMORY_PIECES`` different pieces, ``MEMORY_SIGNS`` of their signs and ids, ``STEP_BYTES`` of
+    new text and the largest single text. A worker keeps what it knows from task to task (``_coder``).
     """
 
     def __init__(self, path: str, with_ids: bool):
-        self.ids, self.cuts = _library(path)
-        self.with_ids = with_ids
+        self.library, self.with_ids = _library(path), with_ids
         self._clear()
 
     def _clear(self) -> None:
         self.new: list[str] = []
+        self.signs = 0
         self.lengths = self.starts = np.empty(0, np.int64)
         self.flat = np.empty(0, np.int32)
         self.first, self.later = _Index(self, ""), _Index(self, " ")
@@ -98,38 +170,40 @@ class PieceCoder:
     def _numbers(self, text: str | None) -> list[int]:
         if not text:
             return []
-        first, *rest = pieces(text) if self.cuts else [text]
-        return [self.first[first], *map(self.later.__getitem__, rest)]
+        if not self.library.cuts:
+            return [self.first[text]]
+        first, *rest = pieces(text)
+        if max(len(first), max(map(len, rest), default=0)) < LONG_PIECE:
+            return [self.first[first], *map(self.later.__getitem__, rest)]
+        # The first part of a long piece follows a space if the piece does, the others follow a letter.
+        out = []
+        for index, piece in zip(itertools.chain([self.first], itertools.repeat(self.later)), [first, *rest]):
+            head, *tail = self.library.parts(piece)
+            out += [index[head], *map(self.first.__getitem__, tail)]
+        return out
 
     def _learn(self) -> None:
-        lengths, flat, batch, size = [self.lengths], [self.flat], [], 0
-        for i, piece in enumerate(self.new):
-            batch.append(piece)
-            size += len(piece)
-            if size >= CALL_BYTES or i == len(self.new) - 1:
-                found = self.ids(batch)
-                lengths.append(np.array([len(ids) for ids in found], np.int64))
-                if self.with_ids:
-                    flat.append(np.fromiter(itertools.chain.from_iterable(found), np.int32))
-                batch, size = [], 0
-        self.lengths, self.flat, self.new = np.concatenate(lengths), np.concatenate(flat), []
-        self.starts = np.cumsum(self.lengths) - self.lengths
+        flat, lengths = self.library.encode(self.new)
+        self.signs += sum(map(len, self.new)) + len(flat)
+        self.lengths = np.concatenate([self.lengths, lengths])
+        if self.with_ids:
+            self.flat = np.concatenate([self.flat, flat])
+        self.starts, self.new = np.cumsum(self.lengths) - self.lengths, []
 
     def batches(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(piece numbers of some texts one after the other, how many of each text), about 4 ``CALL_BYTES`` of text at
-        a time; the lengths and ids of these pieces are known then."""
-        numbers, sizes, signs = [], [], 0
-        for at, text in enumerate(texts):
-            text = text.as_py()
+        """(piece numbers of some texts one after the other, how many of each text), about ``STEP_BYTES`` of text at a
+        time; the lengths and ids of these pieces are known then."""
+        upto = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0)).astype(np.int64))
+        numbers, sizes, done = [], [], 0
+        for at, text in enumerate(texts.to_pylist()):
             found = self._numbers(text)
             numbers += found
             sizes.append(len(found))
-            signs += len(text or "")
-            if signs >= 4 * CALL_BYTES or at == len(texts) - 1:
+            if upto[at] - done >= STEP_BYTES or at == len(texts) - 1:
                 self._learn()
                 yield np.array(numbers, np.int64), np.array(sizes, np.int64)
-                numbers, sizes, signs = [], [], 0
-                if len(self.lengths) > MEMORY_PIECES:
+                numbers, sizes, done = [], [], upto[at]
+                if not self.library.cuts or self.signs > MEMORY_SIGNS or len(self.lengths) > MEMORY_PIECES:
                     self._clear()
 
 
