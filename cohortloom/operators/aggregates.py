@@ -93,11 +93,12 @@ def first_non_null_per_group(df: DataFrame, keys: Sequence[str], order: Sequence
     keeps the first row per key, and the first offer per cell, in every input part before it shuffles them.
     """
     rows, values = keyed(df, keys), [f for f in df.schema.fields if f.name not in keys]
-    first = settle(_lowest(rows, keys, order))
+    # Groups are numbered as they are written, so that the second look goes by numbers.
+    first = settle(_lowest(rows, keys, order).withColumn("__group", F.monotonically_increasing_id()))
     nulls = first.agg(*[F.count_if(quoted(f.name).isNull()).alias(str(i)) for i, f in enumerate(values)]).first()
     empty = [(i, f) for i, f in enumerate(values) if nulls[str(i)] and f.dataType.typeName() != "void"]
     if not empty:
-        return first
+        return first.drop("__group")
     # A cell has a place for each type, so that cells of all columns are rows of one table.
     types = {f.dataType.simpleString(): f.dataType for _, f in empty}
     places = {kind: f"t{k}" for k, kind in enumerate(types)}
@@ -108,17 +109,14 @@ def first_non_null_per_group(df: DataFrame, keys: Sequence[str], order: Sequence
         return F.struct(F.lit(i).alias("i"), *value)
 
     gaps = F.array_compact(F.array(*[F.when(quoted(f.name).isNull(), F.lit(i)) for i, f in empty]))
-    wanted = first.select(*[quoted(k).alias(f"__key{n}") for n, k in enumerate(keys)], gaps.alias("__gaps")).where(F.size("__gaps") > 0)
+    wanted = first.select(*[quoted(k).alias(f"__key{n}") for n, k in enumerate(keys)], F.col("__group"), gaps.alias("__gaps")).where(F.size("__gaps") > 0)
     same = all_of([quoted(k) == F.col(f"__key{n}") for n, k in enumerate(keys)])
     offers = F.array_compact(F.array(*[F.when(F.array_contains("__gaps", F.lit(i)) & quoted(f.name).isNotNull(), cell(i, f)) for i, f in empty]))
-    offered = rows.join(wanted, same).select(
-        *[F.col(f"__key{n}") for n in range(len(keys))], order_key(*map(quoted, order)).alias("__order"), F.explode(offers).alias("__cell")
-    )
-    names = [f"__key{n}" for n in range(len(keys))]
-    taken = _lowest(offered.withColumn("__i", F.col("__cell.i")), [*names, "__i"], ["__order"])
+    steps = {f"__order{n}": quoted(o) for n, o in enumerate(order)}
+    offered = rows.join(wanted, same).select("__group", *[c.alias(n) for n, c in steps.items()], F.explode(offers).alias("__cell"))
+    taken = _lowest(offered.withColumn("__i", F.col("__cell.i")), ["__group", "__i"], list(steps))
     cells = F.map_from_entries(F.collect_list(F.struct("__i", "__cell"))).alias("__cells")
-    found = settle(taken.groupBy(*names).agg(cells))
-    filled = first.join(found, same, "left")
+    filled = first.join(settle(taken.groupBy("__group").agg(cells)), "__group", "left")
     for i, f in empty:
         given = F.try_element_at(F.col("__cells"), F.lit(i))[places[f.dataType.simpleString()]]
         filled = filled.withColumn(f.name, F.coalesce(quoted(f.name), given))
