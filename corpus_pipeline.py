@@ -15,7 +15,7 @@ from cohortloom.llm.pieces import with_pieces
 from cohortloom.llm.quality import fit_quality, with_quality
 from cohortloom.llm.simhash import keep_one_of_each
 from cohortloom.llm.words import doc_remainder
-from cohortloom.session import scratch_path
+from cohortloom.session import run_folder, scratch_path, settle
 
 
 def _aside(docs: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
@@ -41,7 +41,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out so that the sources have their target weights, at most three epochs of each."""
     rows, own = _aside(docs, ["size", "source_size", "target", "taken"])
-    mixed = mixed_copies(mix(sized(rows), weights=(5, 2, 1), max_epochs=3), length="n_chars")
+    # Written down with their sizes: the mix goes over the sizes twice, and counting words is most of its work.
+    mixed = mixed_copies(mix(settle(sized(rows)), weights=(5, 2, 1), max_epochs=3), length="n_chars")
     return mixed.drop("size", "source_size", "target", "taken").withColumnsRenamed(own).select(*docs.columns)
 
 
@@ -58,10 +59,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
+    """All stages over ``documents``, each written to the shared folder and read again.
+
+    The stages and the steps they write down are deleted at the end; only the last stage's table stays.
+    """
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for name, stage in STAGES:
-        path = scratch_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    result = scratch_path(spark, "result")
+    with run_folder(spark):
+        for i, (name, stage) in enumerate(STAGES, 1):
+            path = result if i == len(STAGES) else scratch_path(spark, name)
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs
