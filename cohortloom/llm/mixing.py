@@ -14,6 +14,8 @@ from cohortloom.session import settle
 
 # Documents of a source are cut into this many buckets by a seeded hash of their id (four hexadecimal digits).
 BUCKETS = 65_536
+# Low bits of a bucket's number; the high ones name its block.
+BLOCK_BITS = 8
 
 
 def _whole(c: Column) -> Column:
@@ -81,12 +83,15 @@ def mix(
         targets.withColumn("epochs", epochs.cast("long"))
         .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
     )
-    # At most BUCKETS rows per source.
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    upto = sums.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    at_cut = join_ns(upto, planned.select("source", "rest"), ["source"]).where(
-        (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words"))
-    )
+    # Two levels of at most 256 sums per source: the block of buckets that the cut falls into, then the bucket.
+    earlier = lambda order: Window.partitionBy("source").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = sums.groupBy("source", F.shiftright("bucket", BLOCK_BITS).alias("block")).agg(F.sum("words").alias("block_words"))
+    blocks = blocks.withColumn("block_before", F.coalesce(F.sum("block_words").over(earlier("block")), F.lit(0)))
+    held = (F.col("block_before") <= F.col("rest")) & (F.col("rest") < F.col("block_before") + F.col("block_words"))
+    at_block = join_ns(blocks, planned.select("source", "rest"), ["source"]).where(held).drop("block_words")
+    inside = join_ns(sums.withColumn("block", F.shiftright("bucket", BLOCK_BITS)), at_block, ["source", "block"])
+    upto = inside.withColumn("before", F.col("block_before") + F.coalesce(F.sum("words").over(earlier("bucket")), F.lit(0)))
+    at_cut = upto.where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words")))
     cuts = at_cut.select("source", F.col("bucket").alias("cut"), ((F.col("rest") - F.col("before")) / F.col("words")).alias("part"))
     plan = settle(join_ns(planned, cuts, ["source"], "left"))
 
