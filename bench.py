@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR: folder of the tables (default sf0.1). BENCH_CPUS: cores (default all). BENCH_ALL=1: every query.
-Each query runs once cold and BENCH_WARM times (default 1) warm into the ``noop`` sink; the value is the median warm time.
+Each query runs once cold and BENCH_WARM times (default 3) warm into the ``noop`` sink; the value is the median warm time.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ def main() -> None:
     spark = local_session("bench", cores=os.environ.get("BENCH_CPUS", "*"))
     spark.sparkContext.setLogLevel("ERROR")
     names = list(QUERIES) if os.environ.get("BENCH_ALL") else HEADLINE
-    warm_runs = int(os.environ.get("BENCH_WARM", "1"))
+    warm_runs = int(os.environ.get("BENCH_WARM", "3"))
     cold, warm = {}, {}
     for name in names:
         cold[name] = run(name, spark, folder)
