@@ -56,9 +56,17 @@ def join_ns(
     return joined.drop(*right_keys)
 
 
+def distinct_keys(listed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The different keys of a list, for semi and anti joins: only the left side of these can be split, so a key (or a
+    null) that holds a large part of the list is reduced before the shuffle, not in the one task that gets it."""
+    return listed.select(*map(quoted, keys)).distinct()
+
+
 def join_on(a: DataFrame, b: DataFrame, pairs: Sequence[tuple[str, str]], how: str = "inner") -> DataFrame:
     """Join on keys with different names, null equal to null; both keys stay. The tables share no column."""
-    return a.join(b, _same(pairs), {"semi": "left_semi", "anti": "left_anti"}.get(how, how))
+    if how in ("semi", "anti"):
+        return a.join(distinct_keys(b, [r for _, r in pairs]), _same(pairs), f"left_{how}")
+    return a.join(b, _same(pairs), how)
 
 
 def natural_join(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
@@ -72,19 +80,20 @@ def join_distinct(a: DataFrame, dim: DataFrame, keys: Sequence[str], cols: Seque
 
 
 def not_in(a: DataFrame, column: str, listed: DataFrame, listed_column: str) -> DataFrame:
-    """Rows whose value is not in the list. A null in the list removes null values only, never everything."""
-    return join_ns(a, listed.select(quoted(listed_column).alias(column)), [column], "anti")
+    """Rows whose value is not in the list. A null in the list removes null values only, never everything. The list may
+    repeat a value, or null, any number of times."""
+    return join_ns(a, distinct_keys(listed, [listed_column]).withColumnRenamed(listed_column, column), [column], "anti")
 
 
 def outer_with_origin(a: DataFrame, b: DataFrame, keys: Sequence[str], origin: str = "_merge") -> DataFrame:
     """Full outer join that says where each row came from: left_only, right_only or both.
 
-    Built as inner join plus two anti joins: a full outer join cannot split an oversized key, these three can,
-    and the shuffles of both tables are reused.
+    Built as inner join plus two anti joins on the other table's different keys: a full outer join cannot split an
+    oversized key, these three can, and the shuffles of both tables are reused.
     """
     both = join_ns(a, b, keys).withColumn(origin, F.lit("both"))
-    left = join_ns(a, b, keys, "anti").withColumn(origin, F.lit("left_only"))
-    right = join_ns(b, a, keys, "anti").withColumn(origin, F.lit("right_only"))
+    left = join_ns(a, distinct_keys(b, keys), keys, "anti").withColumn(origin, F.lit("left_only"))
+    right = join_ns(b, distinct_keys(a, keys), keys, "anti").withColumn(origin, F.lit("right_only"))
     out = both.unionByName(left, allowMissingColumns=True).unionByName(right, allowMissingColumns=True)
     return out
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortloom.functions.exprs import ascending, hex_code, quoted
 from cohortloom.operators.aggregates import argmin_per_group, group_counts
-from cohortloom.operators.joins import join_ns, not_in
+from cohortloom.operators.joins import distinct_keys, join_ns, not_in
 from cohortloom.session import settle
 
 
@@ -17,7 +17,7 @@ def prefer(df: DataFrame, is_variant: Column, keys: Sequence[str]) -> DataFrame:
     """Where a key has a variant row, drop its other rows. Null keys count as equal."""
     variant = df.where(F.coalesce(is_variant, F.lit(False)))
     other = df.where(~F.coalesce(is_variant, F.lit(False)))
-    return variant.unionByName(join_ns(other, variant, keys, "anti"))
+    return variant.unionByName(join_ns(other, distinct_keys(variant, keys), keys, "anti"))
 
 
 def override(

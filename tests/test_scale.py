@@ -86,6 +86,24 @@ def test_split_gives_the_same_rows(hot, conf, case):
     assert sorted(map(str, HOT_CASES[case](hot).select(names).collect())) == wanted
 
 
+def test_list_of_a_semi_or_anti_join_is_reduced_before_its_shuffle(spark, small_limits):
+    """Neither a null nor a value that fills the list reaches one task."""
+    rows = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z"), (3, "x")], "k int, v string")
+    listed = spark.range(30_000, numPartitions=4).select(F.when(F.col("id") % 3 == 1, 1).when(F.col("id") == 0, 7).alias("id"))
+    cases = {
+        "not in": (ops.not_in(rows, "k", listed, "id"), [(2, "y"), (3, "x")]),
+        "anti": (ops.join_on(rows, listed, [("k", "id")], "anti"), [(2, "y"), (3, "x")]),
+        "semi": (ops.join_on(rows, listed, [("k", "id")], "semi"), [(1, "x"), (None, "z")]),
+    }
+    for df, wanted in cases.values():
+        found = sorted(map(tuple, df.collect()), key=str)
+        assert found == sorted(wanted, key=str)
+        right = first_plan(df).split("Join", 1)[1]
+        assert re.search(r"Exchange hashpartitioning[^\n]*\n[^\n]*HashAggregate\(keys=\[[^]]*\], functions=\[\]", right), right
+    origin = ops.outer_with_origin(rows.withColumnRenamed("k", "id"), listed.withColumn("w", F.lit(1)), ["id"])
+    assert {r["_merge"]: r["count"] for r in origin.groupBy("_merge").count().collect()} == {"both": 10_000 + 19_999, "left_only": 2, "right_only": 1}
+
+
 def test_small_history_is_broadcast_by_its_size(hot):
     text = first_plan(ops.baseline_change(hot, "uid", ["ts", "id"], ["vol"]))
     assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
