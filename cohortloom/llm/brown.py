@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,10 +15,13 @@ from pyspark.sql.functions import arrow_udf
 from cohortloom.functions.exprs import quoted
 from cohortloom.llm.chunks import Numbers, as_binary, chunks, from_binary
 from cohortloom.llm.words import words
-from cohortloom.session import settle
+from cohortloom.session import release, settle
 
 # Counts added to a class's row in proportion to how common each next class is.
 PRIOR = 10.0
+# Signs of text whose words are counted at a time within a chunk: lists of words and their sorted pairs take many times
+# the room of their text.
+SLAB_SIGNS = 2 << 20
 
 
 def _n_log_n(x: np.ndarray) -> np.ndarray:
@@ -114,30 +118,49 @@ def _write_chunks(docs: DataFrame) -> DataFrame:
         for chunk, rows in chunks(batches):
             known, texts, learned = Numbers(), [], [np.empty(0, np.int32)]
             for row in rows:
-                numbers = np.array([known[w] for w in words(row["text"])], np.int32)
+                # Texts go as their numbers come.
+                numbers = np.array([known[w] for w in words(row.pop("text"))], np.int32)
                 texts.append(as_binary(numbers))
                 if row["learn"]:
                     learned.append(numbers)
-            counts = np.bincount(np.concatenate(learned), minlength=len(known))
             n, m = len(rows), len(known)
+            counts = np.zeros(m, np.int64)
+            for part in learned:
+                found, times = np.unique(part, return_counts=True)
+                counts[found] += times
             yield pa.RecordBatch.from_pydict({
                 "chunk": pa.array([chunk] * n, pa.int64()), "doc_id": pa.array([r["doc_id"] for r in rows], pa.int64()),
                 "learn": pa.array([r["learn"] for r in rows], pa.bool_()), "numbers": pa.array(texts, pa.binary()),
                 "number": pa.nulls(n, pa.int32()), "word": pa.nulls(n, pa.string()), "count": pa.nulls(n, pa.int64()),
             })
-            names = [w.decode() for w in known]
+            names = iter(known)
             for a in range(0, m, 100_000):
                 k = min(100_000, m - a)
                 yield pa.RecordBatch.from_pydict({
                     "chunk": pa.array(np.full(k, chunk), pa.int64()), "doc_id": pa.nulls(k, pa.int64()), "learn": pa.nulls(k, pa.bool_()),
                     "numbers": pa.nulls(k, pa.binary()), "number": pa.array(np.arange(a, a + k), pa.int32()),
-                    "word": pa.array(names[a:a + k], pa.string()), "count": pa.array(counts[a:a + k], pa.int64()),
+                    "word": pa.array([w.decode() for w in itertools.islice(names, k)], pa.string()), "count": pa.array(counts[a:a + k], pa.int64()),
                 })
 
     schema = "chunk long, doc_id long, learn boolean, numbers binary, number int, word string, count long"
     return settle(docs.mapInArrow(read, schema))
 
 
+def _streams(rows: list[dict], end: int, code: Callable[[list[bytes]], list[int]]) -> Iterator[np.ndarray]:
+    """Codes of the words of some texts one after the other, ``end`` before and after each text; about ``SLAB_SIGNS`` of
+    text at a time. The texts are taken out of the rows."""
+    parts, size = [np.array([end], np.int32)], 0
+    for row in rows:
+        text = row.pop("text")
+        parts.append(np.array([*code(words(text)), end], np.int32))
+        size += len(text or "")
+        if size >= SLAB_SIGNS:
+            yield np.concatenate(parts)
+            parts, size = [np.array([end], np.int32)], 0
+    if len(parts) > 1:
+        yield np.concatenate(parts)
+
+
 def _common_pairs(docs: DataFrame, common: list[str]) -> np.ndarray:
     """Neighbour counts in the learning texts of the common words, all other words as one (number n) and the end (n + 1).
 
@@ -147,17 +170,13 @@ def _common_pairs(docs: DataFrame, common: list[str]) -> np.ndarray:
     place = {w.encode(): i for i, w in enumerate(common)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for _, rows in chunks(batches):
-            stream = []
-            for row in rows:
-                stream.append(n + 1)
-                stream += [place.get(w, n) for w in words(row["text"])]
-            symbols = np.array([*stream, n + 1], np.int64)
-            found, times = np.unique(symbols[:-1] * (n + 2) + symbols[1:], return_counts=True)
-            every, back = np.unique(np.concatenate([codes, found]), return_inverse=True)
-            codes, sums = every, np.bincount(back, np.concatenate([sums, times])).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(sums)], ["code", "times"])
+        sums = np.zeros((n + 2) ** 2, np.int64)
+        for _, rows in chunks(batches, size=SLAB_SIGNS):
+            for symbols in _streams(rows, n + 1, lambda found: [place.get(w, n) for w in found]):
+                codes, times = np.unique(symbols[:-1].astype(np.int64) * (n + 2) + symbols[1:], return_counts=True)
+                sums[codes] += times
+        codes = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(sums[codes])], ["code", "times"])
 
     learning = docs.where("learn").select("text")
     counts = learning.mapInArrow(count, "code long, times long").groupBy("code").agg(F.sum("times").alias("times"))
@@ -174,36 +193,38 @@ def _other_classes(docs: DataFrame, common: list[str], own: np.ndarray, pairs: n
     common neighbour goes to class ``classes``.
     """
     n = len(common)
-    class_of = {w.encode(): int(c) for w, c in zip(common, own)}
     end = classes + 1
+    # Classes are negative, so that they are told from the numbers of other words.
+    sign_of = {w.encode(): -1 - int(c) for w, c in zip(common, own)}
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in chunks(batches):
-            known, symbols = Numbers(), [-1 - end]
-            for row in rows:
-                symbols += [-1 - class_of[w] if w in class_of else known[w] for w in words(row["text"])]
-                symbols.append(-1 - end)
-            stream = np.array(symbols, np.int64)
-            here = np.concatenate([np.flatnonzero((stream[1:] >= 0) & (stream[:-1] < 0)) + 1, np.flatnonzero((stream[:-1] >= 0) & (stream[1:] < 0))])
-            half = np.count_nonzero((stream[1:] >= 0) & (stream[:-1] < 0))
-            beside = np.concatenate([stream[here[:half] - 1], stream[here[half:] + 1]])
-            codes, times = np.unique(stream[here] * (end + 1) - 1 - beside, return_counts=True)
+            known = Numbers()
+            codes, times = np.empty(0, np.int64), np.empty(0, np.int64)
+            for stream in _streams(rows, -1 - end, lambda found: [sign_of[w] if w in sign_of else known[w] for w in found]):
+                after, before = np.flatnonzero((stream[1:] >= 0) & (stream[:-1] < 0)), np.flatnonzero((stream[:-1] >= 0) & (stream[1:] < 0))
+                here = np.concatenate([stream[after + 1], stream[before]]).astype(np.int64)
+                beside = np.concatenate([stream[after], stream[before + 1]])
+                found, seen_here = np.unique(here * (end + 1) - 1 - beside, return_counts=True)
+                every, back = np.unique(np.concatenate([codes, found]), return_inverse=True)
+                sums = np.zeros(len(every), np.int64)
+                np.add.at(sums, back, np.concatenate([times, seen_here]))
+                codes, times = every, sums
             word = codes // (end + 1)
             starts = np.searchsorted(word, np.arange(len(known) + 1)).astype(np.int32)
-            names = [w.decode() for w in known]
-            for a in range(0, len(names), 100_000):
-                b = min(a + 100_000, len(names))
+            names = iter(known)
+            for a in range(0, len(known), 100_000):
+                b = min(a + 100_000, len(known))
                 lo, hi = starts[a], starts[b]
-                offsets = pa.array(starts[a:b + 1] - lo)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(names[a:b]), pa.ListArray.from_arrays(offsets, pa.array((codes % (end + 1))[lo:hi].astype(np.int32))),
-                    pa.ListArray.from_arrays(offsets, pa.array(times[lo:hi])),
-                ], ["word", "beside", "times"])
+                near = pa.ListArray.from_arrays(pa.array(starts[a:b + 1] - lo), pa.array(times[lo:hi] * (end + 1) + codes[lo:hi] % (end + 1)))
+                yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in itertools.islice(names, b - a)], pa.string()), near], ["word", "near"])
 
-    seen = docs.where("learn").select("text").mapInArrow(look, "word string, beside array<int>, times array<long>")
+    # A neighbour's class and how often it was met, in one number.
+    seen = docs.where("learn").select("text").mapInArrow(look, "word string, near array<long>")
     # One shuffle: rows of a word meet, then its neighbours are summed where they are. At most classes + 2 per word.
-    met = seen.repartition("word").select("word", F.explode_outer(F.arrays_zip("beside", "times")).alias("x"))
-    summed = met.groupBy("word", F.col("x.beside").alias("beside")).agg(F.sum("x.times").alias("times"))
+    met = seen.repartition("word").select("word", F.explode_outer("near").alias("x"))
+    met = met.select("word", (F.col("x") % (end + 1)).cast("int").alias("beside"), F.expr(f"x div {end + 1}").alias("times"))
+    summed = met.groupBy("word", "beside").agg(F.sum("times").alias("times"))
     near = summed.groupBy("word").agg(F.collect_list(F.when(F.col("beside").isNotNull(), F.struct("beside", "times"))).alias("near"))
 
     member = np.zeros((n + 2, end + 1))
@@ -244,7 +265,7 @@ def score_texts(
     rows = docs.select(quoted(doc_id).cast("long").alias("doc_id"), quoted(text).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
     written = _write_chunks(rows)
     listed = written.where("word IS NOT NULL").select("chunk", "number", "word", "count")
-    counts = settle(listed.groupBy("word").agg(F.sum("count").alias("n")).where("n > 0"))
+    counts = settle(listed.where("count > 0").groupBy("word").agg(F.sum("count").alias("n")))
     n_words, n_types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     n_texts = written.where("word IS NULL AND learn").count()
     train_tokens, types = n_words + n_texts, n_types + (n_texts > 0)
@@ -259,6 +280,7 @@ def score_texts(
     )
     known = settle(_other_classes(rows, common, own, pairs, classes).union(place))
     vocabulary = settle(counts.join(known, "word"))
+    release(docs.sparkSession)
 
     end, unknown = classes + 1, classes + 2
     kind = np.min_scalar_type(unknown)  # a byte per word up to 253 classes, two beyond

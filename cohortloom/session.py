@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -87,3 +88,12 @@ def settle(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "settled")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Have the shuffle files of steps that are over deleted now.
+
+    Spark deletes them once the driver's garbage is collected, which may be long after they are of use.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

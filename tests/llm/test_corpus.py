@@ -14,7 +14,7 @@ from awkward import docs, nothing, odd  # noqa: F401
 from compare import connect, differences
 from pyspark.sql import functions as F
 
-from cohortloom.llm import queries
+from cohortloom.llm import brown, queries
 from cohortloom.llm.brown import ClassScorer, exchange, score_texts
 from cohortloom.llm.imatch import BAND, SUBSETS, Lexicon, build_lexicon, fingerprint, fingerprint_edits
 from cohortloom.llm.mixing import mix, mixed_copies, sized, source_targets
@@ -402,3 +402,17 @@ def test_pipeline_of_awkward_rows(spark, odd, nothing, tmp_path):
             if i < 3:
                 assert docs.columns == df.columns
         assert docs.count() == 0 or df is odd
+
+
+def test_class_model_counts_a_chunk_in_slabs(spark, monkeypatch):
+    """Words of a chunk are counted some texts at a time; the counts are those of the whole chunk, and texts are let go."""
+    texts = ["b a b", None, "c a", "", "a a d b", "e"]
+    code = {w.encode(): i for i, w in enumerate("abcde")}.__getitem__
+    monkeypatch.setattr(brown, "SLAB_SIGNS", 4)
+    rows = [{"text": t} for t in texts]
+    slabs = [list(s) for s in brown._streams(rows, 9, lambda found: list(map(code, found)))]
+    assert slabs == [[9, 1, 0, 1, 9], [9, 9, 2, 0, 9, 9, 0, 0, 3, 1, 9], [9, 4, 9]]
+    assert not any(rows)
+    for row in (many := [{"text": "a b"} for _ in range(9)]):
+        assert row
+    assert max(map(len, brown._streams(many, 9, lambda found: list(map(code, found))))) <= 7
