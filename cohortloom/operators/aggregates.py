@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from cohortloom.functions.exprs import as_col, ascending, order_key, quoted, row_sum, strip_whitespace, ticked
 from cohortloom.functions.predicates import all_of
@@ -94,9 +94,12 @@ def first_non_null_per_group(df: DataFrame, keys: Sequence[str], order: Sequence
     """
     rows, values = keyed(df, keys), [f for f in df.schema.fields if f.name not in keys]
     # Groups are numbered as they are written, so that the second look goes by numbers.
-    first = settle(_lowest(rows, keys, order).withColumn("__group", F.monotonically_increasing_id()))
-    nulls = first.agg(*[F.count_if(quoted(f.name).isNull()).alias(str(i)) for i, f in enumerate(values)]).first()
-    empty = [(i, f) for i, f in enumerate(values) if nulls[str(i)] and f.dataType.typeName() != "void"]
+    # Nulls are counted while the rows are written; a task that runs twice may count its own twice, never none of them.
+    nulls = Observation()
+    counts = [F.count_if(quoted(f.name).isNull()).alias(str(i)) for i, f in enumerate(values)]
+    numbered = _lowest(rows, keys, order).withColumn("__group", F.monotonically_increasing_id())
+    first = settle(numbered.observe(nulls, F.count(F.lit(1)).alias("rows"), *counts))
+    empty = [(i, f) for i, f in enumerate(values) if nulls.get[str(i)] and f.dataType.typeName() != "void"]
     if not empty:
         return first.drop("__group")
     # A cell has a place for each type, so that cells of all columns are rows of one table.

@@ -241,7 +241,7 @@ SELECT uid AS unique_study_id, report AS report_num_temp, folder, id, scan_numbe
 FROM firsts
 """)
 def pipe_choose_images(t: Tables) -> DataFrame:
-    rows = plans.choose_images(images(t), image_picks(t), ["scan_7", "scan_8"], ["scan_10", "scan_11"])
+    rows = plans.choose_images(settle(images(t)), image_picks(t), ["scan_7", "scan_8"], ["scan_10", "scan_11"])
     return plans.volume_changes(rows).select(*_CHOSEN)
 
 
@@ -290,8 +290,8 @@ SELECT uid AS unique_study_id, report AS report_num_temp, 1 AS flag_post_trauma_
 FROM firsts
 """)
 def pipe_clean_table(t: Tables) -> DataFrame:
-    """All 183 columns of the clean table."""
-    wide = images(t).withColumns(
+    """All 183 columns of the clean table. The images are numbered once, before they are wide."""
+    wide = settle(images(t)).withColumns(
         {
             "flag_post_trauma_hem": F.lit(1), "oedema_predicted_volume_ml": F.col("iph_predicted_volume_ml") / 8,
             "prediction": F.concat(F.lit("p"), "image"), "atlas_in_native_space": F.concat(F.lit("a"), "image"),

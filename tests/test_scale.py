@@ -185,6 +185,11 @@ def test_no_cross_join_and_no_single_task(spark, folder, name, monkeypatch):
         assert all(re.search(BOUNDED, w) for w in windows_in_one_task(text))
 
 
+@pytest.mark.parametrize("name", ["pipe_clean_table", "pipe_choose_images"])
+def test_images_are_numbered_once(spark, folder, name, monkeypatch):
+    assert sum("dense_rank" in text for text in written_plans(monkeypatch, lambda: QUERIES[name](spark, folder))) == 1
+
+
 def test_columns_and_filters_reach_the_scan(spark, folder):
     t = Tables(spark, folder)
     text = first_plan(t.events.where(F.col("value") >= 100).select("event_id"))
