@@ -166,8 +166,8 @@ class Lattice:
             length = np.where(place > 0, last[place, everyone], 0)
             start = place - length
             on = length > 0
-            steps.append(np.where(on, piece[length, np.minimum(start, size - 1), everyone], -2))
-            steps[-1][on & (piece[length, np.minimum(start, size - 1), everyone] < 0)] = -3 - start[on & (piece[length, np.minimum(start, size - 1), everyone] < 0)]
+            found = piece[length, np.minimum(start, size - 1), everyone]
+            steps.append(np.where(on, np.where(found < 0, -3 - start, found), -2).astype(np.int32))
             score[length[on], start[on], everyone[on]] = -np.inf  # what is left are the edges off the best path
             place = start
         second = np.full(many, -np.inf)
@@ -175,8 +175,8 @@ class Lattice:
             through = ahead[: size + 1 - length] + score[length, : size + 1 - length] + behind[length:]
             np.maximum(second, through.max(axis=0), out=second)
         path = np.stack(steps[::-1], axis=1)
-        flat, counts = path[path != -2], (path != -2).sum(1)
-        ids = np.split(flat, np.cumsum(counts)[:-1])
+        flat, ends = path[path != -2], np.cumsum((path != -2).sum(1)).tolist()
+        ids = [flat[a:b] for a, b in zip([0, *ends], ends)]
         for i in np.flatnonzero((path <= -3).any(1)):
             parts = [self.fallback(units[i][-3 - k]) if k <= -3 else [k] for k in ids[i].tolist()]
             ids[i] = np.array(sum(parts, []), np.int32)
@@ -211,13 +211,27 @@ def units(text: str) -> tuple[list[str], bool]:
     return _UNIT.findall(SPACE + text.replace(" ", SPACE)), False
 
 
+class _Numbers(dict):
+    """Numbers of units by what follows their first sign, a space, or of parts of units as they are."""
+
+    def __init__(self, known: _Known, spaced: bool):
+        self.known, self.spaced = known, spaced
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self.known.names)
+        self.known.names.append(key)
+        self.known.spaced.append(self.spaced)
+        return n
+
+
 class _Known:
     """What is known of the units met so far."""
 
     def __init__(self, tree: Lattice, n: int):
         self.tree, self.n = tree, n
-        self.plain: dict[str, int] = {}
         self.names: list[str] = []
+        self.spaced = bytearray()
+        self.units, self.parts = _Numbers(self, True), _Numbers(self, False)
         self.best = np.empty(0)
         self.gap = np.empty(0)
         self.counts = self.starts = np.empty(0, np.int64)
@@ -225,26 +239,22 @@ class _Known:
         self.others: dict[int, list[tuple[float, list[int]]]] = {}
         self.size = 0
 
+    def name(self, number: int) -> str:
+        return SPACE + self.names[number] if self.spaced[number] else self.names[number]
+
     def numbers(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, np.int64)
         found, bare = units(text)
-        look, names, out = self.plain, self.names, []
-        for unit in found:
-            unit = SPACE + unit if bare else unit
-            number = look.get(unit)
-            if number is None:
-                parts = self._apart(unit) if len(unit) > _SHORT else [unit]
-                if len(parts) > 1:
-                    for part in parts:
-                        if part not in look:
-                            look[part] = len(names)
-                            names.append(part)
-                        out.append(look[part])
-                    continue
-                look[unit] = number = len(names)
-                names.append(unit)
-            out.append(number)
+        if not bare:
+            found = [unit[1:] for unit in found]
+        if max(map(len, found)) < _SHORT:
+            return np.array(list(map(self.units.__getitem__, found)), np.int64)
+        out = []
+        for key in found:
+            head, *tail = self._apart(SPACE + key) if len(key) >= _SHORT else [SPACE + key]
+            out.append(self.units[head[1:]])
+            out += map(self.parts.__getitem__, tail)
         return np.array(out, np.int64)
 
     def _apart(self, unit: str) -> list[str]:
@@ -257,12 +267,13 @@ class _Known:
         best, gap, ids = np.zeros(len(new)), np.zeros(len(new)), [None] * len(new)
         by_length: dict[int, list[int]] = {}
         for i in new:
-            by_length.setdefault(len(self.names[i]), []).append(i)
-            self.size += len(self.names[i]) + 8
+            signs = len(self.names[i]) + self.spaced[i]
+            by_length.setdefault(signs, []).append(i)
+            self.size += signs + 8
         for length, members in by_length.items():
             if length > _SHORT:
                 for i in members:
-                    two = self.tree.n_best(self.names[i], 2)
+                    two = self.tree.n_best(self.name(i), 2)
                     k = i - new.start
                     best[k], ids[k] = two[0][0], np.array(two[0][1], np.int32)
                     gap[k] = two[0][0] - two[1][0] if len(two) > 1 else np.inf
@@ -270,7 +281,7 @@ class _Known:
             step = max(1, _BATCH_CELLS // (length * min(length, self.tree.longest)))
             for a in range(0, len(members), step):
                 part = members[a:a + step]
-                found = self.tree.search_many([self.names[i] for i in part])
+                found = self.tree.search_many([self.name(i) for i in part])
                 at = np.array(part) - new.start
                 best[at], gap[at] = found[0], found[1]
                 for k, x in zip(at.tolist(), found[2]):
@@ -296,7 +307,7 @@ class _Known:
         for place in near.tolist():
             number = int(numbers[place])
             if number not in self.others:
-                self.others[number] = self.tree.n_best(self.names[number], self.n)
+                self.others[number] = self.tree.n_best(self.name(number), self.n)
             ways = self.others[number]
             options = [(score - ways[0][0], [(int(starts[place]), int(self.counts[number]), ids)] if r else []) for r, (score, ids) in enumerate(ways)]
             both = [(a + b, x + y) for a, x in found for b, y in options]
@@ -360,12 +371,12 @@ def decode_ids(path: str, ids: Column) -> Column:
     @arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
         texts, out = piece_texts(path), []
-        for at in range(len(lists)):
-            found = lists[at]
-            if not found.is_valid:
+        ends = lists.offsets.to_numpy().tolist()
+        for valid, a, b in zip(lists.is_valid().to_pylist(), ends, ends[1:]):
+            if not valid:
                 out.append(None)
                 continue
-            joined = b"".join(map(texts.__getitem__, found.values.to_numpy(zero_copy_only=False).tolist()))
+            joined = b"".join(map(texts.__getitem__, lists.values[a:b].to_numpy(zero_copy_only=False).tolist()))
             out.append(joined.removeprefix(b" ").decode("utf-8", "replace"))
         return pa.array(out, pa.string())
 

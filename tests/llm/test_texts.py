@@ -181,3 +181,16 @@ def test_pieces_round_trip(spark, odd, nothing):
             assert r["again"] == model.decode(r["ids"])
     assert with_pieces(nothing, MODEL).count() == 0
     assert [r for r in rows_of(with_pieces(odd, MODEL), "text", "ids", "score") if not r[0]] == [("", [], 0.0)] + [(None, [], 0.0)] * 2
+
+
+def test_parts_of_long_units_are_told_from_units():
+    """The same signs are one thing after a space and another inside a long unit; short and long ones meet in one text."""
+    from cohortloom.llm.pieces import _Known
+
+    known = _Known(lattice(MODEL), 3)
+    cut = next(a + b for a in "qzé漢" for b in "漢jéx" if a + b not in known.tree.pairs)
+    long = "a" * 70 + cut
+    numbers = known.numbers(f"{cut[1]} {long}").tolist()
+    assert [known.name(i) for i in numbers] == ["▁" + cut[1], *known._apart("▁" + long)]
+    assert known.name(numbers[-1]) == cut[1] and numbers[-1] != numbers[0]
+    assert known.numbers(f"{cut[1]} {long}").tolist() == numbers
