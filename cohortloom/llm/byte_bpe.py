@@ -17,10 +17,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from cohortloom.functions.exprs import quoted
+from cohortloom.llm.chunks import cut_at_spaces, frequent, runs_at
 
-# Bytes of text handled at a time, pieces in one call of the library, and what is remembered before the memory is
-# emptied: pieces, their signs and their ids.
-STEP_BYTES, CALL_PIECES, MEMORY_PIECES, MEMORY_SIGNS = 2 << 20, 256, 1_000_000, 16 << 20
+# Bytes of text whose pieces are made distinct together, bytes of text whose ids are written out at a time, pieces in
+# one text and texts in one call of the library, and what is remembered: pieces, their signs and their ids.
+CUT_BYTES, STEP_BYTES, CALL_PIECES, CALL_TEXTS, MEMORY_PIECES, MEMORY_SIGNS = 6 << 20, 2 << 20, 256, 64, 1_000_000, 16 << 20
 # Signs from which a piece is cut further, where no token of the vocabulary can reach over the cut.
 LONG_PIECE = 1 << 12
 _RUN = re.compile(r"\s\s")
@@ -65,6 +66,8 @@ class Library:
         model = Tokenizer.from_file(path)
         model.no_truncation()
         model.no_padding()
+        if hasattr(model.model, "_resize_cache"):
+            model.model._resize_cache(0)  # a piece goes through the library once, so its own memory only costs time
         self.ids = lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
         with open(path, encoding="utf-8") as file:
             config = json.load(file)
@@ -98,6 +101,12 @@ class Library:
                 last = i
         return [piece[a:b] for a, b in zip(cuts, [*cuts[1:], len(piece)])]
 
+    def _called(self, calls: list[list[int]], pieces: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+        """(call, ids of its pieces joined), a bounded number of calls at a time."""
+        for a in range(0, len(calls), CALL_TEXTS):
+            part = calls[a:a + CALL_TEXTS]
+            yield from zip(part, self.ids(["".join([pieces[i] for i in call]) for call in part]))
+
     def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces one after the other, and how many each has.
 
@@ -107,32 +116,30 @@ class Library:
         joined, lone = [], []
         for i, piece in enumerate(pieces):
             (joined if self.cuts and piece[:1] == " " and piece[1:] and piece.strip() == piece[1:] else lone).append(i)
-        counts, found = np.zeros(len(pieces), np.int64), {}
+        octets = pa.compute.binary_length(pa.array(pieces, pa.string())).to_numpy()
+        order, sizes, found = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
         calls = [joined[a:a + CALL_PIECES] for a in range(0, len(joined), CALL_PIECES)]
-        for call, ids in zip(calls, self.ids(["".join([pieces[i] for i in call]) for call in calls])):
-            ids = np.array(ids, np.int32)
-            ends = np.cumsum([len(pieces[i].encode()) for i in call])
+        for call, ids in self._called(calls, pieces):
+            ids, members = np.array(ids, np.int32), np.array(call)
+            ends = np.cumsum(octets[members])
             upto = np.cumsum(self.length[ids])
             place = np.searchsorted(upto, ends)
             if upto[-1] != ends[-1] or not np.array_equal(upto[place], ends):
                 lone += call  # a token over the end of a piece; the library has the last word
                 continue
-            sizes = np.diff(place + 1, prepend=0)
-            counts[call] = sizes
-            found[call[0]] = call, ids, sizes
-        lone.sort()
+            order.append(members)
+            sizes.append(np.diff(place + 1, prepend=0))
+            found.append(ids)
         for a in range(0, len(lone), CALL_PIECES):
             call = lone[a:a + CALL_PIECES]
-            for i, ids in zip(call, self.ids([pieces[i] for i in call])):
-                counts[i] = len(ids)
-                found[i] = [i], np.array(ids, np.int32), None
-        flat, starts = np.zeros(counts.sum(), np.int32), np.cumsum(counts) - counts
-        for call, ids, sizes in found.values():
-            if sizes is None:
-                flat[starts[call[0]]:starts[call[0]] + len(ids)] = ids
-            else:
-                flat[np.repeat(starts[call] - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(ids))] = ids
-        return flat, counts
+            lists = self.ids([pieces[i] for i in call])
+            order.append(np.array(call))
+            sizes.append(np.array([len(ids) for ids in lists]))
+            found += [np.array(ids, np.int32) for ids in lists]
+        order, sizes = np.concatenate(order), np.concatenate(sizes)
+        counts, starts = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        counts[order], starts[order] = sizes, np.cumsum(sizes) - sizes
+        return np.concatenate(found)[runs_at(starts, counts)], counts
 
 
 @functools.lru_cache(maxsize=4)
@@ -152,8 +159,9 @@ def pieces(text: str) -> list[str]:
 class PieceCoder:
     """Encode texts piece by piece; each different piece goes through the library once, until it is forgotten.
 
-    Memory is bounded by ``MEMORY_PIECES`` different pieces, ``MEMORY_SIGNS`` of their signs and ids, ``STEP_BYTES`` of
-    new text and the largest single text. A worker keeps what it knows from task to task (``_coder``).
+    Memory is bounded by ``MEMORY_PIECES`` different pieces, ``MEMORY_SIGNS`` of their signs and ids, ``CUT_BYTES`` of
+    new text and the largest single text. When it is full, the most frequent pieces stay in half of it. A worker keeps
+    what it knows from task to task (``_coder``).
     """
 
     def __init__(self, path: str, with_ids: bool):
@@ -163,28 +171,68 @@ class PieceCoder:
     def _clear(self) -> None:
         self.new: list[str] = []
         self.signs = 0
-        self.lengths = self.starts = np.empty(0, np.int64)
+        self.lengths = self.starts = self.weights = self.seen = np.empty(0, np.int64)
         self.flat = np.empty(0, np.int32)
         self.first, self.later = _Index(self, ""), _Index(self, " ")
 
-    def _numbers(self, text: str | None) -> list[int]:
-        if not text:
-            return []
+    def _forget(self) -> None:
+        share = np.maximum(self.weights, MEMORY_SIGNS // MEMORY_PIECES)
+        kept = frequent(self.seen, share, MEMORY_SIGNS // 2)
+        number = np.full(len(self.lengths), -1)
+        number[kept] = np.arange(len(kept))
+        number = number.tolist()
+        for index in (self.first, self.later):
+            left = [(key, number[n]) for key, n in index.items() if number[n] >= 0]
+            index.clear()
+            index.update(left)
+        if self.with_ids:
+            self.flat = self.flat[runs_at(self.starts[kept], self.lengths[kept])]
+        self.lengths, self.weights, self.seen = self.lengths[kept], self.weights[kept], self.seen[kept] // 2
+        self.starts, self.signs = np.cumsum(self.lengths) - self.lengths, int(self.weights.sum())
+
+    def _numbers(self, text: str) -> list[int]:
+        """Of one text, whatever it holds."""
         if not self.library.cuts:
             return [self.first[text]]
-        first, *rest = pieces(text)
-        if max(len(first), max(map(len, rest), default=0)) < LONG_PIECE:
-            return [self.first[first], *map(self.later.__getitem__, rest)]
         # The first part of a long piece follows a space if the piece does, the others follow a letter.
         out = []
-        for index, piece in zip(itertools.chain([self.first], itertools.repeat(self.later)), [first, *rest]):
+        for index, piece in zip(itertools.chain([self.first], itertools.repeat(self.later)), pieces(text)):
             head, *tail = self.library.parts(piece)
             out += [index[head], *map(self.first.__getitem__, tail)]
         return out
 
+    def _number(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(piece numbers of texts one after the other, how many of each). Different pieces are looked up once; texts
+        that are not cut at each space, or hold a long piece, are taken one by one."""
+        strings = texts.to_pylist()
+        odd = np.array([bool(text) and (not self.library.cuts or bool(_RUN.search(text))) for text in strings], bool)
+        names, index, sizes = cut_at_spaces(pa.compute.if_else(pa.array(odd), "", texts) if odd.any() else texts)
+        if max(map(len, names)) >= LONG_PIECE:
+            long = np.array([len(name) >= LONG_PIECE for name in names], bool)
+            odd |= np.logical_or.reduceat(long[index], np.cumsum(sizes) - sizes)
+            names, index, sizes = cut_at_spaces(pa.compute.if_else(pa.array(odd), "", texts))
+        starts = np.cumsum(sizes) - sizes
+        later = np.ones(len(index), bool)
+        later[starts] = False
+        used = np.zeros(len(names), bool)
+        used[index[later]] = True
+        number = np.zeros(len(names), np.int64)
+        number[used] = list(map(self.later.__getitem__, itertools.compress(names, used)))
+        numbers = number[index]
+        numbers[starts] = [self.first[names[i]] for i in index[starts].tolist()]
+        if odd.any():
+            found = np.split(numbers, starts[1:])
+            for i in np.flatnonzero(odd).tolist():
+                found[i] = np.array(self._numbers(strings[i]), np.int64)
+            numbers, sizes = np.concatenate(found), np.array([len(x) for x in found], np.int64)
+        return numbers, sizes
+
     def _learn(self) -> None:
         flat, lengths = self.library.encode(self.new)
-        self.signs += sum(map(len, self.new)) + len(flat)
+        weights = np.array([len(piece) for piece in self.new], np.int64) + lengths
+        self.signs += int(weights.sum())
+        self.weights = np.concatenate([self.weights, weights])
+        self.seen = np.concatenate([self.seen, np.zeros(len(self.new), np.int64)])
         self.lengths = np.concatenate([self.lengths, lengths])
         if self.with_ids:
             self.flat = np.concatenate([self.flat, flat])
@@ -194,17 +242,26 @@ class PieceCoder:
         """(piece numbers of some texts one after the other, how many of each text), about ``STEP_BYTES`` of text at a
         time; the lengths and ids of these pieces are known then."""
         upto = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0)).astype(np.int64))
-        numbers, sizes, done = [], [], 0
-        for at, text in enumerate(texts.to_pylist()):
-            found = self._numbers(text)
-            numbers += found
-            sizes.append(len(found))
-            if upto[at] - done >= STEP_BYTES or at == len(texts) - 1:
-                self._learn()
-                yield np.array(numbers, np.int64), np.array(sizes, np.int64)
-                numbers, sizes, done = [], [], upto[at]
-                if not self.library.cuts or self.signs > MEMORY_SIGNS or len(self.lengths) > MEMORY_PIECES:
-                    self._clear()
+        for at, end in _steps(upto, 0, len(texts), CUT_BYTES):
+            numbers, sizes = self._number(texts.slice(at, end - at))
+            self._learn()
+            places = np.concatenate([[0], np.cumsum(sizes)])
+            for a, b in _steps(upto, at, end, STEP_BYTES):
+                yield numbers[places[a - at]:places[b - at]], sizes[a - at:b - at]
+            if not self.library.cuts:
+                self._clear()
+                continue
+            self.seen += np.bincount(numbers, minlength=len(self.seen))
+            if self.signs > MEMORY_SIGNS or len(self.lengths) > MEMORY_PIECES:
+                self._forget()
+
+
+def _steps(upto: np.ndarray, at: int, last: int, size: int) -> Iterator[tuple[int, int]]:
+    """(first, end) of runs of texts that reach a size, by the sizes of all texts up to each."""
+    while at < last:
+        end = min(int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size)) + 1, last)
+        yield at, end
+        at = end
 
 
 @functools.lru_cache(maxsize=2)
@@ -241,9 +298,7 @@ def encode_texts(path: str, texts: pa.Array, end: int | None = None) -> Iterator
     coder = _coder(path, True)
     for numbers, pieces_of in coder.batches(texts):
         lengths = coder.lengths[numbers]
-        # Place of each id in the ids known, then the ids of all texts at once.
-        shift = coder.starts[numbers] - (np.cumsum(lengths) - lengths)
-        ids = coder.flat[np.repeat(shift, lengths) + np.arange(lengths.sum())]
+        ids = coder.flat[runs_at(coder.starts[numbers], lengths)]
         tokens = _totals(lengths, pieces_of)
         if end is not None:
             ids, tokens = np.insert(ids, np.cumsum(tokens), end), tokens + 1

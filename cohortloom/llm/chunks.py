@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 
 # Signs of text in a chunk; a longer text is a chunk of its own.
@@ -47,3 +48,25 @@ def as_binary(values: np.ndarray) -> bytes:
 
 def from_binary(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<i4")
+
+
+def cut_at_spaces(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(different pieces between single spaces, the number of each piece of the texts one after the other, how many of
+    each text). A null text is an empty one, which is one empty piece."""
+    lists = pa.compute.split_pattern(pa.compute.fill_null(texts, ""), " ")
+    found = lists.flatten().dictionary_encode()
+    names = found.dictionary
+    names = pa.compute.binary_join(pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names), " ")[0].as_py().split(" ")
+    return names, found.indices.to_numpy(), pa.compute.list_value_length(lists).to_numpy().astype(np.int64)
+
+
+def frequent(seen: np.ndarray, weights: np.ndarray, limit: int) -> np.ndarray:
+    """Ascending numbers of what was seen more than once, the most frequent as far as their weights stay within the limit."""
+    order = np.argsort(-seen, kind="stable")
+    order = order[: np.count_nonzero(seen > 1)]
+    return np.sort(order[np.cumsum(weights[order]) <= limit])
+
+
+def runs_at(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Places of runs, each from its start on, one run after the other."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())

@@ -63,6 +63,26 @@ def test_texts_without_blanks_are_cut_and_memory_is_bounded(library):
         assert coder.signs <= byte_bpe.MEMORY_SIGNS + 4 * byte_bpe.STEP_BYTES
 
 
+def test_frequent_pieces_outlast_a_full_memory(library, monkeypatch):
+    """Ids stay the library's while rare pieces are forgotten, and frequent pieces are not looked up again."""
+    import pyarrow as pa
+
+    from cohortloom.llm import byte_bpe
+
+    for name, value in (("CUT_BYTES", 4000), ("STEP_BYTES", 1000), ("MEMORY_PIECES", 400), ("MEMORY_SIGNS", 4000)):
+        monkeypatch.setattr(byte_bpe, name, value, raising=False)
+    texts = [f"often met words {i}, rare{i} Often.\n met  twice {'z' * 5000 if i % 97 == 0 else ''}" if i % 5 else ["", " ", None, "often often "][i // 5 % 4] for i in range(2000)]
+    coder, asked, got = byte_bpe.PieceCoder(BYTES, True), [], []
+    learn = coder.library.encode
+    monkeypatch.setattr(coder.library, "encode", lambda pieces: asked.extend(pieces) or learn(pieces))
+    monkeypatch.setattr(byte_bpe, "_coder", lambda path, with_ids: coder)
+    for part in byte_bpe.encode_texts(BYTES, pa.array(texts)):
+        got += part.to_pylist()
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(asked) > 2000 and asked.count(" words") == 1
+    assert len(coder.lengths) <= 400 + 4000
+
+
 def test_counts_of_a_sentencepiece_model(spark):
     model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     texts = noise(50, 3)
