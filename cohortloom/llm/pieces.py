@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import StructType
 
+from cohortloom.llm.chunks import frequent, runs_at
+
 SPACE = "▁"
 # Units of at most this many signs are searched many at a time; memory of one such search; signs remembered.
 _SHORT, _BATCH_CELLS, _MEMORY = 64, 1 << 20, 3 << 20
@@ -225,7 +227,7 @@ class _Numbers(dict):
 
 
 class _Known:
-    """What is known of the units met so far."""
+    """What is known of the units met so far, but for rare ones when that becomes too much."""
 
     def __init__(self, tree: Lattice, n: int):
         self.tree, self.n = tree, n
@@ -234,11 +236,26 @@ class _Known:
         self.units, self.parts = _Numbers(self, True), _Numbers(self, False)
         self.best = np.empty(0)
         self.gap = np.empty(0)
-        self.counts = self.starts = np.empty(0, np.int64)
+        self.counts = self.starts = self.seen = np.empty(0, np.int64)
         self.flat = np.empty(0, np.int32)
         self.others: dict[int, list[tuple[float, list[int]]]] = {}
         self.size = 0
 
+    def forget(self) -> None:
+        """Keep the most frequent units in half of the memory."""
+        weights = np.array(list(map(len, self.names)), np.int64) + np.frombuffer(self.spaced, np.uint8) + 8
+        kept = frequent(self.seen, weights, _MEMORY // 2)
+        names, spaced, number = self.names, self.spaced, kept.tolist()
+        self.flat = self.flat[runs_at(self.starts[kept], self.counts[kept])]
+        self.best, self.gap, self.counts, self.seen = self.best[kept], self.gap[kept], self.counts[kept], self.seen[kept] // 2
+        self.starts, self.size = np.cumsum(self.counts) - self.counts, int(weights[kept].sum())
+        self.others = {new: self.others[old] for new, old in enumerate(number) if old in self.others}
+        self.names, self.spaced = [names[i] for i in number], bytearray(spaced[i] for i in number)
+        self.units.clear()
+        self.parts.clear()
+        for new, (name, space) in enumerate(zip(self.names, self.spaced)):
+            dict.__setitem__(self.units if space else self.parts, name, new)
+
     def name(self, number: int) -> str:
         return SPACE + self.names[number] if self.spaced[number] else self.names[number]
 
@@ -289,13 +306,12 @@ class _Known:
         self.best, self.gap = np.append(self.best, best), np.append(self.gap, gap)
         self.flat = np.concatenate([self.flat, *ids]).astype(np.int32)
         self.counts = np.append(self.counts, np.array([len(x) for x in ids], np.int64))
+        self.seen = np.append(self.seen, np.zeros(len(new), np.int64))
         self.starts = np.cumsum(self.counts) - self.counts
 
     def ids(self, numbers: np.ndarray) -> np.ndarray:
         """Ids of the best paths of units one after the other."""
-        counts = self.counts[numbers]
-        shift = self.starts[numbers] - (np.cumsum(counts) - counts)
-        return self.flat[np.repeat(shift, counts) + np.arange(counts.sum())]
+        return self.flat[runs_at(self.starts[numbers], self.counts[numbers])]
 
     def paths(self, numbers: np.ndarray) -> list[tuple[float, list[tuple[int, int, list[int]]]]]:
         """The n best paths of a text as (score, changes to the best path: start, length, ids)."""
@@ -323,23 +339,22 @@ ADDED = (
 
 
 @functools.lru_cache(maxsize=1)
-def _memory(path: str, n: int) -> list[_Known]:
+def _memory(path: str, n: int) -> _Known:
     """What a worker knows, kept from task to task."""
-    return [_Known(lattice(path), n)]
+    return _Known(lattice(path), n)
 
 
 def encode_texts(path: str, n: int, texts: pa.Array) -> Iterator[tuple[pa.Array, pa.Array, pa.Array]]:
     """(ids, score, others) of whole texts in their order, about a megabyte of text at a time."""
     change = pa.struct([("start", pa.int32()), ("length", pa.int32()), ("ids", pa.list_(pa.int32()))])
     other = pa.struct([("score", pa.float64()), ("changes", pa.list_(change))])
-    memory, waiting, size = _memory(path, n), [], 0
+    known, waiting, size = _memory(path, n), [], 0
     for at, text in enumerate(texts):
         text = text.as_py()
-        waiting.append(memory[0].numbers(text))
+        waiting.append(known.numbers(text))
         size += len(text or "")
         if size < 1 << 20 and at < len(texts) - 1:
             continue
-        known = memory[0]
         known.learn()
         sizes, scores, others = [0], [], []
         for numbers in waiting:
@@ -347,12 +362,14 @@ def encode_texts(path: str, n: int, texts: pa.Array) -> Iterator[tuple[pa.Array,
             sizes.append(int(known.counts[numbers].sum()))
             scores.append(found[0][0])
             others.append([{"score": s, "changes": [{"start": a, "length": b, "ids": x} for a, b, x in c]} for s, c in found[1:]])
-        ids = known.ids(np.concatenate(waiting))
+        everything = np.concatenate(waiting)
+        ids = known.ids(everything)
         lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(ids, pa.int32()))
         yield lists, pa.array(scores, pa.float64()), pa.array(others, pa.list_(other))
         waiting, size = [], 0
+        known.seen += np.bincount(everything, minlength=len(known.seen))
         if known.size > _MEMORY:
-            memory[0] = _Known(known.tree, n)
+            known.forget()
 
 
 def other_ids(ids: list[int], changes: list[tuple[int, int, list[int]]]) -> list[int]:

@@ -83,6 +83,24 @@ def test_frequent_pieces_outlast_a_full_memory(library, monkeypatch):
     assert len(coder.lengths) <= 400 + 4000
 
 
+def test_frequent_units_outlast_a_full_memory(monkeypatch):
+    """Paths stay the same while rare units are forgotten, and frequent units are not searched again."""
+    import pyarrow as pa
+
+    from cohortloom.llm import pieces as module
+
+    texts = [f"often met words {i} rare{i} oft  met {'\u4e01x' * 90}" if i % 5 else ["", " ", None, "often often "][i // 5 % 4] for i in range(600)]
+    kept = [[part.to_pylist() for part in found] for text in texts for found in module.encode_texts(MODEL, 3, pa.array([text], pa.string()))]
+    monkeypatch.setattr(module, "_MEMORY", 3000)
+    known, searched = module._Known(module.lattice(MODEL), 3), []
+    search = known.tree.search_many
+    monkeypatch.setattr(known.tree, "search_many", lambda units: searched.extend(units) or search(units))
+    monkeypatch.setattr(module, "_memory", lambda path, n: known if hasattr(known, "forget") else [known])
+    got = [[part.to_pylist() for part in found] for text in texts for found in module.encode_texts(MODEL, 3, pa.array([text], pa.string()))]
+    assert got == kept
+    assert len(searched) > 480 and searched.count("\u2581words") == 1
+
+
 def test_counts_of_a_sentencepiece_model(spark):
     model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     texts = noise(50, 3)
