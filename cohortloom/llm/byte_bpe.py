@@ -28,16 +28,57 @@ _RUN = re.compile(r"\s\s")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
 
-class _Index(dict):
-    """Numbers of strings, drawn from a shared list of new ones, in the order of their first use."""
+class _Index:
+    """Numbers of strings, 0, 1, 2 and so on as they are new. By sorted hashes beside the strings end to end, which takes
+    a few dozen bytes and no object for each; of different strings with one hash, the first is found again."""
+
+    def __init__(self):
+        self.hashes, self.at = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.strings = pa.array([], pa.large_string())
+
+    def numbers(self, asked: list[str]) -> tuple[np.ndarray, list[str]]:
+        """(the number of each string, the new strings in the order of their numbers)"""
+        hashes = np.fromiter(map(hash, asked), np.int64, len(asked))
+        order = np.argsort(hashes)
+        strings = pa.array(asked, pa.large_string()).take(pa.array(order))
+        hashes = hashes[order]
+        # Equal hashes stand together: each string is compared with the known one of its hash, else with the first here.
+        place = np.searchsorted(self.hashes, hashes)
+        known = place < len(self.hashes)
+        known[known] = self.hashes[place[known]] == hashes[known]
+        head = np.ones(len(asked), bool)
+        head[1:] = hashes[1:] != hashes[:-1]
+        first = np.maximum.accumulate(np.where(head, np.arange(len(asked)), 0))
+        same = np.ones(len(asked), bool)
+        same[known] = _equal(strings.filter(pa.array(known)), self.strings.take(pa.array(self.at[place[known]])))
+        again = ~known & ~head
+        same[again] = _equal(strings.filter(pa.array(again)), strings.take(pa.array(first[again])))
+        new = ~same | (~known & head)
+        number = np.empty(len(asked), np.int64)
+        number[known] = self.at[place[known]]
+        number[new] = len(self.strings) + np.arange(np.count_nonzero(new))
+        again &= same
+        number[again] = number[first[again]]
+        added = strings.filter(pa.array(new))
+        self.strings = pa.concat_arrays([self.strings, added])
+        fresh = ~known & head
+        self.hashes = np.insert(self.hashes, place[fresh], hashes[fresh])
+        self.at = np.insert(self.at, place[fresh], number[fresh])
+        out = np.empty(len(asked), np.int64)
+        out[order] = number
+        return out, added.to_pylist()
+
+    def keep(self, kept: np.ndarray) -> None:
+        """Forget all strings but these, by ascending numbers; they are numbered anew in that order."""
+        number = np.full(len(self.strings), -1)
+        number[kept] = np.arange(len(kept))
+        number = number[self.at]
+        self.hashes, self.at = self.hashes[number >= 0], number[number >= 0]
+        self.strings = self.strings.take(pa.array(kept))
 
-    def __init__(self, coder: PieceCoder, before: str):
-        self.coder, self.before = coder, before
 
-    def __missing__(self, key: str) -> int:
-        self[key] = n = len(self.coder.lengths) + len(self.coder.new)
-        self.coder.new.append(self.before + key)
-        return n
+def _equal(a: pa.Array, b: pa.Array) -> np.ndarray:
+    return pa.compute.equal(a, b).to_numpy(zero_copy_only=False)
 
 
 def _splits_at_spaces(config: dict) -> bool:
@@ -169,43 +210,41 @@ class PieceCoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.new: list[str] = []
         self.signs = 0
-        self.lengths = self.starts = self.weights = self.seen = np.empty(0, np.int64)
+        self.lengths = self.starts = self.seen = np.empty(0, np.int64)
         self.flat = np.empty(0, np.int32)
-        self.first, self.later = _Index(self, ""), _Index(self, " ")
+        self.index = _Index()
+
+    def _weights(self) -> np.ndarray:
+        """Signs and ids of each piece."""
+        return pa.compute.utf8_length(self.index.strings).to_numpy() + self.lengths
 
     def _forget(self) -> None:
-        share = np.maximum(self.weights, MEMORY_SIGNS // MEMORY_PIECES)
+        share = np.maximum(self._weights(), MEMORY_SIGNS // MEMORY_PIECES)
         kept = frequent(self.seen, share, MEMORY_SIGNS // 2)
-        number = np.full(len(self.lengths), -1)
-        number[kept] = np.arange(len(kept))
-        number = number.tolist()
-        for index in (self.first, self.later):
-            left = [(key, number[n]) for key, n in index.items() if number[n] >= 0]
-            index.clear()
-            index.update(left)
+        self.index.keep(kept)
         if self.with_ids:
             self.flat = self.flat[runs_at(self.starts[kept], self.lengths[kept])]
-        self.lengths, self.weights, self.seen = self.lengths[kept], self.weights[kept], self.seen[kept] // 2
-        self.starts, self.signs = np.cumsum(self.lengths) - self.lengths, int(self.weights.sum())
+        self.lengths, self.seen = self.lengths[kept], self.seen[kept] // 2
+        self.starts, self.signs = np.cumsum(self.lengths) - self.lengths, int(self._weights().sum())
 
-    def _numbers(self, text: str) -> list[int]:
-        """Of one text, whatever it holds."""
+    def _pieces(self, text: str) -> list[str]:
+        """Of one text, whatever it holds; joined they give it back."""
         if not self.library.cuts:
-            return [self.first[text]]
+            return [text]
         # The first part of a long piece follows a space if the piece does, the others follow a letter.
         out = []
-        for index, piece in zip(itertools.chain([self.first], itertools.repeat(self.later)), pieces(text)):
+        for before, piece in zip(itertools.chain([""], itertools.repeat(" ")), pieces(text)):
             head, *tail = self.library.parts(piece)
-            out += [index[head], *map(self.first.__getitem__, tail)]
+            out += [before + head, *tail]
         return out
 
     def _number(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(piece numbers of texts one after the other, how many of each). Different pieces are looked up once; texts
-        that are not cut at each space, or hold a long piece, are taken one by one."""
+        """(piece numbers of texts one after the other, how many of each). Different pieces are looked up once, new ones
+        learnt; texts that are not cut at each space, or hold a long piece, are taken one by one."""
         strings = texts.to_pylist()
         odd = np.array([bool(text) and (not self.library.cuts or bool(_RUN.search(text))) for text in strings], bool)
+        strings = {i: strings[i] for i in np.flatnonzero(odd).tolist()}
         names, index, sizes = cut_at_spaces(pa.compute.if_else(pa.array(odd), "", texts) if odd.any() else texts)
         if max(map(len, names)) >= LONG_PIECE:
             long = np.array([len(name) >= LONG_PIECE for name in names], bool)
@@ -216,27 +255,30 @@ class PieceCoder:
         later[starts] = False
         used = np.zeros(len(names), bool)
         used[index[later]] = True
-        number = np.zeros(len(names), np.int64)
-        number[used] = list(map(self.later.__getitem__, itertools.compress(names, used)))
-        numbers = number[index]
-        numbers[starts] = [self.first[names[i]] for i in index[starts].tolist()]
+        asked = [" " + name for name in itertools.compress(names, used)]
+        place = np.cumsum(used) - 1
+        numbers = place[index]
+        numbers[starts] = np.arange(len(asked), len(asked) + len(starts))
+        asked += [names[i] for i in index[starts].tolist()]
         if odd.any():
-            found = np.split(numbers, starts[1:])
+            found, local = np.split(numbers, starts[1:]), {}
             for i in np.flatnonzero(odd).tolist():
-                found[i] = np.array(self._numbers(strings[i]), np.int64)
+                own = self._pieces(strings[i] if i in strings else texts[i].as_py())
+                found[i] = np.array([local.setdefault(piece, len(asked) + len(local)) for piece in own], np.int64)
+            asked += local
             numbers, sizes = np.concatenate(found), np.array([len(x) for x in found], np.int64)
-        return numbers, sizes
-
-    def _learn(self) -> None:
-        flat, lengths = self.library.encode(self.new)
-        weights = np.array([len(piece) for piece in self.new], np.int64) + lengths
-        self.signs += int(weights.sum())
-        self.weights = np.concatenate([self.weights, weights])
-        self.seen = np.concatenate([self.seen, np.zeros(len(self.new), np.int64)])
+        known, new = self.index.numbers(asked)
+        self._learn(new)
+        return known[numbers], sizes
+
+    def _learn(self, new: list[str]) -> None:
+        flat, lengths = self.library.encode(new)
+        self.signs += sum(map(len, new)) + len(flat)
+        self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int64)])
         self.lengths = np.concatenate([self.lengths, lengths])
         if self.with_ids:
             self.flat = np.concatenate([self.flat, flat])
-        self.starts, self.new = np.cumsum(self.lengths) - self.lengths, []
+        self.starts = np.cumsum(self.lengths) - self.lengths
 
     def batches(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(piece numbers of some texts one after the other, how many of each text), about ``STEP_BYTES`` of text at a
@@ -244,7 +286,6 @@ class PieceCoder:
         upto = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0)).astype(np.int64))
         for at, end in _steps(upto, 0, len(texts), CUT_BYTES):
             numbers, sizes = self._number(texts.slice(at, end - at))
-            self._learn()
             places = np.concatenate([[0], np.cumsum(sizes)])
             for a, b in _steps(upto, at, end, STEP_BYTES):
                 yield numbers[places[a - at]:places[b - at]], sizes[a - at:b - at]
@@ -254,6 +295,7 @@ class PieceCoder:
             self.seen += np.bincount(numbers, minlength=len(self.seen))
             if self.signs > MEMORY_SIGNS or len(self.lengths) > MEMORY_PIECES:
                 self._forget()
+            pa.default_memory_pool().release_unused()
 
 
 def _steps(upto: np.ndarray, at: int, last: int, size: int) -> Iterator[tuple[int, int]]:

@@ -83,6 +83,44 @@ def test_frequent_pieces_outlast_a_full_memory(library, monkeypatch):
     assert len(coder.lengths) <= 400 + 4000
 
 
+def test_known_pieces_take_little_memory():
+    """Workers share an executor's memory: a known piece takes no Python object, only its signs, ids and some numbers."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from cohortloom.llm import byte_bpe
+
+    coder, texts = byte_bpe.PieceCoder(BYTES, True), pa.array([" ".join(f"w{i * 50 + j}x" for j in range(50)) for i in range(1000)])
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    try:
+        for _ in coder.batches(texts):
+            pass
+        del _
+        taken = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    finally:
+        tracemalloc.stop()
+    assert len(coder.lengths) == 50_000 and taken < 120 * 50_000
+
+
+@pytest.mark.parametrize("alike", [lambda piece: 7, len, lambda piece: hash(piece) % 50 - 25])
+def test_pieces_of_equal_hash_are_told_apart(library, monkeypatch, alike):
+    """Also while pieces are forgotten, and in texts that are not cut at each space."""
+    import pyarrow as pa
+
+    from cohortloom.llm import byte_bpe
+
+    for name, value in (("CUT_BYTES", 400), ("STEP_BYTES", 100), ("MEMORY_PIECES", 200), ("MEMORY_SIGNS", 2000)):
+        monkeypatch.setattr(byte_bpe, name, value)
+    monkeypatch.setattr(byte_bpe, "hash", alike, raising=False)
+    coder = byte_bpe.PieceCoder(BYTES, True)
+    monkeypatch.setattr(byte_bpe, "_coder", lambda path, with_ids: coder)
+    texts = [*noise(300, 4), *[f"met often w{i} w{i % 9} w{i}" for i in range(300)], "", None, " "]
+    got = [ids for part in byte_bpe.encode_texts(BYTES, pa.array(texts)) for ids in part.to_pylist()]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def test_frequent_units_outlast_a_full_memory(monkeypatch):
     """Paths stay the same while rare units are forgotten, and frequent units are not searched again."""
     import pyarrow as pa
